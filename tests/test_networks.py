@@ -78,7 +78,8 @@ def test_loads_resolve_keys_and_reject_unknown_ones(network):
 
 def test_second_run_adds_nothing(network, fuel_batches):
     data, _ = network
-    plan = [(loads.FUEL_LOADS[name], batch) for name, batch in fuel_batches]
+    chosen = ("station", "price", "fuel_sale")
+    plan = [(loads.FUEL_LOADS[name], batch) for name, batch in fuel_batches if name in chosen]
     _, again = loads.run_loads(plan, fuel_network.TABLES, data)
     assert all(done.inserted.isEmpty() for done in again.values())
 
@@ -258,7 +259,8 @@ def test_transit_loads(railway):
 def test_transit_audit_and_rerun(railway, transit_batches):
     data, _ = railway
     assert audit(transit.TABLES, data).where("violations <> 0").isEmpty()
-    plan = [(loads.TRANSIT_LOADS[name], batch) for name, batch in transit_batches]
+    chosen = ("line", "asset", "station", "trip_stop", "ticket_sale")
+    plan = [(loads.TRANSIT_LOADS[name], batch) for name, batch in transit_batches if name in chosen]
     _, again = loads.run_loads(plan, transit.TABLES, data)
     assert all(done.inserted.isEmpty() for done in again.values())
 
