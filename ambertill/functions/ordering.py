@@ -41,11 +41,11 @@ def reverse_sort_columns(keys: SortKeys) -> list[Column]:
     ]
 
 
-def not_after(keys: SortKeys, bound_prefix: str) -> Column:
-    """True for rows that sort before, or level with, the row held in the bound columns."""
+def not_after(keys: SortKeys, bound_row: str) -> Column:
+    """True for rows that sort before, or level with, the row held in a struct column."""
 
     def step(rest: Column, key: str) -> Column:
-        value, bound = F.col(_name(key)), F.col(bound_prefix + _name(key))
+        value, bound = F.col(_name(key)), F.col(f"{bound_row}.{_name(key)}")
         if _is_descending(key):
             before = F.coalesce(value > bound, F.lit(False)) | (value.isNull() & bound.isNotNull())
         else:

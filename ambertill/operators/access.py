@@ -33,9 +33,9 @@ def not_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     An empty subquery keeps every row; a NULL among its keys keeps none; a row
     whose own key is NULL is kept only when the subquery is empty.
     """
-    facts = keys.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(key).isNull()).alias("_nulls"))
-    unmatched = df.join(keys, key, "left_anti").crossJoin(F.broadcast(facts))  # facts is one row
-    kept = (F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())
+    facts = F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls"))
+    unmatched = df.join(keys, key, "left_anti").withColumn("_keys", keys.agg(facts.alias("f")).scalar())
+    kept = (F.col("_keys.n") == 0) | ((F.col("_keys.nulls") == 0) & F.col(key).isNotNull())
     return unmatched.where(kept).select(*df.columns)
 
 

@@ -53,9 +53,23 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     return Change(target.unionByName(added, allowMissingColumns=True), added)
 
 
+def _few_copies(df: DataFrame, keys: Sequence[str], copies: int = 16) -> DataFrame:
+    """Keys with at most ``copies`` rows each.
+
+    Enough to keep a frequent key from filling a task of the join that follows.
+    A full ``distinct`` would arrive already arranged by the join key, and
+    adaptive execution could then no longer split the other side.
+    """
+    marked = df.select(*keys, (F.spark_partition_id() % copies).alias("_copy"))
+    return marked.distinct().drop("_copy")
+
+
 def insert_missing(target: DataFrame, batch: DataFrame, match: Sequence[str]) -> Change:
-    """``INSERT .. WHERE NOT EXISTS``: repeats inside the batch are all inserted."""
-    added = _absent(batch, target, match)
+    """``INSERT .. WHERE NOT EXISTS``: repeats inside the batch are all inserted.
+
+    The match columns need not be unique in the target.
+    """
+    added = _absent(batch, _few_copies(target, match), match)
     return Change(target.unionByName(added, allowMissingColumns=True), added)
 
 

@@ -39,6 +39,11 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
     A lookup never multiplies rows: the table is first reduced to one row per
     natural key with a match count, and more than one match is a rejection.
     The first failing lookup, in the order given, names the reason.
+
+    The reduced table is stored before the join. Its size is then known, so
+    Spark broadcasts it only when it is small; and otherwise both join inputs
+    are plain shuffles, which adaptive execution splits where one code holds
+    much of the batch (it cannot split beside an aggregation on the join key).
     """
     current = batch
     reason: Column = F.lit(None).cast("string")
@@ -51,6 +56,7 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
         keys = table.groupBy(*(F.col(c).alias(prefix + c) for c in lookup.on.values())).agg(
             F.min(lookup.id_column).alias(lookup.out), F.count(F.lit(1)).alias(prefix + "matches")
         )
+        keys = stage(keys, "lookup")
         same = F.lit(True)
         known = F.lit(True)
         for mine, theirs in lookup.on.items():

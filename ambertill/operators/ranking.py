@@ -34,19 +34,14 @@ def first_per_known_key(df: DataFrame, keys: Sequence[str], order: SortKeys) ->
 def top_with_ties(df: DataFrame, order: SortKeys, n: int) -> DataFrame:
     """``FETCH FIRST n ROWS WITH TIES``: ties are level on the whole sort list.
 
-    The n-th row is found by a distributed top-k; then all rows not after it
-    are kept by a filter, so even a very long tie is produced in parallel.
+    The n-th row is found by a distributed top-k and enters the filter as a
+    scalar subquery, so even a very long tie is produced in parallel.
     """
-    prefix = "_bound_"
-    bound = (
-        df.select(*names(order))
-        .orderBy(*sort_columns(order))
-        .limit(n)
-        .orderBy(*reverse_sort_columns(order))
-        .limit(1)
-        .select(*(F.col(c).alias(prefix + c) for c in names(order)))
-    )
-    kept = df.crossJoin(F.broadcast(bound)).where(not_after(order, prefix))  # bound is one row
+    columns = names(order)
+    nth = df.select(*columns).orderBy(*sort_columns(order)).limit(n).orderBy(*reverse_sort_columns(order)).limit(1)
+    bound = nth.select(F.struct(*columns)).scalar()
+    kept = df.withColumn("_bound", bound).where(not_after(order, "_bound"))
+    # Without any row there is no bound either, and nothing to keep.
     return kept.select(*df.columns)
 
 

@@ -288,7 +288,7 @@ def films_in_stock(
     matching = films.where(F.col("title").ilike(pattern))
     held = copies.join(matching.select("film_id"), "film_id", "left_semi")
     history = rentals.join(held, "inventory_id")
-    out_now = history.where(F.col("return_date").isNull()).select("inventory_id")
+    out_now = history.where(F.col("return_date").isNull()).select("inventory_id").distinct()
     in_store = held.join(out_now, "inventory_id", "left_anti").select("film_id").distinct()
     last = history.groupBy("film_id").agg(
         F.max(F.struct("rental_date", "rental_id", "customer_id")).alias("_last")

@@ -14,6 +14,7 @@ from ambertill.functions.ordering import sort_columns
 from ambertill.functions.text import numbered_code
 from ambertill.operators.changes import assign_ids, patch_columns
 from ambertill.operators.matching import resolve_keys, valid_at
+from ambertill.session import stage
 from ambertill.sources import fuel_network
 
 
@@ -60,7 +61,7 @@ def ingest_sales(
         reason = reason.when(F.expr(check) == F.lit(False), F.lit(f"rule broken: {name}"))
     for column in ("quantity_liters", "payment_method", "discount_amount", "sale_datetime"):
         reason = reason.when(F.col(column).isNull(), F.lit(f"{column} is missing"))
-    judged = completed.withColumn("reject_reason", reason)
+    judged = stage(completed.withColumn("reject_reason", reason), "judged")
     refused = judged.where(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason")
     accepted = judged.where(F.col("reject_reason").isNull())
     numbered = assign_ids(accepted, data["fuel_sale"], "fuel_sale_id", ["sale_datetime", "seq"])
@@ -80,24 +81,21 @@ def patch_customers(customers: DataFrame, patches: DataFrame, sequence: str = "s
 
 
 def latest_quarter_report(
-    sales: DataFrame, station_fuels: DataFrame, stations: DataFrame, fuels: DataFrame
+    sales: DataFrame, station_fuels: DataFrame | None, stations: DataFrame, fuels: DataFrame
 ) -> DataFrame:
     """Liters, revenue, checks and averages per station and fuel in the newest quarter.
 
     The newest sale is looked up first, which turns the quarter into a literal
-    range; facts are summed per pair before the names are joined.
+    range; facts are summed per pair before the names are joined. Sales name
+    their pair by ``station_fuel_id``, or without ``station_fuels`` by
+    ``station_id`` and ``fuel_id``.
     """
     newest = sales.agg(F.max(F.col("sale_datetime").cast("date"))).first()[0]
     first, after = quarter_bounds(newest or dt.date(1970, 1, 1))
-    names = (
-        station_fuels.select("station_fuel_id", "station_id", "fuel_id")
-        .join(stations.select("station_id", "station_name"), "station_id")
-        .join(fuels.select("fuel_id", "fuel_name"), "fuel_id")
-        .select("station_fuel_id", "station_name", "fuel_name")
-    )
+    pair = ["station_id", "fuel_id"] if station_fuels is None else ["station_fuel_id"]
     sums = (
         sales.where(between_days(F.col("sale_datetime"), first, after))
-        .groupBy("station_fuel_id")
+        .groupBy(*pair)
         .agg(
             F.sum("quantity_liters").alias("liters"),
             F.sum("total_amount").alias("revenue"),
@@ -105,8 +103,13 @@ def latest_quarter_report(
             F.count("receipt_number").alias("checks"),
         )
     )
+    if station_fuels is not None:
+        sums = sums.join(station_fuels.select("station_fuel_id", "station_id", "fuel_id"), "station_fuel_id")
+    named = sums.join(stations.select("station_id", "station_name"), "station_id").join(
+        fuels.select("fuel_id", "fuel_name"), "fuel_id"
+    )
     # Stations or fuels that share a name are reported together.
-    named = sums.join(names, "station_fuel_id").groupBy("station_name", "fuel_name").agg(
+    named = named.groupBy("station_name", "fuel_name").agg(
         *(F.sum(c).alias(c) for c in ("liters", "revenue", "discount", "checks"))
     )
     return named.select(

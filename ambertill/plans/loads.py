@@ -261,12 +261,12 @@ def insert_actors(actors: DataFrame, batch: DataFrame, loaded_at) -> Loaded:
 
 def insert_copies(inventory: DataFrame, films: DataFrame, stores: DataFrame, titles: DataFrame, loaded_at) -> Loaded:
     """One copy per title in the first store that lacks it."""
-    store = stores.agg(F.min("store_id").alias("store_id"))  # one row
-    rows = (
-        titles.join(films.select("film_id", "title"), "title")
-        .crossJoin(F.broadcast(store))
-        .withColumn("last_update", F.lit(loaded_at).cast("timestamp"))
-    )
+    rows = titles.join(films.select("film_id", "title"), "title").withColumns(
+        {
+            "store_id": stores.agg(F.min("store_id")).scalar(),
+            "last_update": F.lit(loaded_at).cast("timestamp"),
+        }
+    ).where(F.col("store_id").isNotNull())
     return _inserted(inventory, rows, ("store_id", "film_id"), "inventory_id")
 
 
@@ -279,17 +279,20 @@ def insert_rentals(
     batch: DataFrame,
     loaded_at,
 ) -> Loaded:
-    """Rentals of titles by one customer, served by the first employee of the first store concerned."""
+    """Rentals of titles by one customer, served by the first employee of the first store concerned.
+
+    ``customer`` holds at most one row; more than one is an error when the job runs.
+    """
     titled = films.select("film_id", "title").join(batch.select("title").distinct(), "title", "left_semi")
     copies = inventory.select("inventory_id", "store_id", "film_id").join(titled, "film_id")
     first_store = copies.agg(F.min("store_id").alias("store_id"))
-    clerk = staff.join(first_store, "store_id").agg(F.min("staff_id").alias("staff_id")).where("staff_id is not null")
-    rows = (
-        batch.join(copies, "title")
-        .crossJoin(customer.select("customer_id"))
-        .crossJoin(F.broadcast(clerk))  # one row
-        .withColumn("last_update", F.lit(loaded_at).cast("timestamp"))
-    )
+    one_values = {
+        "customer_id": customer.select("customer_id").scalar(),
+        "staff_id": staff.join(first_store, "store_id").agg(F.min("staff_id")).scalar(),
+        "last_update": F.lit(loaded_at).cast("timestamp"),
+    }
+    rows = batch.join(copies, "title").withColumns(one_values)
+    rows = rows.where(F.col("customer_id").isNotNull() & F.col("staff_id").isNotNull())
     return _inserted(rentals, rows, ("rental_date", "inventory_id", "customer_id"), "rental_id")
 
 
@@ -309,11 +312,13 @@ def insert_payments(
 
 def insert_open_rental(rentals: DataFrame, inventory: DataFrame, staff: DataFrame, customer: DataFrame, now) -> Loaded:
     """Rent the newest copy to a customer, unless they hold it already."""
-    one_row = inventory.agg(F.max("inventory_id").alias("inventory_id")).crossJoin(
-        staff.agg(F.max("staff_id").alias("staff_id"))
-    )
     moment = F.lit(now).cast("timestamp")
-    rows = customer.select("customer_id").crossJoin(F.broadcast(one_row))
+    rows = customer.select("customer_id").withColumns(
+        {
+            "inventory_id": inventory.agg(F.max("inventory_id")).scalar(),
+            "staff_id": staff.agg(F.max("staff_id")).scalar(),
+        }
+    )
     held = rentals.where(F.col("return_date").isNull())
     fresh = insert_missing(held.select("inventory_id", "customer_id"), rows.drop("staff_id"), ("inventory_id", "customer_id"))
     rows = rows.join(fresh.affected, ["inventory_id", "customer_id"], "left_semi").withColumns(

@@ -233,29 +233,29 @@ def quarters_by_crosstab(star: DataFrame, product: str, category: str, region: s
 
 
 def always_in_top(
-    star: DataFrame, years: Sequence[int], n: int, customer: Sequence[str], key: str = "cust_id"
+    star: DataFrame, people: DataFrame, years: Sequence[int], n: int, key: str = "cust_id"
 ) -> DataFrame:
     """Customers among the top ``n`` of a channel in every one of the years.
 
-    After the top ``n`` per channel and year the data has at most
-    ``channels x years x n`` rows.
+    Facts are ranked by key alone. After the top ``n`` per channel and year the
+    data has at most ``channels x years x n`` rows, and only then are the names
+    of ``people`` joined.
     """
-    names = [c for c in customer if c != key]
     yearly = (
         star.where(in_years(F.col("time_id"), min(years), max(years)))
         .where(F.col("calendar_year").isin(list(years)))
-        .groupBy("channel_desc", "calendar_year", key, *names)
+        .groupBy("channel_desc", "calendar_year", key)
         .agg(total("amount_sold").alias("amount_sold"))
     )
     top = top_n_per_group(yearly, ["channel_desc", "calendar_year"], ["-amount_sold", key], n)
     return (
-        top.groupBy("channel_desc", key, *names)
+        top.groupBy("channel_desc", key)
         .agg(F.countDistinct("calendar_year").alias("_years"), F.sum("amount_sold").alias("_sold"))
         .where(F.col("_years") == len(set(years)))
+        .join(people, key)
         .select(
             "channel_desc",
-            key,
-            *names,
+            *people.columns,
             as_double(F.col("_sold")).alias("amount_sold"),
             fixed(F.col("_sold"), 2).alias("amount_sold_text"),
         )

@@ -10,6 +10,7 @@ from ambertill.operators.matching import Lookup, resolve_keys, valid_at, with_ne
 from ambertill.operators.ordered import running
 from ambertill.plans.fuel import latest_quarter_report
 from ambertill.registered import registered
+from ambertill.session import stage
 from ambertill.sources.retail import Retail
 
 
@@ -162,7 +163,8 @@ def next_order_year(t: Retail):
 def child_to_parent_orders(t: Retail):
     """Self join of one hierarchy level: an order and its customer's first order."""
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-    parents = orders.groupBy("o_custkey").agg(F.min(F.struct("o_orderkey", "o_orderdate")).alias("p"))
+    # Stored, so that its size is known and a frequent customer can be split in the join.
+    parents = stage(orders.groupBy("o_custkey").agg(F.min(F.struct("o_orderkey", "o_orderdate")).alias("p")), "parents")
     pairs = orders.join(parents, "o_custkey").where(F.col("o_orderkey") != F.col("p.o_orderkey"))
     return pairs.select(
         F.col("o_orderkey").alias("child_key"),
@@ -192,22 +194,18 @@ def child_to_parent_orders(t: Retail):
 def latest_quarter_report_by_nation(t: Retail):
     """A station is a supplier's nation, a fuel a part type, a pair a (supplier, part)."""
     lines = t["lineitem"].select(
-        F.struct("l_suppkey", "l_partkey").alias("station_fuel_id"),
+        F.col("l_suppkey").alias("station_id"),
+        F.col("l_partkey").alias("fuel_id"),
         F.col("l_shipdate").alias("sale_datetime"),
         money("l_quantity").alias("quantity_liters"),
         money("l_extendedprice").alias("total_amount"),
         money("l_tax").alias("discount_amount"),
         F.col("l_orderkey").alias("receipt_number"),
     )
-    pairs = t["lineitem"].select("l_suppkey", "l_partkey").distinct().select(
-        F.struct("l_suppkey", "l_partkey").alias("station_fuel_id"),
-        F.col("l_suppkey").alias("station_id"),
-        F.col("l_partkey").alias("fuel_id"),
-    )
     nations = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("station_name"))
     stations = t["supplier"].join(nations, "s_nationkey").select(F.col("s_suppkey").alias("station_id"), "station_name")
     fuels = t["part"].select(F.col("p_partkey").alias("fuel_id"), F.col("p_type").alias("fuel_name"))
-    report = latest_quarter_report(lines, pairs, stations, fuels)
+    report = latest_quarter_report(lines, None, stations, fuels)
     numbers = ("total_liters_sold", "total_revenue", "avg_check", "avg_discount_per_check")
     return report.withColumns({c: as_double(F.col(c)) for c in numbers}).orderBy(
         *sort_columns(["station_name", "-total_revenue", "fuel_name"])

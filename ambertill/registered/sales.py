@@ -218,8 +218,8 @@ def quarter_crosstab(t: Retail):
     """
 )
 def cohort_top300_all_years(t: Retail):
-    star = t.order_star("customers", "times")
-    return sales.always_in_top(star, (1998, 1999, 2001), 300, ["cust_last_name"])
+    people = t.customers().select("cust_id", "cust_last_name")
+    return sales.always_in_top(t.order_star("times"), people, (1998, 1999, 2001), 300)
 
 
 _REGIONS = """

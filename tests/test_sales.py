@@ -116,8 +116,8 @@ def test_regions_two_ways(history):
 
 
 def test_always_in_top(history):
-    star = history.star("customers", "channels", "times")
-    found = sales.always_in_top(star, (1998, 1999, 2001), 300, ["cust_last_name", "cust_first_name"])
+    people = history.tables["customers"].select("cust_id", "cust_last_name", "cust_first_name")
+    found = sales.always_in_top(history.star("channels", "times"), people, (1998, 1999, 2001), 300)
     assert rows(found, "channel_desc", "cust_id", "amount_sold_text") == [("Direct", 1, "190.00")]
 
 
