@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ambertill.functions.ordering import sort_columns
-from ambertill.operators.ordered import running
+from ambertill.operators.ordered import largest_group, running
 from ambertill.session import MAX_GROUP_ROWS, stage
 
 
@@ -81,9 +81,9 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
 
 
 # ------------------------------------------------------------ interval lookup
-def _nested_versions(versions: DataFrame, keys: Sequence[str], max_group_rows: int) -> bool:
+def _nested_versions(versions: DataFrame, keys: Sequence[str], max_group_rows: int, largest: int) -> bool:
     """Does an older version outlive a newer one of the same key?"""
-    scanned = running(versions, keys, ["_t", "_v"], {"_open": ("max", "_e")}, max_group_rows)
+    scanned = running(versions, keys, ["_t", "_v"], {"_open": ("max", "_e")}, max_group_rows, largest)
     return not scanned.where(F.col("_open") > F.col("_e")).limit(1).isEmpty()
 
 
@@ -124,9 +124,10 @@ def valid_at(
     )
     outputs = {"_latest": ("last", "_v"), "_open": ("max", "_e")}
     merged = fact_rows.unionByName(version_rows, allowMissingColumns=True)
-    scanned = running(merged, keys, ["_t", "_side", "_v"], outputs, max_group_rows).where("_side = 1")
+    largest = largest_group(merged, keys)  # of facts and versions together: enough for both scans
+    scanned = running(merged, keys, ["_t", "_side", "_v"], outputs, max_group_rows, largest).where("_side = 1")
     current = F.when(F.col("_latest.end") >= F.col("_t"), F.col("_latest"))
-    if valid_to is None or not _nested_versions(version_rows, keys, max_group_rows):
+    if valid_to is None or not _nested_versions(version_rows, keys, max_group_rows, largest):
         found = scanned.withColumn("_hit", current)
     else:
         numbered = stage(scanned.withColumn("_fact", F.monotonically_increasing_id()), "valid-at")

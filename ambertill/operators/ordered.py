@@ -80,15 +80,19 @@ def running(
     order: SortKeys,
     outputs: Mapping[str, tuple[str, str]],
     max_group_rows: int = MAX_GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Running ``last`` (not null), ``max`` or ``sum`` up to and including each row.
 
     ``outputs`` maps a new column to ``(kind, input column)``. The largest group
-    is measured first: up to ``max_group_rows`` an ordinary window per key is the
-    cheaper plan, beyond it the sliced form is used. ``order`` is ascending.
+    is measured first, unless the caller knows it: up to ``max_group_rows`` an
+    ordinary window per key is the cheaper plan, beyond it the sliced form is
+    used. ``order`` is ascending.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if largest_group(df, keys) <= max_group_rows:
+    if largest is None:
+        largest = largest_group(df, keys)
+    if largest <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(*sort_columns(order)).rowsBetween(*upto)
         return df.withColumns({o: _over(kind, F.col(c), window) for o, (kind, c) in outputs.items()})
 

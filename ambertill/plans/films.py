@@ -398,3 +398,16 @@ def customers_above(
 ) -> DataFrame:
     """More than so many of each."""
     return active_customers(customers, rentals, payments, rentals_over + 1, payments_over + 1)
+
+
+def rental_history(customer: DataFrame, rentals: DataFrame, payments: DataFrame) -> DataFrame:
+    """Every rental of the given customers with its payments; a customer without any keeps one row.
+
+    Rentals are narrowed to the customers first, and payments to those rentals.
+    """
+    people = customer.select("customer_id")
+    rented = rentals.select("customer_id", "rental_id", "rental_date").join(people, "customer_id", "left_semi")
+    paid = payments.select("rental_id", "payment_id", "payment_date")
+    listed = people.join(rented, "customer_id", "left").join(paid, "rental_id", "left")
+    columns = ["customer_id", "rental_id", "rental_date", "payment_id", "payment_date"]
+    return listed.select(*columns).orderBy(*sort_columns(["rental_date", "payment_date"]))

@@ -12,8 +12,9 @@ from ambertill.functions.calendar import between_days, quarter_bounds
 from ambertill.functions.numbers import rounded
 from ambertill.functions.ordering import sort_columns
 from ambertill.functions.text import numbered_code
-from ambertill.operators.changes import assign_ids, patch_columns
+from ambertill.operators.changes import patch_columns
 from ambertill.operators.matching import resolve_keys, valid_at
+from ambertill.operators.ordered import number_rows
 from ambertill.session import stage
 from ambertill.sources import fuel_network
 
@@ -43,7 +44,7 @@ def ingest_sales(
     lookups = (*fuel_network.STATION_FUEL, fuel_network.EMPLOYEE, fuel_network.CUSTOMER)
     resolved, unknown = resolve_keys(batch, data, lookups)
     priced = valid_at(
-        resolved,
+        stage(resolved, "resolved"),  # read several times below
         data["price"],
         ["station_fuel_id", "price_type"],
         "sale_datetime",
@@ -64,9 +65,9 @@ def ingest_sales(
     judged = stage(completed.withColumn("reject_reason", reason), "judged")
     refused = judged.where(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason")
     accepted = judged.where(F.col("reject_reason").isNull())
-    numbered = assign_ids(accepted, data["fuel_sale"], "fuel_sale_id", ["sale_datetime", "seq"])
-    # Ids are dense, so receipts follow from them without a second numbering.
     first_id = data["fuel_sale"].agg(F.coalesce(F.max("fuel_sale_id"), F.lit(0))).first()[0] + 1
+    numbered = number_rows(accepted, ["sale_datetime", "seq"], "fuel_sale_id", start=first_id)
+    # Ids are dense, so receipts follow from them without a second numbering.
     receipt = numbered_code(prefix, F.col("fuel_sale_id") + F.lit(next_receipt - first_id), 6)
     types = data["fuel_sale"].schema
     inserted = numbered.withColumn("receipt_number", receipt)

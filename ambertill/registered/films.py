@@ -424,3 +424,28 @@ def active_customers(t: Retail):
 @registered(_ACTIVE.format("n > 16 AND m > 66"))
 def customers_above(t: Retail):
     return films.customers_above(*_activity(t), 16, 66)
+
+
+@registered(
+    """
+    SELECT c_custkey AS customer_id, o_orderkey AS rental_id, CAST(o_orderdate AS DATE) AS rental_date,
+           l_linenumber AS payment_id, CAST(l_shipdate AS DATE) AS payment_date
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01'
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE c_mktsegment = 'BUILDING'
+    """
+)
+def segment_history(t: Retail):
+    """Orders since 2001 and their lines for the customers of one segment."""
+    people = t["customer"].where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("customer_id"))
+    recent = t["orders"].where(F.col("o_orderdate") >= F.lit(dt.date(2001, 1, 1))).select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderkey").alias("rental_id"),
+        F.col("o_orderdate").cast("date").alias("rental_date"),
+    )
+    lines = t["lineitem"].select(
+        F.col("l_orderkey").alias("rental_id"),
+        F.col("l_linenumber").alias("payment_id"),
+        F.col("l_shipdate").cast("date").alias("payment_date"),
+    )
+    return films.rental_history(people, recent, lines)

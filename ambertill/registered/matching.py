@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ambertill.functions.numbers import as_double, money
 from ambertill.functions.ordering import sort_columns
 from ambertill.operators.matching import Lookup, resolve_keys, valid_at, with_next
 from ambertill.operators.ordered import running
-from ambertill.plans.fuel import latest_quarter_report
+from ambertill.plans.fuel import ingest_sales, latest_quarter_report
 from ambertill.registered import registered
 from ambertill.session import stage
+from ambertill.sources import fuel_network
 from ambertill.sources.retail import Retail
 
 
@@ -210,3 +213,107 @@ def latest_quarter_report_by_nation(t: Retail):
     return report.withColumns({c: as_double(F.col(c)) for c in numbers}).orderBy(
         *sort_columns(["station_name", "-total_revenue", "fuel_name"])
     )
+
+
+_INGEST = """
+    WITH batch AS (
+        SELECT event_id, user_id, ts + INTERVAL 2 YEAR AS sold_at, s_suppkey
+        FROM events LEFT JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0')
+        WHERE event_type = 'purchase'
+    ), prices AS (
+        SELECT user_id, ts + INTERVAL 2 YEAR AS valid_from, CAST(value AS DECIMAL(10,2)) AS price,
+               ts + INTERVAL 2 YEAR + to_hours(CAST(floor(value) AS INTEGER)) AS valid_to
+        FROM events WHERE event_type = 'view'
+    ), priced AS (
+        SELECT b.*, p.price FROM batch b
+        LEFT JOIN prices p ON p.user_id = b.user_id AND p.valid_from <= b.sold_at AND p.valid_to >= b.sold_at
+        WHERE s_suppkey IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY b.event_id ORDER BY p.valid_from DESC NULLS LAST) = 1
+    ), accepted AS (
+        SELECT *, row_number() OVER (ORDER BY sold_at, event_id) AS n FROM priced WHERE price > 0
+    )
+"""
+
+
+def _event_network(t: Retail):
+    """Every customer is a station selling its nation's fuel; a view sets a price, a supplier serves."""
+    people = t["customer"].select("c_custkey", "c_name", "c_nationkey")
+    later = F.make_ym_interval(F.lit(2))
+    hours = F.make_dt_interval(F.lit(0), F.floor("value").cast("int"))
+    start = F.col("ts") + later
+    data = {
+        "station": people.select(F.col("c_custkey").alias("station_id"), F.col("c_name").alias("station_code")),
+        "fuel": t["nation"].select(F.col("n_nationkey").alias("fuel_id"), F.col("n_name").alias("fuel_code")),
+        "station_fuel": people.select(
+            F.col("c_custkey").alias("station_fuel_id"),
+            F.col("c_custkey").alias("station_id"),
+            F.col("c_nationkey").alias("fuel_id"),
+        ),
+        "employee": t["supplier"].select(F.col("s_suppkey").alias("employee_id"), F.col("s_name").alias("employee_code")),
+        "customer": people.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_code")),
+        "price": t["events"].where(F.col("event_type") == "view").select(
+            F.col("user_id").alias("station_fuel_id"),
+            F.lit("regular").alias("price_type"),
+            F.col("value").cast("decimal(10,2)").alias("price_per_liter"),
+            start.cast("timestamp").alias("valid_from"),
+            (start + hours).cast("timestamp").alias("valid_to"),
+        ),
+        "fuel_sale": t.spark.createDataFrame([], fuel_network.TABLES["fuel_sale"].schema),
+    }
+    code = F.lpad(F.col("user_id").cast("string"), 9, "0")
+    homes = people.select(F.col("c_custkey").alias("user_id"), F.concat(F.lit("NATION_"), "c_nationkey").alias("fuel_code"))
+    batch = (
+        t["events"].where(F.col("event_type") == "purchase").join(homes, "user_id").select(
+            F.col("event_id").alias("seq"),
+            F.concat(F.lit("Customer#"), code).alias("station_code"),
+            "fuel_code",
+            F.concat(F.lit("Supplier#"), code).alias("employee_code"),
+            F.concat(F.lit("Customer#"), code).alias("customer_code"),
+            F.lit(2).cast("decimal(10,2)").alias("quantity_liters"),
+            F.lit("card").alias("payment_method"),
+            start.cast("timestamp").alias("sale_datetime"),
+        )
+    )
+    return data, batch
+
+
+@registered(
+    _INGEST
+    + """
+    SELECT n AS fuel_sale_id, user_id AS station_fuel_id, s_suppkey AS employee_id, user_id AS customer_id,
+           'RCPT' || lpad(CAST(n + 6 AS VARCHAR), 6, '0') AS receipt_number,
+           CAST(price AS DOUBLE) AS price_per_liter, CAST(price * 2 AS DOUBLE) AS total_amount
+    FROM accepted
+    """
+)
+def ingest_event_sales(t: Retail):
+    """Purchases by natural keys become numbered sales at the price valid then."""
+    data, batch = _event_network(t)
+    sold = ingest_sales(data, batch, dt.datetime(2026, 1, 31), next_receipt=7).inserted
+    return sold.select(
+        "fuel_sale_id",
+        "station_fuel_id",
+        "employee_id",
+        "customer_id",
+        "receipt_number",
+        as_double(F.col("price_per_liter")).alias("price_per_liter"),
+        as_double(F.col("total_amount")).alias("total_amount"),
+    )
+
+
+@registered(
+    _INGEST
+    + """
+    SELECT event_id AS seq, 'employee not found for employee_code' AS reason FROM batch WHERE s_suppkey IS NULL
+    UNION ALL
+    SELECT event_id, 'No valid regular price' FROM priced WHERE price IS NULL
+    UNION ALL
+    SELECT event_id, 'rule broken: price positive' FROM priced WHERE price <= 0
+    """
+)
+def ingest_event_rejects(t: Retail):
+    """The purchases refused, with the first reason."""
+    data, batch = _event_network(t)
+    refused = ingest_sales(data, batch, dt.datetime(2026, 1, 31), next_receipt=7).rejected
+    reason = F.regexp_extract("reject_reason", "^(No valid regular price|.*)", 1)
+    return refused.select("seq", reason.alias("reason"))

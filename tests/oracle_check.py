@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL: ``python tests/check_oracles.py [sf] [name ...]``."""
+"""Compare every registered query with its SQL: ``python tests/oracle_check.py [scale or folder] [name ...]``."""
 
 from __future__ import annotations
 
@@ -42,7 +42,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args else "0.01"
     chosen = args[1:] or list(QUERIES)
-    folder = f"/root/testdata/sf{sf}"
+    folder = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark = build_session("oracles", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connection(folder)
