@@ -19,38 +19,48 @@ from ambertill.session import MAX_GROUP_ROWS, stage
 SLICE = "_slice"
 
 
+def _ranged(df: DataFrame, order: SortKeys) -> DataFrame:
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(slices, *sort_columns(order))
+
+
 def slice_by_order(df: DataFrame, order: SortKeys) -> DataFrame:
     """Range-partition, note each row's slice and store the outcome.
 
     The borders come from sampling and would differ if the plan ran twice, so
     the slice number is written down once.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *sort_columns(order))
-    return stage(ranged.withColumn(SLICE, F.spark_partition_id()), "sliced")
+    return stage(_ranged(df, order).withColumn(SLICE, F.spark_partition_id()), "sliced")
+
+
+#: ``monotonically_increasing_id`` holds the partition above these bits and the row below.
+ROW_BITS = 33
 
 
 def number_rows(df: DataFrame, order: SortKeys, out: str, start: Column | int = 1) -> DataFrame:
     """Consecutive numbers in the given order, without a global sort in one task.
 
-    ``order`` should end in a unique column: rows that tie on all of it share a
-    slice and are numbered arbitrarily among themselves.
+    Each slice is sorted and written with its rows' positions in a single
+    shuffle; the numbers follow from the slice sizes. ``order`` should end in a
+    unique column: rows that tie on all of it share a slice and are numbered
+    arbitrarily among themselves.
     """
-    sliced = slice_by_order(df, order)
+    sorted_slices = _ranged(df, order).sortWithinPartitions(*sort_columns(order))
+    placed = stage(sorted_slices.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn(SLICE, F.shiftright("_place", ROW_BITS))
     # One row per slice, so the running total below is over a bounded set.
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(SLICE)
+        placed.groupBy(SLICE)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(SLICE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
     first = F.lit(start) if isinstance(start, int) else start
-    within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*sort_columns(order)))
+    within = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
-        sliced.withColumn("_within", within)
-        .join(F.broadcast(offsets), SLICE)
-        .withColumn(out, (first + F.col("_before") + F.col("_within") - 1).cast("long"))
-        .drop(SLICE, "_before", "_within")
+        placed.join(F.broadcast(offsets), SLICE)
+        .withColumn(out, (first + F.col("_before") + within).cast("long"))
+        .drop(SLICE, "_before", "_place")
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ambertill.functions.calendar import between_days, days_between, moment, month_bounds, quarter_bounds
 from ambertill.functions.numbers import money, total
@@ -222,6 +222,31 @@ def revenue_by_category_in_quarter(payments: DataFrame, key: str, bridge: DataFr
     )
 
 
+def define_revenue_function(spark: SparkSession, payments: DataFrame, bridge: DataFrame, prefix: str = "") -> str:
+    """The same report as a SQL table function over two views, for callers who write SQL.
+
+    ``SELECT * FROM revenue_by_category_qtr(target_date => date'2017-04-01')``. Payments are
+    keyed by film_id. The quarter stays a range on the bare payment date.
+    """
+    payments.createOrReplaceTempView(f"{prefix}film_payments")
+    bridge.createOrReplaceTempView(f"{prefix}film_categories")
+    name = f"{prefix}revenue_by_category_qtr"
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(target_date DATE)
+        RETURNS TABLE (target_year INT, target_quarter INT, category_id BIGINT, category_name STRING,
+                       total_revenue DECIMAL(28,2))
+        RETURN SELECT year(target_date), quarter(target_date), c.category_id, c.category_name, sum(p.amount)
+        FROM {prefix}film_payments p JOIN {prefix}film_categories c ON c.film_id = p.film_id
+        WHERE p.payment_date >= date_trunc('quarter', target_date)
+          AND p.payment_date < date_trunc('quarter', target_date) + INTERVAL 3 MONTHS
+        GROUP BY c.category_id, c.category_name
+        HAVING sum(p.amount) > 0
+        """
+    )
+    return name
+
+
 # ------------------------------------------------------------------- countries
 def checked_names(names: Sequence[str | None] | None) -> list[str]:
     """Trimmed names, first occurrence kept; raises on missing input."""

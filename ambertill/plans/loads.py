@@ -224,6 +224,11 @@ TRANSIT_LOADS = {
 }
 
 
+def already_present(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows a load would find in place: ``(a, b, ..) IN ((..), (..))`` as a semi join."""
+    return target.join(wanted.select(*keys), list(keys), "left_semi")
+
+
 # ----------------------------------------------------------------- film rental
 def insert_films(films: DataFrame, languages: DataFrame, batch: DataFrame, loaded_at) -> Loaded:
     """New films with their language's id; films with the same title and year are left out."""

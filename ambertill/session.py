@@ -36,16 +36,17 @@ def use_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; a cluster
-    session is refused, because executors could not share a local path.
+    Without that setting the context's own checkpoint folder is used; a local
+    session that has none gets a temporary one. A cluster session is refused
+    then, because executors could not share a local path.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ambertill-"))
     return context.getCheckpointDir().rstrip("/")
 
@@ -53,11 +54,13 @@ def scratch_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 
-    Used where several later steps must see exactly the same rows. Unlike a
-    cache it survives the loss of executors, and being columnar it still
-    lets later steps read only the columns they need.
+    Used where several later steps must see exactly the same rows, and where a
+    join should know the size of its input. Unlike a cache it survives the loss
+    of executors, and being columnar it still lets later steps read only the
+    columns they need. Files lie in one folder per application.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/ambertill/{label}-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/ambertill-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

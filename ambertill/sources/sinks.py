@@ -21,8 +21,13 @@ def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("errorifexists").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), buckets: int = 0) -> DataFrame:
+    """A catalogue table. Facts that are joined again and again on one key can be
+    bucketed by it: such joins then need no shuffle."""
+    writer = df.write.mode("errorifexists").format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ambertill.operators.quality import by_year_and_quarter, same_rows
 from ambertill.plans import films, loads
 from ambertill.sources import film_rental
+from ambertill.sources.frames import define_view, inline
 from ambertill.sources.film_rental import SCHEMAS
 from conftest import bag, plan_of, rows
 
@@ -142,6 +143,25 @@ def test_revenue_by_category(shop):
     assert same_rows(report(dt.date(2017, 4, 1)), manual)
 
 
+def test_revenue_as_sql_function_and_as_view(spark, shop):
+    paid, bridge = film_rental.payments_by_film(shop), film_rental.film_categories(shop)
+    name = films.define_revenue_function(spark, paid, bridge)
+    expected = films.revenue_by_category_in_quarter(paid, "film_id", bridge, dt.date(2017, 4, 1))
+    found = spark.sql(f"SELECT * FROM {name}(target_date => date'2017-06-30')")
+    assert bag(found) == bag(expected)
+    assert spark.sql(f"SELECT * FROM {name}(CAST(NULL AS DATE))").count() == 0
+    assert spark.sql(f"SELECT * FROM {name}(date'2026-04-08')").count() == 0
+    view = define_view(spark, "revenue_now", lambda _: expected)
+    assert view.count() == 2
+
+
+def test_rental_history(shop):
+    found = films.rental_history(shop["customer"].where("customer_id in (1, 3)"), shop["rental"], shop["payment"])
+    assert rows(found, "customer_id", "rental_id", "payment_id") == [(1, 1, 1), (1, 3, 3), (3, 4, 4), (3, 4, 5), (1, 5, None)]
+    idle = films.rental_history(shop["customer"].where("customer_id = 2"), shop["rental"].limit(0), shop["payment"])
+    assert rows(idle, "customer_id", "rental_id") == [(2, None)]
+
+
 def test_payments_by_quarter(shop):
     assert rows(by_year_and_quarter(shop["payment"], "payment_date", "amount")) == [(2017, 2, 5, Decimal("20.00"))]
 
@@ -284,6 +304,11 @@ def test_film_loads_are_rerunnable(spark, shop):
     assert pay(paid.snapshot).inserted.count() == 0
 
 
+def test_rows_already_present(spark, shop):
+    wanted = inline(spark, [("ACADEMY DINOSAUR", 2017), ("DOCTOR GRAIL", 1999)], "title string, release_year int")
+    assert rows(loads.already_present(shop["film"], wanted, ["title", "release_year"]), "film_id") == [(1,)]
+
+
 def test_open_rental_is_inserted_once(shop):
     customer = shop["customer"].where("customer_id = 2")
     first = loads.insert_open_rental(shop["rental"], shop["inventory"], shop["staff"], customer, NOW)

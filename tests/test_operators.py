@@ -212,3 +212,16 @@ def test_sinks(spark, tmp_path):
     assert spark.table("kept_rows").count() == 0
     sinks.drop_table(spark, "kept_rows")
     assert not spark.catalog.tableExists("kept_rows")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = sinks.save_table(spark.range(20).withColumn("a", F.lit(1)), "bucketed_a", ("id",), 3)
+        b = sinks.save_table(spark.range(20).withColumn("b", F.lit(1)), "bucketed_b", ("id",), 3)
+        joined = a.join(b, "id")
+        assert "Exchange" not in plan_of(joined) and joined.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        sinks.drop_table(spark, "bucketed_a")
+        sinks.drop_table(spark, "bucketed_b")

@@ -163,7 +163,7 @@ def test_a_cluster_without_shared_folder_is_refused():
 
     class Unset:
         conf = Nothing()
-        sparkContext = type("Context", (), {"master": "yarn"})
+        sparkContext = type("Context", (), {"master": "yarn", "getCheckpointDir": staticmethod(lambda: None)})
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Unset())
