@@ -29,18 +29,9 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _all_known(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-
 def _absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` without a partner in ``target``.
-
-    Rows with a NULL key have none by definition; they skip the join, so many
-    of them do not meet in one task.
-    """
-    known = batch.where(_all_known(keys)).join(target.select(*keys), list(keys), "left_anti")
-    return known.select(*batch.columns).unionByName(batch.where(~_all_known(keys)))
+    """Rows of ``batch`` without a partner in ``target``. A NULL key has none by definition."""
+    return batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: SortKeys) -> Change:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,11 +25,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: SortKeys) -> DataFr
 
 
 def first_per_known_key(df: DataFrame, keys: Sequence[str], order: SortKeys) -> DataFrame:
-    """As above, but rows with a NULL in the key are all kept: they match nothing."""
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    return first_per_key(df.where(known), keys, order).unionByName(df.where(~known))
+    """As above, but rows with a NULL in the key are all kept: they match nothing.
+
+    Each of them is made a group of its own, so they are spread as well.
+    """
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    marked = df.withColumn("_alone", F.when(unknown, F.monotonically_increasing_id()))
+    return first_per_key(marked, [*keys, "_alone"], order).drop("_alone")
 
 
 def top_with_ties(df: DataFrame, order: SortKeys, n: int) -> DataFrame:
@@ -51,6 +54,8 @@ def best_with_ties(df: DataFrame, keys: Sequence[str], measure: str) -> DataFram
     Joined to the group maxima (one row per group) rather than ranked, so a
     group whose rows all tie is not gathered in one task.
     """
+    for k in keys:  # the join drops NULL keys; said here, both sides share one plan up to the maximum
+        df = df.where(F.col(k).isNotNull())
     best = df.groupBy(*keys).agg(F.max(measure).alias("_best"))
     best = best.select(*(F.col(k).alias(f"_k_{k}") for k in keys), "_best")
     same: Column = F.col(measure) == F.col("_best")

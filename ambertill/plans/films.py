@@ -276,7 +276,7 @@ def most_popular_by_country(
     if unknown:
         raise ValueError(f"These countries do not exist: {', '.join(unknown)}")
     counted = (
-        rentals.where(F.col("country").isin(wanted))
+        rentals.where(F.col("country").isin(wanted) & F.col("film_id").isNotNull())
         .groupBy("country", "film_id")
         .agg(F.count(F.lit(1)).alias("rentals_count"))
     )
