@@ -29,6 +29,17 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _few_copies(df: DataFrame, keys: Sequence[str], copies: int = 16) -> DataFrame:
+    """Keys with at most ``copies`` rows each.
+
+    Enough to keep a frequent key from filling a task of the join that follows.
+    A full ``distinct`` would arrive already arranged by the join key, and
+    adaptive execution could then no longer split the other side.
+    """
+    marked = df.select(*keys, (F.spark_partition_id() % copies).alias("_copy"))
+    return marked.distinct().drop("_copy")
+
+
 def _absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` without a partner in ``target``. A NULL key has none by definition."""
     return batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
@@ -44,17 +55,6 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     return Change(target.unionByName(added, allowMissingColumns=True), added)
 
 
-def _few_copies(df: DataFrame, keys: Sequence[str], copies: int = 16) -> DataFrame:
-    """Keys with at most ``copies`` rows each.
-
-    Enough to keep a frequent key from filling a task of the join that follows.
-    A full ``distinct`` would arrive already arranged by the join key, and
-    adaptive execution could then no longer split the other side.
-    """
-    marked = df.select(*keys, (F.spark_partition_id() % copies).alias("_copy"))
-    return marked.distinct().drop("_copy")
-
-
 def insert_missing(target: DataFrame, batch: DataFrame, match: Sequence[str]) -> Change:
     """``INSERT .. WHERE NOT EXISTS``: repeats inside the batch are all inserted.
 
@@ -72,7 +72,8 @@ def assign_ids(rows: DataFrame, existing: DataFrame, id_column: str, order: Sort
 
 def delete_matching(target: DataFrame, doomed: DataFrame, keys: Mapping[str, str]) -> Change:
     """Delete rows whose key appears in ``doomed``; ``keys`` maps target to doomed columns."""
-    other = doomed.select(*(F.col(theirs).alias(f"_d_{mine}") for mine, theirs in keys.items()))
+    other = _few_copies(doomed, list(keys.values()))
+    other = other.select(*(F.col(theirs).alias(f"_d_{mine}") for mine, theirs in keys.items()))
     same = reduce(lambda a, b: a & b, [F.col(mine) == F.col(f"_d_{mine}") for mine in keys])
     return Change(target.join(other, same, "left_anti"), target.join(other, same, "left_semi"))
 

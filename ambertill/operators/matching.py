@@ -188,6 +188,7 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
         .groupBy(*keys, "_size", "_block")
         .agg(F.max("_v").alias("_v"))
     )
+    blocks = stage(blocks, "blocks")  # sized, and apart from the join, as in resolve_keys
     wanted = points.select("_fact", *keys, (micros(F.col("_t")) - F.lit(low)).alias("_p"), size).withColumn(
         "_block", F.expr("shiftright(_p, _size)")
     )

@@ -290,7 +290,7 @@ def most_popular_by_country(
 
 def countries_without_rentals(countries: DataFrame, customer_country: DataFrame, rentals: DataFrame) -> DataFrame:
     """Countries none of whose customers rented anything."""
-    active = rentals.select("customer_id").distinct().join(customer_country, "customer_id").select("country")
+    active = rentals.select("customer_id").distinct().join(customer_country, "customer_id").select("country").distinct()
     return countries.select("country").distinct().join(active, "country", "left_anti").orderBy("country")
 
 

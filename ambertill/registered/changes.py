@@ -194,23 +194,23 @@ def numbered_output(t: Retail):
 
 @registered(
     """
-    WITH titles AS (SELECT p_partkey AS seq, p_brand || ' ' || p_name AS title, p_type AS language_name FROM part),
-    taken AS (SELECT DISTINCT upper(title) AS t FROM titles WHERE seq % 2 = 0),
+    WITH titles AS (SELECT p_partkey AS seq, p_brand || ' ' || p_name AS title, p_type AS language_name, p_size FROM part),
+    taken AS (SELECT DISTINCT upper(title) AS t FROM titles WHERE p_size <= 25),
     fresh AS (
         SELECT DISTINCT ON (upper(title)) seq, upper(title) AS title, language_name FROM titles
-        WHERE seq % 2 = 1 AND upper(title) NOT IN (SELECT t FROM taken) ORDER BY upper(title), seq
+        WHERE p_size > 25 AND upper(title) NOT IN (SELECT t FROM taken) ORDER BY upper(title), seq
     )
-    SELECT row_number() OVER (ORDER BY seq) + (SELECT max(p_partkey) FROM part WHERE p_partkey % 2 = 0) AS film_id,
+    SELECT row_number() OVER (ORDER BY seq) + (SELECT max(p_partkey) FROM part WHERE p_size <= 25) AS film_id,
            title, upper(language_name) AS language, 2002 AS release_year,
            3 AS rental_duration, CAST(4.99 AS DOUBLE) AS rental_rate, CAST(19.99 AS DOUBLE) AS replacement_cost
     FROM fresh
     """
 )
 def register_parts(t: Retail):
-    """Half the parts are the catalogue, the other half is registered into it."""
+    """The smaller parts are the catalogue, the larger ones are registered into it."""
     title = F.concat("p_brand", F.lit(" "), "p_name")
-    even = F.col("p_partkey") % 2 == 0
-    catalogue = t["part"].where(even).select(
+    small = F.col("p_size") <= 25
+    catalogue = t["part"].where(small).select(
         F.col("p_partkey").alias("film_id"),
         title.alias("title"),
         F.lit(2000).alias("release_year"),
@@ -222,7 +222,7 @@ def register_parts(t: Retail):
     languages = t["part"].where(F.col("p_type") == "PROMO").groupBy(F.col("p_type").alias("name")).agg(
         F.min("p_partkey").alias("language_id")
     )
-    batch = t["part"].where(~even).select(
+    batch = t["part"].where(~small).select(
         F.concat(F.lit(" "), title).alias("title"), F.lower("p_type").alias("language_name"), F.col("p_partkey").alias("seq")
     )
     done = loads.register_films(catalogue, languages, batch, 2002).inserted

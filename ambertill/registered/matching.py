@@ -111,7 +111,7 @@ _CODE = "'Customer#' || lpad(CAST(o_custkey * 2 AS VARCHAR), 9, '0')"
     FROM (
         SELECT o_orderkey, c_custkey, n_nationkey FROM orders
         LEFT JOIN customer ON c_name = {_CODE}
-        LEFT JOIN nation ON n_name = 'NATION_' || CAST(o_custkey % 30 AS VARCHAR)
+        LEFT JOIN nation ON n_name = 'NATION_' || CAST(year(o_orderdate) - 1973 AS VARCHAR)
     ) WHERE c_custkey IS NOT NULL AND n_nationkey IS NOT NULL
     UNION ALL
     SELECT o_orderkey, NULL, NULL,
@@ -120,7 +120,7 @@ _CODE = "'Customer#' || lpad(CAST(o_custkey * 2 AS VARCHAR), 9, '0')"
     FROM (
         SELECT o_orderkey, c_custkey, n_nationkey FROM orders
         LEFT JOIN customer ON c_name = {_CODE}
-        LEFT JOIN nation ON n_name = 'NATION_' || CAST(o_custkey % 30 AS VARCHAR)
+        LEFT JOIN nation ON n_name = 'NATION_' || CAST(year(o_orderdate) - 1973 AS VARCHAR)
     ) WHERE c_custkey IS NULL OR n_nationkey IS NULL
     """
 )
@@ -130,7 +130,7 @@ def key_resolution(t: Retail):
     batch = t["orders"].select(
         "o_orderkey",
         F.concat(F.lit("Customer#"), number).alias("customer_code"),
-        F.concat(F.lit("NATION_"), (F.col("o_custkey") % 30).cast("string")).alias("nation_code"),
+        F.concat(F.lit("NATION_"), (F.year("o_orderdate") - 1973).cast("string")).alias("nation_code"),
     )
     lookups = (
         Lookup("cust_id", "customer", "c_custkey", {"customer_code": "c_name"}),

@@ -79,26 +79,25 @@ class Retail:
             F.col("o_orderdate").alias("time_id"),
             money("o_totalprice").alias("amount_sold"),
         )
-        return self._joined(fact, dimensions)
+        if {"customers", "countries"} & set(dimensions):
+            fact = fact.join(self.customers("countries" in dimensions), "cust_id")
+        return calendar_columns(fact, "time_id") if "times" in dimensions else fact
 
     def line_star(self, *dimensions: str) -> DataFrame:
-        """A sale is an order line; its buyer is known through the order."""
+        """A sale is an order line; its buyer is known through the order.
+
+        The two large tables meet last: lines after the product filter of the
+        report, orders after its customer filter (filters move into the inputs).
+        """
         line = self["lineitem"].select(
             F.col("l_orderkey").alias("sale_id"),
             F.col("l_partkey").alias("prod_id"),
             F.col("l_shipdate").alias("time_id"),
             money("l_extendedprice").alias("amount_sold"),
         )
+        if "products" in dimensions:
+            line = line.join(self.products(), "prod_id")
         if {"customers", "countries"} & set(dimensions):
             buyers = self["orders"].select(F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("cust_id"))
-            line = line.join(buyers, "sale_id")
-        return self._joined(line, dimensions)
-
-    def _joined(self, fact: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
-        if "products" in dimensions:
-            fact = fact.join(self.products(), "prod_id")
-        if "customers" in dimensions or "countries" in dimensions:
-            fact = fact.join(self.customers("countries" in dimensions), "cust_id")
-        if "times" in dimensions:
-            fact = calendar_columns(fact, "time_id")
-        return fact
+            line = line.join(buyers.join(self.customers("countries" in dimensions), "cust_id"), "sale_id")
+        return calendar_columns(line, "time_id") if "times" in dimensions else line
