@@ -149,30 +149,41 @@ def _all_known(columns: Sequence[str]) -> Column:
     return known
 
 
+#: Day, hour, minute, second, millisecond and microsecond, in microseconds.
+TIME_UNITS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
+
+
 def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Latest-started version covering each point, by equality joins only.
 
-    Time is cut into blocks of 1, 2, 4, ... microseconds. An interval is the
-    union of at most two blocks per size, and a point lies in one block per
-    size, so "covers" becomes equality on (key, size, block). Versions are
-    reduced to the latest per block before the join: each block matches at most
-    one row, however many versions overlap.
+    Time is cut into blocks of 1, 2, 4, ... units. An interval is the union of
+    at most two blocks per size, and a point lies in one block per size, so
+    "covers" becomes equality on (key, size, block). Versions are reduced to
+    the latest per block before the join: each block matches at most one row,
+    however many versions overlap. The unit is the coarsest one all points are
+    multiples of, which keeps the number of sizes low.
     """
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    # One row: the span decides how many block sizes are needed.
-    span = points.agg(F.min(micros(F.col("_t"))), F.max(micros(F.col("_t")))).first()
+    at = micros(F.col("_t"))
+    # One row: the span and the unit decide how many block sizes are needed.
+    span = points.agg(F.min(at), F.max(at), *(F.bool_and(at % u == 0) for u in TIME_UNITS)).first()
     result = "_fact long, _older " + versions.schema["_v"].dataType.simpleString()
     if span[0] is None:
         return points.sparkSession.createDataFrame([], result)
-    low, high = span
+    unit = next(u for u, fits in zip(TIME_UNITS, span[2:]) if fits)
+    low, high = span[0] // unit, span[1] // unit
+    # Points are whole units, so a start may be rounded up and an end down.
+    down = lambda name: F.expr(f"({name} - pmod({name}, {unit})) div {unit}")
+    start, end = down("_s") + F.expr(f"int(pmod(_s, {unit}) > 0)"), down("_until")
     sizes = max((high - low).bit_length(), 1) + 1
     size = F.explode(F.sequence(F.lit(0), F.lit(sizes - 1))).alias("_size")
 
     first = F.expr("shiftright(_a + shiftleft(1L, _size) - 1, _size)")
     last = F.expr("shiftright(_b + 1, _size) - 1")
     blocks = (
-        versions.withColumn("_a", F.greatest(micros(F.col("_t")) - F.lit(low), F.lit(0)))
-        .withColumn("_b", F.least(micros(F.col("_e")), F.lit(high)) - F.lit(low))
+        versions.withColumns({"_s": at, "_until": micros(F.col("_e"))})
+        .withColumn("_a", F.greatest(start - F.lit(low), F.lit(0)))
+        .withColumn("_b", F.least(end, F.lit(high)) - F.lit(low))
         .where("_a <= _b")
         .select(*keys, "_v", "_a", "_b", size)
         .select(*keys, "_v", "_size", first.alias("_first"), last.alias("_last"))
@@ -189,9 +200,8 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
         .agg(F.max("_v").alias("_v"))
     )
     blocks = stage(blocks, "blocks")  # sized, and apart from the join, as in resolve_keys
-    wanted = points.select("_fact", *keys, (micros(F.col("_t")) - F.lit(low)).alias("_p"), size).withColumn(
-        "_block", F.expr("shiftright(_p, _size)")
-    )
+    wanted = points.withColumn("_s", at).select("_fact", *keys, (down("_s") - F.lit(low)).alias("_p"), size)
+    wanted = wanted.withColumn("_block", F.expr("shiftright(_p, _size)"))
     hits = wanted.join(blocks, [*keys, "_size", "_block"])
     return hits.groupBy("_fact").agg(F.max("_v").alias("_older"))
 

@@ -100,6 +100,22 @@ def test_older_version_that_outlives_a_newer_one(spark):
     assert [p for _, p in sorted(rows(found, "fid", "price"))] == [1, 1, 2, 2, 3, 3, 1, 1]
 
 
+@pytest.mark.parametrize("step", [dt.timedelta(days=1), dt.timedelta(minutes=7), dt.timedelta(milliseconds=3)])
+def test_coarse_facts_against_fine_versions_before_and_after_1970(spark, step):
+    rng = random.Random(3)
+    base = dt.datetime(1969, 12, 31, 12) - 20 * step if step.days == 0 else dt.datetime(1969, 12, 12)
+    facts = [(i, "a", base + i * step) for i in range(40)]
+    versions = []
+    for price in range(25):
+        start = base + rng.random() * 40 * step
+        versions.append(("a", start, start + rng.choice([1, 3, 25]) * step * rng.random(), price))
+    versions.append(("a", base + 3 * step, base + 9 * step, 99))  # ends that fall on a fact
+    found = valid_at(
+        spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS), ["k"], "at", "s", "e", ["price"]
+    )
+    assert {r.fid: r.price for r in found.collect()} == brute_force(facts, versions)
+
+
 def test_valid_at_never_pairs_facts_with_versions(spark):
     facts = spark.createDataFrame([(1, "a", dt.datetime(2026, 1, 1))], FACTS)
     versions = spark.createDataFrame([("a", dt.datetime(2025, 1, 1), None, 1)], VERSIONS)
