@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ambertill.functions.ordering import sort_columns
 from ambertill.operators.ordered import largest_group, running
@@ -109,9 +109,11 @@ def valid_at(
     open is the exact interval search of ``_latest_open`` needed.
     """
     time_type = versions.schema[valid_from].dataType
-    far = F.lit("9999-12-31").cast("timestamp" if time_type.typeName() == "date" else time_type)
-    start = F.col(valid_from).cast(far_type(time_type))
-    end = far if valid_to is None else F.coalesce(F.col(valid_to).cast(far_type(time_type)), far)
+    if time_type.typeName() == "date":
+        time_type = T.TimestampType()  # dates are compared as timestamps
+    far = F.lit("9999-12-31").cast(time_type)
+    start = F.col(valid_from).cast(time_type)
+    end = far if valid_to is None else F.coalesce(F.col(valid_to).cast(time_type), far)
     version_rows = versions.where(_all_known([*keys, valid_from])).select(
         *keys,
         start.alias("_t"),
@@ -120,7 +122,7 @@ def valid_at(
         end.alias("_e"),
     )
     fact_rows = facts.select(
-        *facts.columns, F.col(at).cast(far_type(time_type)).alias("_t"), F.lit(1).alias("_side")
+        *facts.columns, F.col(at).cast(time_type).alias("_t"), F.lit(1).alias("_side")
     )
     outputs = {"_latest": ("last", "_v"), "_open": ("max", "_e")}
     merged = fact_rows.unionByName(version_rows, allowMissingColumns=True)
@@ -137,11 +139,6 @@ def valid_at(
     return found.select(*facts.columns, *(F.col(f"_hit.{c}").alias(c) for c in payload))
 
 
-def far_type(time_type):
-    """Dates are compared as timestamps, everything else as it is."""
-    return "timestamp" if time_type.typeName() == "date" else time_type
-
-
 def _all_known(columns: Sequence[str]) -> Column:
     known = F.lit(True)
     for c in columns:
