@@ -112,7 +112,6 @@ def answer(judge: Callable[..., np.ndarray], dtype, flags: int) -> Callable[[pa.
         items = table.column("items").to_pylist()
         lengths = np.array([len(x) // np.dtype(dtype).itemsize for x in items])
         values = np.frombuffer(b"".join(items), dtype)
-        del items
         marks: list[list[np.ndarray]] = [[] for _ in range(flags)]
         for n, raw in zip(lengths, table.column("flags").to_pylist()):
             raw, width = np.frombuffer(raw, np.uint8), -(-n // 8)

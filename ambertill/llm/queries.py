@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import substring_dedup
+from ambertill.llm import substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +54,9 @@ def registered(name: str, oracle: str | None = None):
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered("op9_suffix_array_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
