@@ -24,7 +24,7 @@ from ambertill.llm.scan import flat
 #: Documents in a block, on average.
 ROWS = 512
 #: Hash ranges for each shuffle partition.
-RANGES = 4
+RANGES = 2
 
 OFFERS = "part int, block int, items binary, flags binary"
 ANSWERS = "block int, part int, bits binary"
