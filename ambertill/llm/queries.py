@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import substring_dedup, suffix_dedup
+from ambertill.llm import simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +60,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered("op10_simhash")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

@@ -36,3 +36,32 @@ def repeated_bytes(docs, length=400):
         spans = sum(1 for k in range(len(t)) if gone[k] and (not k or not gone[k - 1]))
         out.append((i, len(t), sum(gone), spans, sha(bytes(x for x, g in zip(t, gone) if not g))))
     return sorted(out)
+
+
+def simhash(text, shingle=4):
+    import xxhash
+
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    words = lower.split()
+    if not words:
+        return 0
+    parts = [b" ".join(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_components(prints, most=4):
+    """(doc_id, component) of (doc_id, fingerprint) by comparing all pairs."""
+    root = {i: i for i, _ in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, x) in enumerate(prints):
+        for j, y in prints[:n]:
+            if (x ^ y).bit_count() <= most:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i, _ in prints}
