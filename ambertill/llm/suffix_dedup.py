@@ -23,8 +23,10 @@ from ambertill.llm.run_index import RunIndex
 
 LENGTH = 400
 GRAM = 32
-#: Different regions of one anchor that are indexed in one task.
+#: Different regions of one anchor that are put in one index.
 HOT_REGIONS = 4096
+#: Bytes of one index; one anchor may need more.
+INDEX_BYTES = 500_000
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, removed array<struct<first:bigint,bytes:bigint>>"
 _ANCHOR, _REGION, _SECOND = 21, 22, 23
 
@@ -32,7 +34,7 @@ _ANCHOR, _REGION, _SECOND = 21, 22, 23
 _REGIONS = np.dtype([("anchor", "<u8"), ("digest", "<u8"), ("first", "<u4"), ("strings", "<u4")])
 _FULL, _INDEXED, _SPREAD = 1, 2, 4
 _TOLD = np.dtype([("anchor", "<u8"), ("first", "<u4"), ("strings", "<u4"), ("how", "u1")])
-_SPANS = np.dtype([("first", "<u4"), ("strings", "<u4")])
+_SENT = np.dtype([("anchor", "<u8"), ("first", "<u4"), ("strings", "<u4")])
 
 
 def _range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -103,18 +105,32 @@ def _judge(table: pa.Table) -> pa.Table:
 
 
 def _indexed(table: pa.Table, length: int) -> pa.Table:
-    """Marks of one range: an index of its regions, matches of the wanted length."""
-    regions, blocks = _gathered(table, "items", _SPANS)
+    """Marks of one range: indexes of the regions of some anchors each, matches of the wanted length."""
+    regions, blocks = _gathered(table, "items", _SENT)
     data, _ = scan.flat(table.column("flags"))
-    starts = np.concatenate([[0], np.cumsum(regions["strings"].astype(np.int64) + length - 1)])
-    long = RunIndex(data, starts).repeated(length)
-    edges = np.flatnonzero(np.diff(long.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
-    row = np.searchsorted(starts, edges[:, 0], side="right") - 1
-    marks = np.zeros(len(edges), _TOLD)
-    marks["first"] = regions["first"][row] + (edges[:, 0] - starts[row])
-    marks["strings"] = edges[:, 1] - edges[:, 0]
-    marks["how"] = _FULL
-    return _returned(blocks[row], marks)
+    sizes = regions["strings"].astype(np.int64) + length - 1
+    starts = np.cumsum(sizes) - sizes
+    order = np.argsort(regions["anchor"], kind="stable")
+    anchor = regions["anchor"][order]
+    new = np.flatnonzero(np.diff(anchor, prepend=anchor[:1] ^ np.uint64(1)))
+    before = np.concatenate([[0], np.cumsum(sizes[order])])
+    lot = before[new] // INDEX_BYTES
+    cuts = [*new[np.flatnonzero(np.diff(lot, prepend=-1))].tolist(), len(order)]
+    marks, holders = [], []
+    for a, b in zip(cuts, cuts[1:]):
+        chosen = order[a:b]
+        text = np.concatenate([data[starts[k] : starts[k] + sizes[k]] for k in chosen])
+        rows = before[a : b + 1] - before[a]
+        long = RunIndex(text, rows).repeated(length)
+        edges = np.flatnonzero(np.diff(long.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+        row = np.searchsorted(rows, edges[:, 0], side="right") - 1
+        found = np.zeros(len(edges), _TOLD)
+        found["first"] = regions["first"][chosen[row]] + (edges[:, 0] - rows[row])
+        found["strings"] = edges[:, 1] - edges[:, 0]
+        found["how"] = _FULL
+        marks.append(found)
+        holders.append(blocks[chosen[row]])
+    return _returned(np.concatenate(holders), np.concatenate(marks))
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -158,12 +174,13 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         regions = _sorted(_gathered(bits, "bits", _TOLD)[0])
         chosen = regions[(regions["how"] & _INDEXED) > 0]
         part = _range_of(chosen["anchor"], parts)
-        spans = np.zeros(len(chosen), _SPANS)
-        spans["first"], spans["strings"] = chosen["first"], chosen["strings"]
-        out = _dealt(part, block.number, spans)
+        sent = np.zeros(len(chosen), _SENT)
+        for name in _SENT.names:
+            sent[name] = chosen[name]
+        out = _dealt(part, block.number, sent)
         texts = []
         for raw in out.column("items").to_pylist():
-            texts.append(b"".join(block.data[f : f + s + length - 1].tobytes() for f, s in np.frombuffer(raw, _SPANS).tolist()))
+            texts.append(b"".join(block.data[f : f + s + length - 1].tobytes() for _, f, s in np.frombuffer(raw, _SENT).tolist()))
         out = out.append_column("flags", pa.array(texts, pa.binary()))
         _, found = windows(block, regions)
         if len(found.values):

@@ -57,6 +57,7 @@ def test_bytes(spark, length):
 
 def test_passage_with_many_surroundings(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT_REGIONS", 2)
+    monkeypatch.setattr(suffix_dedup, "INDEX_BYTES", 300)
     docs = corpus(5, 80)
     assert bytes_of(spark, docs, length=60) == brute.repeated_bytes(docs, 60)
 
