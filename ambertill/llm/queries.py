@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import simhash, substring_dedup, suffix_dedup
+from ambertill.llm import decontamination, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +66,88 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, folder, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@registered(
+    "op2_decontamination",
+    rf"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), '{_LETTERS}') AS ws FROM documents
+    ), items AS (
+        SELECT item_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), '{_LETTERS}') AS ws FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[s:s + least(len(ws), 10) - 1], ' ') AS k
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS s FROM items WHERE len(ws) > 0)
+    ), sizes AS (
+        SELECT DISTINCT n FROM windows
+    ), starts AS (
+        SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS k
+        FROM (SELECT doc_id, ws, n, unnest(range(1, greatest(len(ws) - n + 2, 1))) AS s FROM texts, sizes)
+    ), found AS (
+        SELECT doc_id, item_id, n, s FROM starts JOIN windows USING (n, k)
+    ), hit AS (
+        SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS w FROM found) GROUP BY doc_id
+    ), listed AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    marked = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.concat_ws(",", F.array_sort(F.transform("items", lambda i: i.cast("string"))))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+@registered(
+    "op3_mixing",
+    r"""
+    WITH RECURSIVE sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+    ), sources AS (
+        SELECT source, source_size, 3 * source_size AS cap,
+               1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+        FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)
+    ), lists AS (
+        SELECT list(cap) AS caps, list(weight) AS weights, CAST(sum(source_size) AS BIGINT) AS total FROM sources
+    ), levels AS (
+        SELECT 0 AS k, CAST(0 AS DOUBLE) AS level, caps, weights, total FROM lists
+        UNION ALL
+        SELECT k + 1,
+               (total - list_sum(list_transform(range(1, len(caps) + 1), lambda i: CASE WHEN caps[i] < weights[i] * level THEN caps[i] ELSE 0 END)))
+               / list_sum(list_transform(range(1, len(caps) + 1), lambda i: CASE WHEN caps[i] < weights[i] * level THEN 0 ELSE weights[i] END)),
+               caps, weights, total
+        FROM levels WHERE k < 50
+    ), shares AS (
+        SELECT source, source_size, least(CAST(cap AS DOUBLE), weight * (SELECT max(level) FROM levels)) AS target FROM sources
+    ), rates AS (
+        SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM shares
+    )
+    SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+           CAST(size * (floor(rate) + CASE WHEN
+             CAST('0x' || substr(md5('20:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 < rate - floor(rate)
+             THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
+    """,
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.repetitions(table(spark, folder, "documents"))
+    return mix.select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).cast("long").alias("taken")
+    )
+
+
+@registered("op6_sharding")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = sharding.sharded(table(spark, folder, "documents"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

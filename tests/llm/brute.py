@@ -65,3 +65,51 @@ def near_components(prints, most=4):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: find(i) for i, _ in prints}
+
+
+def test_words(text):
+    out, word = [], bytearray()
+    for b in (text or "").encode() + b" ":
+        b = b + 32 if 65 <= b <= 90 else b
+        if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128:
+            word.append(b)
+        elif word:
+            out.append(bytes(word))
+            word = bytearray()
+    return out
+
+
+test_words.__test__ = False
+
+
+def contaminated(docs, items, window=10):
+    """(doc_id, n_words, n_hit, item ids as strings, sorted and joined)."""
+    wanted = [(i, w) for i, t in items if (w := test_words(t))]
+    out = []
+    for d, t in docs:
+        words = test_words(t)
+        hit, found = set(), set()
+        for i, w in wanted:
+            n = min(window, len(w))
+            for s in range(len(w) - n + 1):
+                for k in range(len(words) - n + 1):
+                    if words[k : k + n] == w[s : s + n]:
+                        hit.update(range(k, k + n))
+                        if i is not None:
+                            found.add(str(i))
+        out.append((d, len(words), len(hit), ",".join(sorted(found))))
+    return sorted(out, key=repr)
+
+
+def smallest_capacity(sizes, shards):
+    """The least capacity that cuts the ordered sizes into at most so many runs."""
+
+    def runs(capacity):
+        n, room = 0, 0
+        for s in sizes:
+            if s > room:
+                n, room = n + 1, capacity
+            room -= s
+        return n
+
+    return next(c for c in range(max(sizes), sum(sizes) + 1) if runs(c) <= shards)
