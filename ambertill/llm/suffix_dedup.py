@@ -37,7 +37,9 @@ _TOLD = np.dtype([("anchor", "<u8"), ("first", "<u4"), ("strings", "<u4"), ("how
 _SENT = np.dtype([("anchor", "<u8"), ("first", "<u4"), ("strings", "<u4")])
 
 
-def _range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+def _range_of(anchors: np.ndarray, parts: int) -> np.ndarray:
+    """The range of each anchor; being least hashes, anchors are small numbers and are mixed again."""
+    hashes = scan.mix(anchors)
     return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
@@ -194,7 +196,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def mark(table: pa.Table) -> pa.Table:
         return _indexed(table, length) if table.column("part")[0].as_py() >= 0 else spread(table)
 
-    marked = with_answers(blocks, told, send, "part int, block int, items binary, flags binary").groupBy("part").applyInArrow(mark, "block int, part int, bits binary")
+    # As many tasks as ranges: an index takes much more time than its bytes suggest.
+    sent = with_answers(blocks, told, send, "part int, block int, items binary, flags binary").repartition(parts, "part")
+    marked = sent.groupBy("part").applyInArrow(mark, "block int, part int, bits binary")
     both = told.withColumn("round", F.lit(0)).union(marked.withColumn("round", F.lit(1)))
 
     def finish(block: Block, bits: pa.Table) -> pa.Table:
