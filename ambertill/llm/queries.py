@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import decontamination, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import decontamination, language, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,3 +151,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.sharded(table(spark, folder, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@registered("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = language.remainder(3) == 1
+    found = language.predict(docs, language.train(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
