@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import decontamination, language, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import decontamination, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,3 +159,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     held = language.remainder(3) == 1
     found = language.predict(docs, language.train(docs.where(~held)))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@registered("op5_lm_scoring")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(table(spark, folder, "documents"))

@@ -113,3 +113,55 @@ def smallest_capacity(sizes, shards):
         return n
 
     return next(c for c in range(max(sizes), sum(sizes) + 1) if runs(c) <= shards)
+
+
+def fold(doc_id, of):
+    import zlib
+
+    return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % of
+
+
+def tokens(text):
+    return bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()).split() + [None]
+
+
+def base_scores(docs):
+    """(doc_id, held out, n_tokens, n_known, train_tokens, base_score)."""
+    from math import log10
+
+    seen = Counter(w for i, t in docs if fold(i, 5) != 1 for w in tokens(t))
+    n, v = sum(seen.values()), len(seen)
+    return [
+        (i, fold(i, 5) == 1, len(ws), sum(w in seen for w in ws), n, sum(log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
+        for i, t in docs
+        for ws in [tokens(t)]
+    ]
+
+
+def ppm_score(train, text, order):
+    """log10 probability by escapes of weight "different symbols" and exclusion, one symbol after the other."""
+    from math import log10
+
+    counts = defaultdict(Counter)
+    for t in train:
+        line = b"\0" * order + t + b"\xff"
+        for p in range(order, len(line)):
+            for k in range(order + 1):
+                counts[line[p - k : p]][line[p]] += 1
+    total = 0.0
+    line = b"\0" * order + text + b"\xff"
+    for p in range(order, len(line)):
+        excluded = set()
+        for k in range(order, -1, -1):
+            here = {s: n for s, n in counts.get(line[p - k : p], {}).items() if s not in excluded}
+            whole = counts.get(line[p - k : p], {})
+            mass, kinds = sum(here.values()), len(here)
+            if line[p] in here:
+                total += log10(here[line[p]] / (mass + kinds))
+                break
+            if kinds:
+                total += log10(kinds / (mass + kinds))
+            excluded |= set(whole)
+        else:
+            total -= log10(256 - len(excluded))
+    return total
