@@ -24,7 +24,7 @@ WINDOW = 10
 #: Words of test items that are searched for at once; what is broadcast is some 100 bytes for each.
 LOT_WORDS = 200_000
 #: Candidate places that are intersected at once.
-CANDIDATES = 1_000_000
+CANDIDATES = 200_000
 _TERM = 41
 
 INDEX = "doc_ids array<bigint>, contents array<bigint>, firsts binary, terms binary, offsets binary, positions binary"
@@ -153,15 +153,15 @@ class Postings:
         return sorted(found)
 
 
-def _lots(items: DataFrame) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Test items in lots: ids, hashes of all words, and the first word of each item."""
+def _lots(items: DataFrame) -> Iterator[tuple[bool, list, np.ndarray, np.ndarray]]:
+    """Test items in lots: is it the last, ids, hashes of all words, and the first word of each item."""
     plain = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     lots = max(1, math.ceil(size / (5 * LOT_WORDS)))
     for lot in range(lots):
         table = plain.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(lots)) == lot).toArrow()
         hashes, firsts = _terms(table.column("text"))
-        yield table.column("item_id").to_pylist(), hashes, firsts
+        yield lot == lots - 1, table.column("item_id").to_pylist(), hashes, firsts
 
 
 def _windows(firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,53 +185,52 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     """
     found = build_index(docs).select("*", F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<array<bigint>>").alias("items"))
     context = docs.sparkSession.sparkContext
-    for number, (ids, hashes, firsts) in enumerate(_lots(items)):
-        if number:
-            found = stage(found, "marks")
+    for last, ids, hashes, firsts in _lots(items):
         lot = context.broadcast((ids, hashes, *_windows(firsts, window)))
 
-        def work(batches: Iterator[pa.RecordBatch], lot=lot) -> Iterator[pa.RecordBatch]:
-            ids, hashes, starts, lengths, item = lot.value
+        def work(batches: Iterator[pa.RecordBatch], lot=lot, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
                     one = batch.slice(row, 1)
-                    values = one.to_pylist()[0]
-                    index = Postings(values)
-                    hit = np.unpackbits(np.frombuffer(values["hits"], np.uint8), count=index.total) if values["hits"] else np.zeros(index.total, np.uint8)
-                    listed = [set(x) for x in values["items"] or [[]] * (len(index.firsts) - 1)]
-                    ends = np.zeros(index.total + 1, np.int32)
-                    for phrase, at in index.phrases(hashes, starts, lengths):
-                        np.add.at(ends, at, 1)
-                        np.add.at(ends, at + lengths[phrase], -1)
-                        for d, i in np.unique(np.stack([index.document(at), item[phrase]], 1), axis=0).tolist():
-                            listed[d].add(ids[i])
-                    hit |= np.cumsum(ends[:-1]) > 0
-                    yield pa.RecordBatch.from_arrays(
-                        [*one.columns[:-2], pa.array([np.packbits(hit).tobytes()], pa.binary()), pa.array([[list(x) for x in listed]], pa.list_(pa.list_(pa.int64())))],
-                        names=one.schema.names,
-                    )
-
-        found = found.mapInArrow(work, f"{INDEX}, {MARKS}")
-    return found.mapInArrow(_per_document, RESULT)
-
-
-def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(batch.num_rows):
-            values = batch.slice(row, 1).to_pylist()[0]
-            firsts = np.frombuffer(values["firsts"], np.int64)
-            hit = np.unpackbits(np.frombuffer(values["hits"], np.uint8), count=int(firsts[-1]))
-            before = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(values["doc_ids"], pa.int64()),
-                    pa.array(values["contents"], pa.int64()),
-                    pa.array(np.diff(firsts), pa.int64()),
-                    pa.array(np.diff(before[firsts]), pa.int64()),
-                    pa.array([sorted(i for i in x if i is not None) for x in values["items"]], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "content", "n_words", "n_hit", "items"],
-            )
+                    hit, listed = _marked(one.to_pylist()[0], *lot.value)
+                    yield _per_document(one, hit, listed) if last else _with_marks(one, hit, listed)
+
+        found = found.mapInArrow(work, RESULT) if last else stage(found.mapInArrow(work, f"{INDEX}, {MARKS}"), "marks")
+    return found
+
+
+def _marked(row: dict, ids: list, terms: np.ndarray, starts: np.ndarray, lengths: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, list[set]]:
+    """Hit words and listed items of one row of the index, those of earlier lots included."""
+    index = Postings(row)
+    hit = np.unpackbits(np.frombuffer(row["hits"], np.uint8), count=index.total) if row["hits"] else np.zeros(index.total, np.uint8)
+    listed = [set(x) for x in row["items"] or [[]] * (len(index.firsts) - 1)]
+    ends = np.zeros(index.total + 1, np.int32)
+    for phrase, at in index.phrases(terms, starts, lengths):
+        np.add.at(ends, at, 1)
+        np.add.at(ends, at + lengths[phrase], -1)
+        for d, i in np.unique(np.stack([index.document(at), item[phrase]], 1), axis=0).tolist():
+            listed[d].add(ids[i])
+    return hit | (np.cumsum(ends[:-1]) > 0), listed
+
+
+def _with_marks(row: pa.RecordBatch, hit: np.ndarray, listed: list[set]) -> pa.RecordBatch:
+    marks = [pa.array([np.packbits(hit).tobytes()], pa.binary()), pa.array([[list(x) for x in listed]], pa.list_(pa.list_(pa.int64())))]
+    return pa.RecordBatch.from_arrays([*row.columns[:-2], *marks], names=row.schema.names)
+
+
+def _per_document(row: pa.RecordBatch, hit: np.ndarray, listed: list[set]) -> pa.RecordBatch:
+    firsts = np.frombuffer(row.column("firsts")[0].as_py(), np.int64)
+    before = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(row.column("doc_ids")[0].as_py(), pa.int64()),
+            pa.array(row.column("contents")[0].as_py(), pa.int64()),
+            pa.array(np.diff(firsts), pa.int64()),
+            pa.array(np.diff(before[firsts]), pa.int64()),
+            pa.array([sorted(i for i in x if i is not None) for x in listed], pa.list_(pa.int64())),
+        ],
+        ["doc_id", "content", "n_words", "n_hit", "items"],
+    )
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, within: int) -> DataFrame:
@@ -241,8 +240,8 @@ def proximity_matches(docs: DataFrame, items: DataFrame, within: int) -> DataFra
     """
     index = build_index(docs)
     context = docs.sparkSession.sparkContext
-    parts = []
-    for ids, hashes, firsts in _lots(items):
+    parts: list[DataFrame] = []
+    for _, ids, hashes, firsts in _lots(items):
         lot = context.broadcast((ids, hashes, firsts))
 
         def work(batches: Iterator[pa.RecordBatch], lot=lot) -> Iterator[pa.RecordBatch]:
