@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import decontamination, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import decontamination, fingerprints, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +164,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op5_lm_scoring")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(table(spark, folder, "documents"))
+
+
+@registered("op8_fingerprints")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(table(spark, folder, "documents"))

@@ -165,3 +165,24 @@ def ppm_score(train, text, order):
         else:
             total -= log10(256 - len(excluded))
     return total
+
+
+def sketch(text, shingle=5, one_in=8):
+    import struct
+    import xxhash
+
+    words = (text or "").encode().split()
+
+    def chain(hashes):
+        h = 42
+        for w in hashes:
+            h = xxhash.xxh64_intdigest(struct.pack("<Q", w), h)
+        return h
+
+    hashes = [xxhash.xxh64_intdigest(w, 42) for w in words]
+    if 0 < len(words) < shingle:
+        found = [chain(hashes)]
+    else:
+        found = [chain(hashes[k : k + shingle]) for k in range(len(hashes) - shingle + 1)]
+    signed = sorted({h - (1 << 64) if h >> 63 else h for h in found})
+    return [h for h in signed if h < -(1 << 63) + (1 << 64) // one_in]
