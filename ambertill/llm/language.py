@@ -133,39 +133,39 @@ def train(labelled: DataFrame, entries: int = ENTRIES) -> dict:
 class Predictor:
     def __init__(self, model: dict):
         self.langs, self.entries, self.logs = model["langs"], model["entries"], model["logs"].astype(np.float64)
-        self.unseen: dict[str, np.ndarray | None] = {}
+        self.unseen: dict[str, list[int]] = {}
 
-    def backed_off(self, word: str) -> np.ndarray | None:
-        """Mean log frequencies of the longest n-grams of which some are known."""
-        if word not in self.unseen:
+    def backed_off(self, word: str) -> list[int]:
+        """The known ones among the longest n-grams of which some are known."""
+        found = self.unseen.get(word)
+        if found is None:
             if len(self.unseen) > HELD:
                 self.unseen.clear()
-            logs = None
+            entry, found = self.entries.get, []
             for n in range(LONGEST, SHORTEST - 1, -1):
-                known = [self.entries[g] for g in grams(word, n) if g in self.entries]
-                if known:
-                    logs = self.logs[known].mean(axis=0)
+                found = [k for g in grams(word, n) if (k := entry(g)) is not None]
+                if found:
                     break
-            self.unseen[word] = logs
-        return self.unseen[word]
+            self.unseen[word] = found
+        return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = Counter(words(text or ""))
         if not found or not self.langs:
             return UNKNOWN, 0.0
-        known, times = [], []
-        total = np.zeros(len(self.langs))
+        known: list[int] = []
+        weights: list[float] = []
         for word, n in found.items():
             at = self.entries.get(" " + word)
             if at is not None:
                 known.append(at)
-                times.append(n)
+                weights.append(n)
             else:
-                logs = self.backed_off(word)
-                if logs is not None:
-                    total += n * logs
-        if known:
-            total += np.array(times, float) @ self.logs[known]
+                # The mean over the n-grams counts as one word.
+                shorter = self.backed_off(word)
+                known += shorter
+                weights += [n / len(shorter)] * len(shorter) if shorter else []
+        total = np.array(weights) @ self.logs[known] if known else np.zeros(len(self.langs))
         share = np.exp(total - total.max())
         best = int(np.argmax(share))
         return self.langs[best], float(share[best] / share.sum())
