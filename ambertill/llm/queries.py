@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import decontamination, fingerprints, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import decontamination, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,3 +169,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op8_fingerprints")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(table(spark, folder, "documents"))
+
+
+@registered("op4_html_extraction")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
