@@ -20,13 +20,15 @@ from ambertill.llm.blocks import Block, Distinct, in_blocks, per_block, ranges,
 from ambertill.session import stage
 
 ORDER = 5
-NODES = 2_000_000
+NODES = 1_000_000
 #: A text is held out if crc32 of its id as text leaves ``HELD_OUT`` when divided by ``FOLDS``.
 FOLDS, HELD_OUT = 5, 1
 #: Strings that a task sums up before it passes them on.
-HELD = 4_000_000
+HELD = 2_000_000
+#: Documents in a block: a task holds the trie beside it.
+ROWS = 256
 SMOOTHING = 0.5
-_WORD, _SECOND = 51, 52
+_WORD, _SECOND = 52, 54
 #: The hash of the token that ends a text; no word has it but by chance.
 _END = np.uint64(0x9E3779B97F4A7C15)
 _ASKED = np.dtype([("word", "<u8"), ("n", "<u4")])
@@ -139,7 +141,7 @@ def score(docs: DataFrame, order: int = ORDER, nodes: int = NODES) -> DataFrame:
     model = train(docs.where(_is_training()), order, nodes)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     parts = ranges(docs.sparkSession)
-    blocks = in_blocks(docs)
+    blocks = in_blocks(docs, ROWS)
 
     def ask(block: Block) -> pa.Table:
         tokens = _Tokens(block, parts)

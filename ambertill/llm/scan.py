@@ -58,7 +58,8 @@ _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
 def powers(seed: int, n: int, inverse: bool = False) -> np.ndarray:
-    """The first ``n`` powers of the base (or of its inverse)."""
+    """The first ``n`` powers of the base (or of its inverse). Even seeds share one base and odd ones another."""
+    seed %= 2
     known = _POWERS.get((seed, inverse))
     if known is None or len(known) < n:
         factors = np.full(max(n, 1 << 16), _base(seed)[inverse], np.uint64)
