@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,6 +51,15 @@ def month_bounds(day: dt.date) -> tuple[dt.date, dt.date]:
     return day.replace(day=1), after
 
 
+def month_of(text: str) -> dt.date:
+    """First day of a month given as yyyy-MM."""
+    return dt.date.fromisoformat(f"{text}-01")
+
+
+def any_of(ranges: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, ranges)
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     return F.datediff(later.cast("date"), earlier.cast("date"))
 

@@ -16,6 +16,11 @@ def total(column: str | Column) -> Column:
     return F.sum(money(column))
 
 
+def total_of_sums(column: str) -> Column:
+    """A sum over amounts or over their sums."""
+    return F.sum(F.col(column).cast("decimal(28,2)"))
+
+
 def as_double(column: Column) -> Column:
     return column.cast("double")
 

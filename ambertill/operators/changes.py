@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ambertill.functions.ordering import SortKeys
 from ambertill.operators.ordered import number_rows
-from ambertill.operators.ranking import first_per_key, first_per_known_key
+from ambertill.operators.ranking import first_per_key
 
 
 class Change(NamedTuple):
@@ -29,7 +29,7 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _few_copies(df: DataFrame, keys: Sequence[str], copies: int = 16) -> DataFrame:
+def few_copies(df: DataFrame, keys: Sequence[str], copies: int = 16) -> DataFrame:
     """Keys with at most ``copies`` rows each.
 
     Enough to keep a frequent key from filling a task of the join that follows.
@@ -48,10 +48,12 @@ def _absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFra
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: SortKeys) -> Change:
     """``ON CONFLICT (keys) DO NOTHING``: also drops repeats inside the batch.
 
-    ``order`` says which of several batch rows with one key wins.
+    ``order`` says which of several batch rows with one key wins. Rows with a NULL in the key match nothing and are all
+    added; only the others are shuffled, once for the choice and the join.
     """
-    once = first_per_known_key(batch, keys, order)
-    added = _absent(once, target, keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    once = first_per_key(batch.where(known), keys, order)
+    added = _absent(once, target, keys).unionByName(batch.where(~known))
     return Change(target.unionByName(added, allowMissingColumns=True), added)
 
 
@@ -60,7 +62,7 @@ def insert_missing(target: DataFrame, batch: DataFrame, match: Sequence[str]) ->
 
     The match columns need not be unique in the target.
     """
-    added = _absent(batch, _few_copies(target, match), match)
+    added = _absent(batch, few_copies(target, match), match)
     return Change(target.unionByName(added, allowMissingColumns=True), added)
 
 
@@ -72,7 +74,7 @@ def assign_ids(rows: DataFrame, existing: DataFrame, id_column: str, order: Sort
 
 def delete_matching(target: DataFrame, doomed: DataFrame, keys: Mapping[str, str]) -> Change:
     """Delete rows whose key appears in ``doomed``; ``keys`` maps target to doomed columns."""
-    other = _few_copies(doomed, list(keys.values()))
+    other = few_copies(doomed, list(keys.values()))
     other = other.select(*(F.col(theirs).alias(f"_d_{mine}") for mine, theirs in keys.items()))
     same = reduce(lambda a, b: a & b, [F.col(mine) == F.col(f"_d_{mine}") for mine in keys])
     return Change(target.join(other, same, "left_anti"), target.join(other, same, "left_semi"))
@@ -152,14 +154,14 @@ def patch_columns(
         }
     ).select(*target.columns)
     not_allowed = patches.where(~F.coalesce(F.col("column_name").isin(list(allowed)), F.lit(False))).withColumn(
-        "reject_reason", F.format_string('Column "%s" is not allowed for updating', "column_name")
+        "reject_reason", F.format_string("column %s may not be changed", "column_name")
     )
     unknown = permitted.join(target.select(key), key, "left_anti").withColumn(
-        "reject_reason", F.format_string(f"{key} = %s was not found", key)
+        "reject_reason", F.format_string(f"no row has {key} %s", key)
     )
     messages = permitted.join(target.select(key), key, "left_semi").withColumn(
         "message",
-        F.format_string(f'Field "%s" for {key} = %s was updated to "%s".', "column_name", key, "new_value"),
+        F.format_string(f"{key} %s: %s is now %s", key, "column_name", F.coalesce("new_value", F.lit("empty"))),
     )
     columns = [*patches.columns, "reject_reason"]
     return Patch(snapshot, messages, not_allowed.select(columns).unionByName(unknown.select(columns)))

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ambertill.functions.ordering import sort_columns
-from ambertill.operators.ordered import largest_group, running
-from ambertill.session import MAX_GROUP_ROWS, stage
+from ambertill.operators.ordered import number_rows, running
+from ambertill.session import stage
 
 
 # ---------------------------------------------------------------- key lookups
@@ -74,6 +73,7 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
     reason = F.coalesce(*failures, reason) if failures else reason
     found = [lookup.out for lookup in lookups]
     checked = current.withColumn("reject_reason", reason).select(*batch.columns, *found, "reject_reason")
+    checked = stage(checked, "resolved")  # the good and the refused rows come from one run of the joins
     return (
         checked.where(F.col("reject_reason").isNull()).drop("reject_reason"),
         checked.where(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason"),
@@ -81,12 +81,6 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
 
 
 # ------------------------------------------------------------ interval lookup
-def _nested_versions(versions: DataFrame, keys: Sequence[str], max_group_rows: int, largest: int) -> bool:
-    """Does an older version outlive a newer one of the same key?"""
-    scanned = running(versions, keys, ["_t", "_v"], {"_open": ("max", "_e")}, max_group_rows, largest)
-    return not scanned.where(F.col("_open") > F.col("_e")).limit(1).isEmpty()
-
-
 def valid_at(
     facts: DataFrame,
     versions: DataFrame,
@@ -95,7 +89,6 @@ def valid_at(
     valid_from: str,
     valid_to: str | None,
     payload: Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Attach to each fact the version valid at its time; NULL when none is.
 
@@ -105,37 +98,40 @@ def valid_at(
 
     Versions and facts are merged in time order, and each fact takes the last
     version started before it. That is one pass, with no pairs of facts and
-    versions. Only where that version has ended while an older one is still
-    open is the exact interval search of ``_latest_open`` needed.
+    versions; it also carries the latest end so far. Only facts whose version has ended while an
+    older one is still open go through the exact interval search of ``_latest_open``.
     """
     time_type = versions.schema[valid_from].dataType
     if time_type.typeName() == "date":
         time_type = T.TimestampType()  # dates are compared as timestamps
-    far = F.lit("9999-12-31").cast(time_type)
     start = F.col(valid_from).cast(time_type)
-    end = far if valid_to is None else F.coalesce(F.col(valid_to).cast(time_type), far)
+    end = F.lit(None).cast(time_type) if valid_to is None else F.col(valid_to).cast(time_type)
     version_rows = versions.where(_all_known([*keys, valid_from])).select(
         *keys,
         start.alias("_t"),
         F.lit(0).alias("_side"),
         F.struct(start.alias("start"), end.alias("end"), *payload).alias("_v"),
-        end.alias("_e"),
+        F.struct(end.isNull().alias("open"), end.alias("end")).alias("_e"),
     )
     fact_rows = facts.select(
         *facts.columns, F.col(at).cast(time_type).alias("_t"), F.lit(1).alias("_side")
     )
-    outputs = {"_latest": ("last", "_v"), "_open": ("max", "_e")}
+    outputs = {"_latest": ("last", "_v")} | ({} if valid_to is None else {"_open": ("max", "_e")})
     merged = fact_rows.unionByName(version_rows, allowMissingColumns=True)
-    largest = largest_group(merged, keys)  # of facts and versions together: enough for both scans
-    scanned = running(merged, keys, ["_t", "_side", "_v"], outputs, max_group_rows, largest).where("_side = 1")
-    current = F.when(F.col("_latest.end") >= F.col("_t"), F.col("_latest"))
-    if valid_to is None or not _nested_versions(version_rows, keys, max_group_rows, largest):
+    scanned = running(merged, keys, ["_t", "_side", "_v"], outputs).where("_side = 1")
+    covers = F.col("_latest.end").isNull() | (F.col("_latest.end") >= F.col("_t"))
+    current = F.when(F.col("_t").isNotNull() & covers, F.col("_latest"))
+    if valid_to is None:
         found = scanned.withColumn("_hit", current)
     else:
         numbered = stage(scanned.withColumn("_fact", F.monotonically_increasing_id()), "valid-at")
-        unsettled = numbered.where((F.col("_latest.end") < F.col("_t")) & (F.col("_open") >= F.col("_t")))
-        older = _latest_open(unsettled, version_rows, keys)
-        found = numbered.join(older, "_fact", "left").withColumn("_hit", F.coalesce(current, F.col("_older")))
+        outlived = F.col("_open.open") | (F.col("_open.end") >= F.col("_t"))
+        unsettled = numbered.where((F.col("_latest.end") < F.col("_t")) & outlived)
+        older = _latest_open(unsettled.select("_fact", *keys, "_t"), version_rows, keys)
+        if older is None:
+            found = numbered.withColumn("_hit", current)
+        else:
+            found = numbered.join(older, "_fact", "left").withColumn("_hit", F.coalesce(current, F.col("_older")))
     return found.select(*facts.columns, *(F.col(f"_hit.{c}").alias(c) for c in payload))
 
 
@@ -150,7 +146,7 @@ def _all_known(columns: Sequence[str]) -> Column:
 TIME_UNITS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
 
 
-def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """Latest-started version covering each point, by equality joins only.
 
     Time is cut into blocks of 1, 2, 4, ... units. An interval is the union of
@@ -158,15 +154,15 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
     "covers" becomes equality on (key, size, block). Versions are reduced to
     the latest per block before the join: each block matches at most one row,
     however many versions overlap. The unit is the coarsest one all points are
-    multiples of, which keeps the number of sizes low.
+    multiples of, which keeps the number of sizes low. Versions of keys without
+    such points, and those that ended before or started after them, are left out first. None without points.
     """
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     at = micros(F.col("_t"))
     # One row: the span and the unit decide how many block sizes are needed.
     span = points.agg(F.min(at), F.max(at), *(F.bool_and(at % u == 0) for u in TIME_UNITS)).first()
-    result = "_fact long, _older " + versions.schema["_v"].dataType.simpleString()
     if span[0] is None:
-        return points.sparkSession.createDataFrame([], result)
+        return None
     unit = next(u for u, fits in zip(TIME_UNITS, span[2:]) if fits)
     low, high = span[0] // unit, span[1] // unit
     # Points are whole units, so a start may be rounded up and an end down.
@@ -177,10 +173,13 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
 
     first = F.expr("shiftright(_a + shiftleft(1L, _size) - 1, _size)")
     last = F.expr("shiftright(_b + 1, _size) - 1")
+    asked = points.groupBy(*keys).agg(F.min("_t").alias("_from"), F.max("_t").alias("_upto"))
+    asked = stage(asked, "asked")  # sized, and apart from the join, as in resolve_keys
+    concerned = versions.join(asked, list(keys)).where("_t <= _upto and (_v.end is null or _v.end >= _from)")
     blocks = (
-        versions.withColumns({"_s": at, "_until": micros(F.col("_e"))})
+        concerned.withColumns({"_s": at, "_until": micros(F.col("_v.end"))})
         .withColumn("_a", F.greatest(start - F.lit(low), F.lit(0)))
-        .withColumn("_b", F.least(end, F.lit(high)) - F.lit(low))
+        .withColumn("_b", F.coalesce(F.least(end, F.lit(high)), F.lit(high)) - F.lit(low))
         .where("_a <= _b")
         .select(*keys, "_v", "_a", "_b", size)
         .select(*keys, "_v", "_size", first.alias("_first"), last.alias("_last"))
@@ -196,7 +195,7 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
         .groupBy(*keys, "_size", "_block")
         .agg(F.max("_v").alias("_v"))
     )
-    blocks = stage(blocks, "blocks")  # sized, and apart from the join, as in resolve_keys
+    blocks = stage(blocks, "blocks")
     wanted = points.withColumn("_s", at).select("_fact", *keys, (down("_s") - F.lit(low)).alias("_p"), size)
     wanted = wanted.withColumn("_block", F.expr("shiftright(_p, _size)"))
     hits = wanted.join(blocks, [*keys, "_size", "_block"])
@@ -205,13 +204,19 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
 
 # ------------------------------------------------------------------------ gaps
 def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Smallest larger value of the same key, over distinct values.
+    """Smallest larger value of the same key, over distinct values (NULL comes last and has none).
 
-    The rows are reduced to distinct ``(keys, value)`` with map-side combining
-    first, so a key is no larger than the domain of ``value`` (years, days).
+    Distinct rows are numbered without a task that holds a whole key, and each is joined to the row with the next number.
     """
-    window = Window.partitionBy(*keys).orderBy(*sort_columns([value]))
-    return df.select(*keys, value).distinct().withColumn(out, F.lead(value).over(window))
+    numbered = number_rows(df.select(*keys, value).distinct(), [*keys, value], "_number")
+    following = numbered.select(
+        (F.col("_number") - 1).alias("_number"), F.col(value).alias(out), *(F.col(k).alias(f"_n_{k}") for k in keys)
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
+    joined = numbered.join(following, "_number", "left")
+    return joined.select(*keys, value, F.when(same, F.col(out)).alias(out))
 
 
 def longest_gap(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ambertill.functions.ordering import SortKeys, names, sort_columns
-from ambertill.session import MAX_GROUP_ROWS, stage
+from ambertill.session import stage
 
 SLICE = "_slice"
 
@@ -64,12 +64,6 @@ def number_rows(df: DataFrame, order: SortKeys, out: str, start: Column | int =
     )
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key; counted with map-side partial sums."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
-
-
 def _over(kind: str, column: Column, window) -> Column:
     if kind == "last":
         return F.last(column, ignorenulls=True).over(window)
@@ -85,27 +79,16 @@ def _join_state(kind: str, here: Column, carried: Column) -> Column:
 
 
 def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: SortKeys,
-    outputs: Mapping[str, tuple[str, str]],
-    max_group_rows: int = MAX_GROUP_ROWS,
-    largest: int | None = None,
+    df: DataFrame, keys: Sequence[str], order: SortKeys, outputs: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
     """Running ``last`` (not null), ``max`` or ``sum`` up to and including each row.
 
-    ``outputs`` maps a new column to ``(kind, input column)``. The largest group
-    is measured first, unless the caller knows it: up to ``max_group_rows`` an
-    ordinary window per key is the cheaper plan, beyond it the sliced form is
-    used. ``order`` is ascending.
+    ``outputs`` maps a new column to ``(kind, input column)``; its type is that of the input, for a sum
+    that of Spark's sum of the input. ``order`` is ascending. There is one plan for all sizes of groups.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if largest is None:
-        largest = largest_group(df, keys)
-    if largest <= max_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*sort_columns(order)).rowsBetween(*upto)
-        return df.withColumns({o: _over(kind, F.col(c), window) for o, (kind, c) in outputs.items()})
-
+    sums = [F.sum(c).alias(o) for o, (kind, c) in outputs.items() if kind == "sum"]
+    types = {f.name: f.dataType for f in df.select(*sums).schema} if sums else {}
     sliced = slice_by_order(df, [*keys, *order])
     within = Window.partitionBy(SLICE, *keys).orderBy(*sort_columns(order)).rowsBetween(*upto)
     position = F.struct(*names(order))
@@ -137,4 +120,5 @@ def running(
     result = {
         o: _join_state(kind, F.col(f"_here_{o}"), F.col(f"_carry_{o}")) for o, (kind, _) in outputs.items()
     }
-    return joined.select(*df.columns, *(c.alias(o) for o, c in result.items()))
+    typed = {o: c.cast(types[o]) if o in types else c for o, c in result.items()}
+    return joined.select(*df.columns, *(c.alias(o) for o, c in typed.items()))

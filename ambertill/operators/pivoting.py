@@ -14,8 +14,8 @@ def sums_when(cases: Mapping[str, Column], measure: Column) -> list[Column]:
     return [F.sum(F.when(hit, measure).otherwise(F.lit(0))).alias(name) for name, hit in cases.items()]
 
 
-def counts_when(cases: Mapping[str, Column]) -> list[Column]:
-    return [F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias(name) for name, hit in cases.items()]
+def counts_when(cases: Mapping[str, Column], weight: Column | int = 1) -> list[Column]:
+    return [F.sum(F.when(hit, weight).otherwise(0)).cast("long").alias(name) for name, hit in cases.items()]
 
 
 def crosstab(

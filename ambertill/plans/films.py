@@ -15,6 +15,7 @@ from ambertill.functions.calendar import between_days, days_between, moment, mon
 from ambertill.functions.numbers import money, total
 from ambertill.functions.ordering import sort_columns
 from ambertill.functions.text import joined_address, labelled
+from ambertill.operators.changes import few_copies
 from ambertill.operators.matching import longest_gap
 from ambertill.operators.ordered import number_rows
 from ambertill.operators.pivoting import counts_when
@@ -124,14 +125,17 @@ def busiest_names(appearances: DataFrame, people: DataFrame, since_year: int, n:
     return counts.orderBy(*sort_columns(["-number_of_movies", *names_only])).limit(n)
 
 
-def category_counts_per_year(films: DataFrame, categories: Mapping[str, str]) -> DataFrame:
-    """Films per year, one column per category. Other categories are filtered out first."""
+def category_counts_per_year(films: DataFrame, categories: Mapping[str, str], count: str | None = None) -> DataFrame:
+    """Films per year, one column per category. Other categories are filtered out first.
+
+    Rows that stand for several films say so in the column ``count``.
+    """
     name = F.lower("category_name")
     cases = {out: name == category.lower() for category, out in categories.items()}
     return (
         films.where(name.isin([c.lower() for c in categories]))
         .groupBy("release_year")
-        .agg(*counts_when(cases))
+        .agg(*counts_when(cases, F.col(count) if count else 1))
         .orderBy(*sort_columns(["-release_year"]))
     )
 
@@ -164,10 +168,14 @@ def last_row_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFra
 
 
 def last_row_by_maxima(rows: DataFrame, key: str, time: str, row_id: str) -> DataFrame:
-    """The same row found by joining back to the latest time, then to the highest id."""
-    latest = rows.groupBy(key).agg(F.max(time).alias(time))
-    final = rows.join(latest, [key, time]).groupBy(key).agg(F.max(row_id).alias(row_id))
-    return rows.join(final, [key, row_id])
+    """The same row found by maxima: of the latest time, and of the highest id at that time.
+
+    One aggregation with partial results; only one row of rows equal in both comes out.
+    """
+    others = [c for c in rows.columns if c != key]
+    known = rows.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    best = known.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(time, row_id)).alias("_row"))
+    return best.select(*(F.col(key) if c == key else F.col(f"_row.{c}") for c in rows.columns))
 
 
 def most_rented_with_ties(
@@ -251,11 +259,11 @@ def define_revenue_function(spark: SparkSession, payments: DataFrame, bridge: Da
 def checked_names(names: Sequence[str | None] | None) -> list[str]:
     """Trimmed names, first occurrence kept; raises on missing input."""
     if names is None:
-        raise ValueError("Input array of countries must not be NULL.")
+        raise ValueError("No list of countries was given")
     if not names:
-        raise ValueError("Input array of countries must not be empty.")
+        raise ValueError("The list of countries is empty")
     if any(n is None or not n.strip(" ") for n in names):
-        raise ValueError("Input array contains NULL or empty country names.")
+        raise ValueError("A country in the list has no name")
     return list(dict.fromkeys(n.strip(" ") for n in names))
 
 
@@ -274,7 +282,7 @@ def most_popular_by_country(
     # No longer than the caller's own list.
     unknown = sorted(r[0] for r in requested.join(known, "country", "left_anti").select("country").collect())
     if unknown:
-        raise ValueError(f"These countries do not exist: {', '.join(unknown)}")
+        raise ValueError(f"Unknown countries: {', '.join(unknown)}")
     counted = (
         rentals.where(F.col("country").isin(wanted) & F.col("film_id").isNotNull())
         .groupBy("country", "film_id")
@@ -307,9 +315,9 @@ def films_in_stock(
     each film (highest id on equal dates) is chosen before names are joined.
     """
     if pattern is None:
-        raise ValueError("Input search pattern must not be NULL.")
+        raise ValueError("No title pattern was given")
     if not pattern.strip(" "):
-        raise ValueError("Input search pattern must not be empty.")
+        raise ValueError("The title pattern is empty")
     matching = films.where(F.col("title").ilike(pattern))
     held = copies.join(matching.select("film_id"), "film_id", "left_semi")
     history = rentals.join(held, "inventory_id")
@@ -342,10 +350,10 @@ def reward_customers(
     The month is looked up first, so that it is a literal range for the scan.
     """
     if min_purchases <= 0:
-        raise ValueError("Minimum monthly purchases parameter must be > 0")
+        raise ValueError("The least number of purchases must be positive")
     if min_amount <= 0:
-        raise ValueError("Minimum monthly dollar amount purchased parameter must be > 0")
-    latest = payments.agg(F.max(F.col("payment_date").cast("date"))).first()[0]
+        raise ValueError("The least amount must be positive")
+    latest = payments.agg(F.max("payment_date").cast("date")).first()[0]
     if latest is None:
         return customers.limit(0)
     first, after = month_bounds(latest)
@@ -428,11 +436,17 @@ def customers_above(
 def rental_history(customer: DataFrame, rentals: DataFrame, payments: DataFrame) -> DataFrame:
     """Every rental of the given customers with its payments; a customer without any keeps one row.
 
-    Rentals are narrowed to the customers first, and payments to those rentals.
+    Rentals are narrowed to the customers first, and payments to those rentals. Customers, and rentals, without a
+    partner are added apart: inner joins are split where one customer holds many rows, outer joins only on
+    one side.
     """
     people = customer.select("customer_id")
     rented = rentals.select("customer_id", "rental_id", "rental_date").join(people, "customer_id", "left_semi")
     paid = payments.select("rental_id", "payment_id", "payment_date")
-    listed = people.join(rented, "customer_id", "left").join(paid, "rental_id", "left")
     columns = ["customer_id", "rental_id", "rental_date", "payment_id", "payment_date"]
+    rented = people.join(rented, "customer_id")
+    with_payment = rented.join(paid, "rental_id").select(*columns)
+    unpaid = rented.join(few_copies(paid, ["rental_id"]), "rental_id", "left_anti")
+    idle = people.join(few_copies(rented, ["customer_id"]), "customer_id", "left_anti")
+    listed = with_payment.unionByName(unpaid, allowMissingColumns=True).unionByName(idle, allowMissingColumns=True)
     return listed.select(*columns).orderBy(*sort_columns(["rental_date", "payment_date"]))

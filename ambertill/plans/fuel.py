@@ -44,7 +44,7 @@ def ingest_sales(
     lookups = (*fuel_network.STATION_FUEL, fuel_network.EMPLOYEE, fuel_network.CUSTOMER)
     resolved, unknown = resolve_keys(batch, data, lookups)
     priced = valid_at(
-        stage(resolved, "resolved"),  # read several times below
+        resolved,
         data["price"],
         ["station_fuel_id", "price_type"],
         "sale_datetime",
@@ -54,14 +54,16 @@ def ingest_sales(
     )
     completed = priced.withColumns({c: F.expr(e) for c, e in sale.generated.items()})
     no_price = F.format_string(
-        "No valid %s price was found for station_code = %s and fuel_code = %s at %s",
-        "price_type", "station_code", "fuel_code", F.col("sale_datetime").cast("string"),
+        "No %s price of %s at station %s is valid at %s",
+        "price_type", "fuel_code", "station_code", F.date_format("sale_datetime", "yyyy-MM-dd HH:mm:ss"),
     )
-    reason = F.when(F.col("price_per_liter").isNull(), no_price)
+    # A sale without its time has no price either, so what is missing is named first.
+    needed = ("quantity_liters", "payment_method", "discount_amount", "sale_datetime")
+    reason = F.coalesce(*(F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in needed))
+    broken = F.when(F.col("price_per_liter").isNull(), no_price)
     for name, check in sale.checks.items():
-        reason = reason.when(F.expr(check) == F.lit(False), F.lit(f"rule broken: {name}"))
-    for column in ("quantity_liters", "payment_method", "discount_amount", "sale_datetime"):
-        reason = reason.when(F.col(column).isNull(), F.lit(f"{column} is missing"))
+        broken = broken.when(F.expr(check) == F.lit(False), F.lit(f"rule broken: {name}"))
+    reason = F.coalesce(reason, broken)
     judged = stage(completed.withColumn("reject_reason", reason), "judged")
     refused = judged.where(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason")
     accepted = judged.where(F.col("reject_reason").isNull())
@@ -91,7 +93,7 @@ def latest_quarter_report(
     their pair by ``station_fuel_id``, or without ``station_fuels`` by
     ``station_id`` and ``fuel_id``.
     """
-    newest = sales.agg(F.max(F.col("sale_datetime").cast("date"))).first()[0]
+    newest = sales.agg(F.max("sale_datetime").cast("date")).first()[0]
     first, after = quarter_bounds(newest or dt.date(1970, 1, 1))
     pair = ["station_id", "fuel_id"] if station_fuels is None else ["station_fuel_id"]
     sums = (

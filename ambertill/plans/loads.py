@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ambertill.functions.ordering import SortKeys
 from ambertill.functions.text import folded
-from ambertill.operators.changes import assign_ids, insert_ignore, insert_missing
+from ambertill.operators.changes import assign_ids, insert_ignore, insert_missing, union_all
 from ambertill.operators.matching import Lookup, resolve_keys
 from ambertill.operators.ranking import first_per_key
 from ambertill.session import stage
@@ -230,11 +231,21 @@ def already_present(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -
 
 
 # ----------------------------------------------------------------- film rental
+_LANGUAGE = Lookup("language_id", "language", "language_id", {"language_name": "name"})
+
+
+def _refused(rows: DataFrame, batch: DataFrame, condition: Column, reason: str) -> DataFrame:
+    return rows.where(condition).select(*batch.columns, F.lit(reason).alias("reject_reason"))
+
+
 def insert_films(films: DataFrame, languages: DataFrame, batch: DataFrame, loaded_at) -> Loaded:
-    """New films with their language's id; films with the same title and year are left out."""
-    language = languages.select("language_id", F.col("name").alias("language_name"))
-    rows = batch.join(language, "language_name").withColumn("last_update", F.lit(loaded_at).cast("timestamp"))
-    return _inserted(films, rows, ("title", "release_year"), "film_id")
+    """New films with their language's id; films with the same title and year are left out.
+
+    Rows whose language is unknown, or the name of several, are refused.
+    """
+    resolved, rejected = resolve_keys(batch, {"language": languages}, [_LANGUAGE])
+    rows = resolved.withColumn("last_update", F.lit(loaded_at).cast("timestamp"))
+    return _inserted(films, rows, ("title", "release_year"), "film_id", rejected)
 
 
 def insert_links(
@@ -247,16 +258,20 @@ def insert_links(
     """Rows of a link table from a mapping of natural keys.
 
     The mapping stands for a condition such as "(title is A and category is X)
-    or (title is B and category is Y)" and turns it into two equality joins.
+    or (title is B and category is Y)" and turns it into two equality joins. A name held by several rows links each of
+    them; mappings that find nothing on a side are refused.
     """
     rows = wanted
     ids = []
     for table, on, id_column in (left, right):
         side = table.select(id_column, *(F.col(theirs).alias(mine) for mine, theirs in on.items()))
-        rows = rows.join(side, list(on))
+        rows = rows.join(side, list(on), "left")
         ids.append(id_column)
-    rows = rows.withColumn("last_update", F.lit(loaded_at).cast("timestamp"))
-    return _inserted(target, rows, ids, None)
+    rows = stage(rows.withColumn("last_update", F.lit(loaded_at).cast("timestamp")), "links")
+    missing = [_refused(rows, wanted, F.col(i).isNull(), f"{i} not found") for i in ids[:1]]
+    missing.append(_refused(rows, wanted, F.col(ids[0]).isNotNull() & F.col(ids[1]).isNull(), f"{ids[1]} not found"))
+    found = rows.where(F.col(ids[0]).isNotNull() & F.col(ids[1]).isNotNull())
+    return _inserted(target, found, ids, None, union_all(missing).distinct())
 
 
 def insert_actors(actors: DataFrame, batch: DataFrame, loaded_at) -> Loaded:
@@ -265,14 +280,19 @@ def insert_actors(actors: DataFrame, batch: DataFrame, loaded_at) -> Loaded:
 
 
 def insert_copies(inventory: DataFrame, films: DataFrame, stores: DataFrame, titles: DataFrame, loaded_at) -> Loaded:
-    """One copy per title in the first store that lacks it."""
-    rows = titles.join(films.select("film_id", "title"), "title").withColumns(
+    """One copy per title in the first store, unless it has one. Unknown titles are refused, and all without a store."""
+    rows = titles.join(films.select("film_id", "title"), "title", "left").withColumns(
         {
             "store_id": stores.agg(F.min("store_id")).scalar(),
             "last_update": F.lit(loaded_at).cast("timestamp"),
         }
-    ).where(F.col("store_id").isNotNull())
-    return _inserted(inventory, rows, ("store_id", "film_id"), "inventory_id")
+    )
+    rows = stage(rows, "copies")
+    no_film, no_store = F.col("film_id").isNull(), F.col("store_id").isNull()
+    rejected = _refused(rows, titles, no_film, "title not found").unionByName(
+        _refused(rows, titles, ~no_film & no_store, "no store")
+    )
+    return _inserted(inventory, rows.where(~no_film & ~no_store), ("store_id", "film_id"), "inventory_id", rejected)
 
 
 def insert_rentals(
@@ -286,7 +306,8 @@ def insert_rentals(
 ) -> Loaded:
     """Rentals of titles by one customer, served by the first employee of the first store concerned.
 
-    ``customer`` holds at most one row; more than one is an error when the job runs.
+    ``customer`` holds at most one row; more than one is an error when the job runs. Titles without a copy are
+    refused, and all where there is no customer or no employee.
     """
     titled = films.select("film_id", "title").join(batch.select("title").distinct(), "title", "left_semi")
     copies = inventory.select("inventory_id", "store_id", "film_id").join(titled, "film_id")
@@ -296,23 +317,30 @@ def insert_rentals(
         "staff_id": staff.join(first_store, "store_id").agg(F.min("staff_id")).scalar(),
         "last_update": F.lit(loaded_at).cast("timestamp"),
     }
-    rows = batch.join(copies, "title").withColumns(one_values)
-    rows = rows.where(F.col("customer_id").isNotNull() & F.col("staff_id").isNotNull())
-    return _inserted(rentals, rows, ("rental_date", "inventory_id", "customer_id"), "rental_id")
+    rows = stage(batch.join(copies, "title", "left").withColumns(one_values), "rentals")
+    no_copy, no_one = F.col("inventory_id").isNull(), F.col("customer_id").isNull() | F.col("staff_id").isNull()
+    rejected = _refused(rows, batch, no_copy, "no copy of the title").unionByName(
+        _refused(rows, batch, ~no_copy & no_one, "no customer or no employee")
+    )
+    match = ("rental_date", "inventory_id", "customer_id")
+    return _inserted(rentals, rows.where(~no_copy & ~no_one), match, "rental_id", rejected)
 
 
 def insert_payments(
     payments: DataFrame, rentals: DataFrame, inventory: DataFrame, films: DataFrame, customer: DataFrame, batch: DataFrame
 ) -> Loaded:
-    """A payment of the rental rate for each of the customer's rentals of the titles."""
+    """A payment of the rental rate for each of the customer's rentals of the titles; titles never rented are refused."""
     rented = (
         rentals.select("rental_id", "inventory_id", "customer_id", "staff_id")
         .join(customer.select("customer_id"), "customer_id", "left_semi")
         .join(inventory.select("inventory_id", "film_id"), "inventory_id")
         .join(films.select("film_id", "title", F.col("rental_rate").alias("amount")), "film_id")
     )
-    rows = batch.join(rented, "title")
-    return _inserted(payments, rows, ("customer_id", "rental_id", "amount", "payment_date"), "payment_id")
+    rows = stage(batch.join(rented, "title", "left"), "payments")
+    none = F.col("rental_id").isNull()
+    rejected = _refused(rows, batch, none, "title not rented by the customer")
+    match = ("customer_id", "rental_id", "amount", "payment_date")
+    return _inserted(payments, rows.where(~none), match, "payment_id", rejected)
 
 
 def insert_open_rental(rentals: DataFrame, inventory: DataFrame, staff: DataFrame, customer: DataFrame, now) -> Loaded:
@@ -332,7 +360,11 @@ def insert_open_rental(rentals: DataFrame, inventory: DataFrame, staff: DataFram
     return _numbered(rentals, rows, "rental_id", ["customer_id"])
 
 
-def _inserted(target: DataFrame, rows: DataFrame, match: Sequence[str], id_column: str | None) -> Loaded:
+def _inserted(
+    target: DataFrame, rows: DataFrame, match: Sequence[str], id_column: str | None, rejected: DataFrame | None = None
+) -> Loaded:
+    if rejected is None:
+        rejected = rows.limit(0).withColumn("reject_reason", F.lit(None).cast("string"))
     columns = [c for c in target.columns if c != id_column]
     missing = {c: F.lit(None) for c in columns if c not in rows.columns}
     typed = rows.withColumns(missing).select(*(F.col(c).cast(target.schema[c].dataType) for c in columns))
@@ -340,14 +372,16 @@ def _inserted(target: DataFrame, rows: DataFrame, match: Sequence[str], id_colum
     added = insert_missing(present, typed, match).affected
     if id_column is None:
         added = stage(added, "inserted").select(*target.columns)
-        return Loaded(target.unionByName(added), added, rows.limit(0))
-    return _numbered(target, added, id_column, list(match))
+        return Loaded(target.unionByName(added), added, rejected)
+    return _numbered(target, added, id_column, list(match), rejected)
 
 
-def _numbered(target: DataFrame, rows: DataFrame, id_column: str, order: SortKeys) -> Loaded:
+def _numbered(
+    target: DataFrame, rows: DataFrame, id_column: str, order: SortKeys, rejected: DataFrame | None = None
+) -> Loaded:
     added = assign_ids(rows, target, id_column, order)
     added = added.select(*(F.col(c).cast(target.schema[c].dataType) for c in target.columns))
-    return Loaded(target.unionByName(added), added, rows.limit(0))
+    return Loaded(target.unionByName(added), added, rows.limit(0) if rejected is None else rejected)
 
 
 #: Terms of a newly registered film (fixed values).
@@ -363,27 +397,34 @@ class Registered(NamedTuple):
 
 
 def register_films(
-    films: DataFrame, languages: DataFrame, batch: DataFrame, year: int, default_language: str = DEFAULT_LANGUAGE
+    films: DataFrame,
+    languages: DataFrame,
+    batch: DataFrame,
+    year: int,
+    default_language: str = DEFAULT_LANGUAGE,
+    registered_at: dt.datetime | None = None,
 ) -> Registered:
     """Register a batch of (title, release_year, language_name, seq), adding missing languages.
 
     Titles compare trimmed and case-blind, against the catalogue and inside the
     batch, where the lowest ``seq`` wins. Columns left out of the batch take the
-    defaults; a NULL given in the batch is not a default.
+    defaults; a NULL given in the batch is not a default. Of languages whose names differ in case or
+    blanks only, the one of the lowest id is taken. New films and languages are stamped with ``registered_at`` (else the time of the job) where their tables
+    have a ``last_update``.
     """
     for column, default in (("release_year", F.lit(year)), ("language_name", F.lit(default_language))):
         if column not in batch.columns:
             batch = batch.withColumn(column, default)
     title, language = F.btrim(F.col("title")), F.btrim(F.col("language_name"))
     reason = (
-        F.when(F.col("title").isNull(), "Movie title must not be NULL.")
-        .when(title == "", "Movie title must not be empty.")
-        .when(F.col("language_name").isNull() | (language == ""), "Language name must not be NULL or empty.")
+        F.when(F.col("title").isNull(), "the title is missing")
+        .when(title == "", "the title is empty")
+        .when(F.col("language_name").isNull() | (language == ""), "the language is missing")
     )
     checked = batch.withColumn("reject_reason", reason).withColumn("_title", F.upper(title))
     sound = checked.where(F.col("reject_reason").isNull())
     taken = films.select(folded(F.col("title")).alias("_title")).distinct()
-    duplicate = F.format_string('Movie "%s" already exists.', title)
+    duplicate = F.format_string("the film %s is there already", title)
     first = first_per_key(sound, ["_title"], ["seq"])
     fresh = stage(first.join(taken, "_title", "left_anti").withColumn("_language", F.upper(language)), "new-films")
     repeats = sound.join(fresh.select("seq"), "seq", "left_anti").withColumn("reject_reason", duplicate)
@@ -395,12 +436,19 @@ def register_films(
     )
     added = assign_ids(absent, languages, "language_id", ["seq"]).drop("seq")
     added = added.withColumn("language_id", F.col("language_id").cast(languages.schema["language_id"].dataType))
+    stamp = F.current_timestamp() if registered_at is None else F.lit(registered_at).cast("timestamp")
+    if "last_update" in languages.columns:
+        added = added.withColumn("last_update", stamp.cast(languages.schema["last_update"].dataType))
     all_languages = languages.unionByName(added, allowMissingColumns=True)
 
-    ids = all_languages.select("language_id", F.col("name").alias("language"), folded(F.col("name")).alias("_language"))
+    lowest = F.min(F.struct("language_id", "name")).alias("_first")
+    ids = all_languages.groupBy(folded(F.col("name")).alias("_language")).agg(lowest)
+    ids = stage(ids.select("_language", "_first.language_id", F.col("_first.name").alias("language")), "languages")
     types = {f.name: f.dataType for f in films.schema}
     terms = {c: F.lit(v).cast(types[c]) for c, v in NEW_FILM_TERMS.items()}
     rows = fresh.join(ids, "_language").withColumns({"title": F.col("_title"), **terms})
+    if "last_update" in films.columns:
+        rows = rows.withColumn("last_update", stamp)
     numbered = assign_ids(rows, films, "film_id", ["seq"])
     shown = ["film_id", "title", "language", "release_year", *NEW_FILM_TERMS]
     stored = numbered.select(*(F.col(c).cast(types[c]) for c in types if c in numbered.columns))

@@ -10,8 +10,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ambertill.functions.calendar import in_years
-from ambertill.functions.numbers import as_double, fixed, grouped, money, percent_of, rounded, total, with_unit
+import datetime as dt
+
+from ambertill.functions.calendar import any_of, between_days, in_years, month_bounds, month_of
+from ambertill.functions.numbers import as_double, fixed, grouped, money, percent_of, rounded, total, total_of_sums, with_unit
 from ambertill.functions.ordering import sort_columns
 from ambertill.operators import framing
 from ambertill.operators.pivoting import crosstab, sums_when, with_row_total
@@ -68,8 +70,20 @@ def weekly_running_sales(star: DataFrame, year: int, first_week: int, last_week:
     Monday looks back over the weekend, Friday ahead over it. One week on each
     side is read so that the first and last day have neighbours.
     """
+    # Week n of the calendar year lies within a week of the n-th seven days.
+    start = dt.date(year, 1, 1)
+    reach = between_days(
+        F.col("time_id"),
+        max(start, start + dt.timedelta(days=7 * (first_week - 3))),
+        min(dt.date(year + 1, 1, 1), start + dt.timedelta(days=7 * (last_week + 2))),
+    )
+    # Days at either end of the year may count to a week of the year beside it.
+    edges = any_of(
+        between_days(F.col("time_id"), a, b)
+        for a, b in ((start, start + dt.timedelta(days=4)), (dt.date(year, 12, 28), dt.date(year + 1, 1, 1)))
+    )
     daily = (
-        star.where(in_years(F.col("time_id"), year, year))
+        star.where(reach | edges)
         .where(F.col("calendar_year") == year)
         .where(F.col("calendar_week_number").between(first_week - 1, last_week + 1))
         .groupBy("calendar_week_number", F.col("time_id").cast("date").alias("time_id"), "day_name")
@@ -102,11 +116,11 @@ def price_neighbourhoods(star: DataFrame, spread: int = 10) -> DataFrame:
     """Sales of each product beside those of similar prices: within ``spread``
     (RANGE) and in the adjacent price groups (GROUPS).
 
-    Product sums are stored once; the frames are worked out per distinct price
+    The star may hold sums per product. They are stored once; the frames are worked out per distinct price
     in buckets, and joined back by price.
     """
     keys = ["prod_id", "prod_name", "prod_category_desc", "prod_list_price"]
-    products = stage(star.groupBy(*keys).agg(total("amount_sold").alias("sales")), "product-sales")
+    products = stage(star.groupBy(*keys).agg(total_of_sums("amount_sold").alias("sales")), "product-sales")
     ranked = framing.rank_keys(framing.per_key(products, "prod_list_price", "sales"), "prod_list_price")
     near = framing.range_sums(ranked, "prod_list_price", "sales", spread, spread, "sales_in_price_range")
     framed = framing.groups_sums(near, "sales", 1, 1, "sales_in_price_group").select(
@@ -128,7 +142,7 @@ def price_neighbourhoods(star: DataFrame, spread: int = 10) -> DataFrame:
 def income_band_neighbours(star: DataFrame) -> DataFrame:
     """Sales of each income band with its neighbours; bands are text, so GROUPS."""
     bands = star.where(F.col("cust_income_level").isNotNull()).groupBy("cust_income_level")
-    ranked = framing.rank_keys(bands.agg(total("amount_sold").alias("sales")), "cust_income_level")
+    ranked = framing.rank_keys(bands.agg(total_of_sums("amount_sold").alias("sales")), "cust_income_level")
     return framing.groups_sums(ranked, "sales", 1, 1, "sales_in_income_group").select(
         "cust_income_level",
         as_double(rounded(F.col("sales"), 0)).alias("sales"),
@@ -138,7 +152,7 @@ def income_band_neighbours(star: DataFrame) -> DataFrame:
 
 def sales_around(star: DataFrame, key: str, spread: int, out: str) -> DataFrame:
     """Sales per value of a numeric key (birth year) and within ``spread`` of it."""
-    keyed = star.groupBy(key).agg(total("amount_sold").alias("sales"))
+    keyed = star.groupBy(key).agg(total_of_sums("amount_sold").alias("sales"))
     return framing.range_sums(keyed, key, "sales", spread, spread, out).select(
         key, as_double(rounded(F.col("sales"), 0)).alias("sales"), as_double(rounded(F.col(out), 0)).alias(out)
     )
@@ -242,7 +256,7 @@ def always_in_top(
     of ``people`` joined.
     """
     yearly = (
-        star.where(in_years(F.col("time_id"), min(years), max(years)))
+        star.where(any_of(in_years(F.col("time_id"), y, y) for y in sorted(set(years))))
         .where(F.col("calendar_year").isin(list(years)))
         .groupBy("channel_desc", "calendar_year", key)
         .agg(total("amount_sold").alias("amount_sold"))
@@ -264,9 +278,8 @@ def always_in_top(
 
 
 def _months_regions(star: DataFrame, months: Sequence[str], regions: Mapping[str, str]) -> DataFrame:
-    years = [int(m[:4]) for m in months]
     return (
-        star.where(in_years(F.col("time_id"), min(years), max(years)))
+        star.where(any_of(between_days(F.col("time_id"), *month_bounds(month_of(m))) for m in sorted(set(months))))
         .where(F.col("calendar_month_desc").isin(list(months)))
         .where(F.col("country_region").isin(list(regions)))
     )

@@ -28,5 +28,5 @@ def registered(oracle: str | None = None, name: str | None = None):
     return wrap
 
 
-for _module in ("sales", "films", "matching", "changes", "quality"):
+for _module in ("sales", "films", "matching", "changes", "quality", "jobs"):
     import_module(f"{__name__}.{_module}")

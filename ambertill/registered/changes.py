@@ -89,11 +89,11 @@ def deleted_by_semi(t: Retail):
 
 @registered(
     """
-    SELECT c_custkey, c_name FROM customer WHERE CAST(replace(c_name, 'Customer#', '') AS INTEGER) % 3 <> 0
+    SELECT c_custkey, c_name FROM customer WHERE CAST(replace(c_name, 'Customer#', '') AS BIGINT) % 3 <> 0
     """
 )
 def delete_every_third(t: Retail):
-    number = F.replace("c_name", F.lit("Customer#"), F.lit("")).cast("int")
+    number = F.replace("c_name", F.lit("Customer#"), F.lit("")).cast("bigint")
     return changes.delete_where(t["customer"].select("c_custkey", "c_name"), number % 3 == 0).snapshot
 
 

@@ -10,6 +10,7 @@ from ambertill.functions.numbers import as_double
 from ambertill.functions.text import numbered_code
 from ambertill.operators import access, quality
 from ambertill.registered import registered
+from ambertill.session import stage
 from ambertill.sources.frames import sample_rows, unnest_with_position
 from ambertill.sources.retail import SCHEMAS, Retail
 
@@ -32,14 +33,13 @@ def key_duplicates(t: Retail):
 
 @registered(
     """
-    SELECT l_orderkey, count(*) AS row_count FROM lineitem WHERE NOT EXISTS (
-        SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F') GROUP BY 1
+    SELECT user_id, count(*) AS row_count FROM events WHERE NOT EXISTS (
+        SELECT 1 FROM supplier WHERE s_suppkey = user_id) GROUP BY 1
     """
 )
 def fk_orphans(t: Retail):
-    """Finished orders are taken out of the parent, so that orphans exist."""
-    parents = t["orders"].where(F.col("o_orderstatus") != "F")
-    return quality.orphans(t["lineitem"], parents, {"l_orderkey": "o_orderkey"})
+    """Users of events who are not suppliers."""
+    return quality.orphans(t["events"], t["supplier"], {"user_id": "s_suppkey"})
 
 
 @registered(
@@ -204,7 +204,13 @@ def row_values_and_dates(t: Retail):
     )
 
 
-@registered()
+@registered(
+    "SELECT least(count(*), 100) AS rows_drawn, least(count(*), 100) AS rows_of_the_table FROM lineitem"
+)
 def any_hundred_lines(t: Retail):
-    """A sample: any 100 rows."""
-    return sample_rows(t["lineitem"].select("l_orderkey", "l_partkey", "l_extendedprice"), 100)
+    """A sample of any 100 rows: how many were drawn, and how many of them the table has."""
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    drawn = stage(sample_rows(lines, 100), "drawn")
+    found = drawn.join(lines, lines.columns, "left_semi")
+    count = F.count(F.lit(1))
+    return drawn.agg(count.alias("rows_drawn")).withColumn("rows_of_the_table", found.agg(count).scalar())

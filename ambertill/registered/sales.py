@@ -88,7 +88,7 @@ def weekly_cumsum_centered(t: Retail):
     """
 )
 def price_neighbourhoods(t: Retail):
-    return sales.price_neighbourhoods(t.line_star("products"))
+    return sales.price_neighbourhoods(t.product_sales())
 
 
 @registered(
@@ -104,7 +104,7 @@ def price_neighbourhoods(t: Retail):
     """
 )
 def segment_groups_sales(t: Retail):
-    return sales.income_band_neighbours(t.order_star("customers"))
+    return sales.income_band_neighbours(t.customer_sales())
 
 
 @registered(
@@ -120,7 +120,7 @@ def segment_groups_sales(t: Retail):
     """
 )
 def size_range_sales(t: Retail):
-    return sales.sales_around(t.line_star("products"), "prod_size", 20, "sales_in_size_segment")
+    return sales.sales_around(t.product_sales(), "prod_size", 20, "sales_in_size_segment")
 
 
 @registered(

@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Groups larger than this are not given to one task by the ordered operators.
-MAX_GROUP_ROWS = 5_000_000
-
 
 def build_session(app: str = "ambertill", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -28,7 +25,7 @@ def build_session(app: str = "ambertill", master: str | None = None, **conf: str
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Calendar parts of an instant depend on the session zone, so it is fixed."""
+    """Calendar parts of an instant depend on the session zone, so it is fixed for the whole session."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -51,6 +48,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what ``stage`` has written for this application; no table built on it can be read afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/ambertill-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 

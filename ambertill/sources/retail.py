@@ -83,6 +83,16 @@ class Retail:
             fact = fact.join(self.customers("countries" in dimensions), "cust_id")
         return calendar_columns(fact, "time_id") if "times" in dimensions else fact
 
+    def product_sales(self) -> DataFrame:
+        """Sales per product with its attributes: summed before the join."""
+        lines = self["lineitem"].groupBy(F.col("l_partkey").alias("prod_id"))
+        return lines.agg(F.sum(money("l_extendedprice")).alias("amount_sold")).join(self.products(), "prod_id")
+
+    def customer_sales(self) -> DataFrame:
+        """Order totals per customer with their attributes: summed before the join."""
+        orders = self["orders"].groupBy(F.col("o_custkey").alias("cust_id"))
+        return orders.agg(F.sum(money("o_totalprice")).alias("amount_sold")).join(self.customers(), "cust_id")
+
     def line_star(self, *dimensions: str) -> DataFrame:
         """A sale is an order line; its buyer is known through the order.
 

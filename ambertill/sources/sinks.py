@@ -18,7 +18,8 @@ def append_rows(df: DataFrame, path: str) -> None:
 def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """A whole next state. ``errorifexists`` keeps a job from replacing its own input."""
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    # With the schema given, a partition column of '001' is not read as a number.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def save_table(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), buckets: int = 0) -> DataFrame:

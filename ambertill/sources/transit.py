@@ -201,6 +201,7 @@ TABLES = {
                 "valid_to after valid_from": _VALID,
                 "sold since 2000": f"sold_at > {_SINCE_2000}",
             },
+            defaults={"sold_at": "current_timestamp()"},
         ),
     )
 }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ambertill.operators.changes import delete_where
 from ambertill.registered import QUERIES
-from ambertill.session import build_session
+from ambertill.session import build_session, clear_scratch
 from ambertill.sources import frames, sinks
 
 HEADLINE = [
@@ -104,6 +104,7 @@ def main() -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(report))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -13,7 +13,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from ambertill.registered import ORACLES, QUERIES
-from ambertill.session import build_session
+from ambertill.session import build_session, clear_scratch
 
 
 def connection(folder: str):
@@ -73,6 +73,7 @@ def main() -> int:
             failed.append(name)
             print(f"FAIL {name}\n{traceback.format_exc()[-1800:]}")
     print("failed:", failed)
+    clear_scratch(spark)
     return bool(failed)
 
 

@@ -183,7 +183,7 @@ def test_popular_films_keep_order_ties_and_empty_countries(shop):
 
 @pytest.mark.parametrize(
     "names, message",
-    [(None, "must not be NULL"), ([], "must not be empty"), (["Chad", " "], "NULL or empty"), (["Nowhere", "Atlantis"], "Atlantis, Nowhere")],
+    [(None, "No list"), ([], "list of countries is empty"), (["Chad", " "], "has no name"), (["Nowhere", "Atlantis"], "Atlantis, Nowhere")],
 )
 def test_popular_films_argument_errors(shop, names, message):
     with pytest.raises(ValueError, match=message):
@@ -211,7 +211,7 @@ def test_stock_search(shop):
 
 
 def test_stock_errors(shop):
-    with pytest.raises(ValueError, match="NULL"):
+    with pytest.raises(ValueError, match="No title"):
         stock(shop, None)
     with pytest.raises(ValueError, match="empty"):
         stock(shop, "  ")
@@ -224,7 +224,7 @@ def test_rewards_are_strict_and_use_the_latest_month_with_data(shop):
     assert reward(1, 9.99) == [(3,)]
     assert reward(1, 10) == [] and reward(2, 1) == []
     for bad in ((0, 1), (1, 0)):
-        with pytest.raises(ValueError, match="must be > 0"):
+        with pytest.raises(ValueError, match="must be positive"):
             reward(*bad)
 
 
@@ -327,10 +327,10 @@ def test_registering_films(spark, shop):
     ]
     assert bag(done.languages, "language_id", "name")[-1] == (3, "Klingon")
     assert dict(rows(done.rejected, "seq", "reject_reason")) == {
-        2: 'Movie "operation fortune" already exists.',
-        3: 'Movie "academy dinosaur" already exists.',
-        4: "Movie title must not be NULL.",
-        5: "Movie title must not be empty.",
+        2: "the film operation fortune is there already",
+        3: "the film academy dinosaur is there already",
+        4: "the title is missing",
+        5: "the title is empty",
     }
     assert done.films.count() == 6
     named = spark.createDataFrame([(1, "The Pact", 2025, " ENGLISH ")], "seq int, title string, release_year int, language_name string")

@@ -119,10 +119,10 @@ def test_patches(spark):
     done = changes.patch_columns(people, patches, "id", ["name", "mail"], "seq")
     assert bag(done.snapshot) == [(1, "D", None, 7), (2, "B", "m", 8)]
     assert bag(done.rejected, "seq", "reject_reason") == [
-        (5, 'Column "age" is not allowed for updating'),
-        (6, "id = 7 was not found"),
+        (5, "column age may not be changed"),
+        (6, "no row has id 7"),
     ]
-    assert 'Field "mail" for id = 2 was updated to "m".' in [r[0] for r in rows(done.messages, "message")]
+    assert "id 2: mail is now m" in [r[0] for r in rows(done.messages, "message")]
 
 
 def test_add_column_once(target):

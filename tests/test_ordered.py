@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ambertill.operators import framing
 from ambertill.operators.matching import longest_gap, valid_at, with_next
-from ambertill.operators.ordered import largest_group, number_rows, running
-from ambertill.session import MAX_GROUP_ROWS, scratch_dir
+from ambertill.operators.ordered import number_rows, running
+from ambertill.session import scratch_dir
 from conftest import bag, plan_of, rows
 
 
@@ -24,14 +24,13 @@ def test_number_rows_of_nothing(spark):
     assert rows(number_rows(spark.createDataFrame([], "x int"), ["x"], "n")) == []
 
 
-@pytest.mark.parametrize("limit", [MAX_GROUP_ROWS, 0])
-def test_running_values(spark, limit):
+def test_running_values(spark):
     rng = random.Random(5)
     # One key holds most of the rows, so it spans several slices.
     data = [(rng.choice(["hot"] * 6 + ["a", None]), i, rng.choice([None, rng.randint(-9, 9)])) for i in range(400)]
     df = spark.createDataFrame(data, "k string, t int, v int")
     outputs = {"l": ("last", "v"), "m": ("max", "v"), "s": ("sum", "v")}
-    found = {r.t: (r.l, r.m, r.s) for r in running(df, ["k"], ["t"], outputs, limit).collect()}
+    found = {r.t: (r.l, r.m, r.s) for r in running(df, ["k"], ["t"], outputs).collect()}
     seen: dict = {}
     for k, t, v in data:
         past = seen.setdefault(k, [])
@@ -40,10 +39,12 @@ def test_running_values(spark, limit):
         assert found[t] == ((past[-1], max(past), sum(past)) if past else (None, None, None))
 
 
-def test_largest_group(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
-    assert largest_group(df, ["k"]) == 2
-    assert largest_group(df.limit(0), ["k"]) == 0
+@pytest.mark.parametrize("size", [0, 1, 200])
+def test_one_type_for_all_sizes(spark, size):
+    df = spark.range(size).selectExpr("id % 2 as k", "id as t", "cast(id as decimal(18,2)) as v")
+    found = running(df, ["k"], ["t"], {"s": ("sum", "v"), "m": ("max", "v"), "l": ("last", "v")})
+    assert dict(found.dtypes) == dict(df.dtypes) | {"s": "decimal(28,2)", "m": "decimal(18,2)", "l": "decimal(18,2)"}
+    assert found.count() == size
 
 
 def brute_force(facts, versions):
@@ -62,9 +63,8 @@ FACTS = "fid int, k string, at timestamp_ntz"
 VERSIONS = "k string, s timestamp_ntz, e timestamp_ntz, price int"
 
 
-@pytest.mark.parametrize("limit", [MAX_GROUP_ROWS, 0])
 @pytest.mark.parametrize("seed", range(3))
-def test_valid_at_equals_brute_force(spark, limit, seed):
+def test_valid_at_equals_brute_force(spark, seed):
     rng = random.Random(seed)
     base = dt.datetime(2026, 1, 1)
     when = lambda: base + dt.timedelta(hours=rng.randint(0, 400), microseconds=rng.choice([0, 0, 1, 999999]))
@@ -79,7 +79,7 @@ def test_valid_at_equals_brute_force(spark, limit, seed):
             length = rng.choice([0, 1, 5, 50, 300])
             versions.append((key, start, rng.choice([start + dt.timedelta(hours=length)] * 5 + [None]), price))
     found = valid_at(
-        spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS), ["k"], "at", "s", "e", ["price"], limit
+        spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS), ["k"], "at", "s", "e", ["price"]
     )
     assert {r.fid: r.price for r in found.collect()} == brute_force(facts, versions)
 

@@ -45,6 +45,6 @@ def test_date_ranges_reach_the_scan(spark, name, column):
     assert f"LessThan({column}" in text or f"LessThanOrEqual({column}" in text
 
 
-@pytest.mark.parametrize("name, columns", [("fk_orphans", "l_orderkey"), ("key_duplicates", "l_orderkey:bigint,l_linenumber:int")])
+@pytest.mark.parametrize("name, columns", [("fk_orphans", "user_id"), ("key_duplicates", "l_orderkey:bigint,l_linenumber:int")])
 def test_only_needed_columns_are_read(spark, name, columns):
     assert f"ReadSchema: struct<{columns}" in plan(spark, name)
