@@ -71,30 +71,34 @@ def with_next(docs: DataFrame) -> DataFrame:
     last the first. Rows with one id are ordered by a hash of their text, and rows equal in both have the same next
     document.
     """
-    # Neither key is null, so joins need no special case; the second tells a null id from 0.
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    content = F.xxhash64(_text(), F.col("doc_id").isNull())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), place.alias("place"), content.alias("content"), _text().alias("text"))
-    order = rows.select(F.col("doc_id").isNotNull().alias("named"), "place", "content", F.length("text").alias("n_chars")).distinct()
-    numbered = number_rows(order, ["named", "place", "content"], "number", 0).drop("named")
+    # Keys that are never null, so joins need no special case.
+    named = F.col("doc_id").isNotNull()
+    name = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    content = F.xxhash64(_text())
+    order = docs.select(
+        named.alias("named"), F.col("doc_id").cast("long").alias("place"), name.alias("name"), content.alias("content"), F.length(_text()).alias("n_chars")
+    ).distinct()
+    numbered = number_rows(order, ["named", "place", "content"], "number", 0).drop("named", "place")
     total = numbered.count()
     after = numbered.select(
-        ((F.col("number") + 1) % max(1, total)).alias("number"), F.col("place").alias("to_place"), F.col("content").alias("to_content"), F.floor(F.col("n_chars") / 2).cast("int").alias("wanted")
+        ((F.col("number") + 1) % max(1, total)).alias("number"), F.col("name").alias("to_name"), F.col("content").alias("to_content"), F.floor(F.col("n_chars") / 2).cast("int").alias("wanted")
     )
-    wishes = stage(numbered.select("number", "place", "content").join(after, "number").drop("number"), "wishes")
+    wishes = stage(numbered.select("number", "name", "content").join(after, "number").drop("number"), "wishes")
 
-    full = rows.withColumn("sketch", sketch(F.col("text")))
-    given = full.select("place", "content", "text", "sketch").join(wishes, ["place", "content"]).select(
-        F.col("to_place").alias("place"),
+    # Both joins below use all columns, so that they share one exchange of the texts.
+    full = docs.select(name.alias("name"), content.alias("content"), _text().alias("text")).withColumn("sketch", sketch(F.col("text")))
+    given = full.join(wishes, ["name", "content"]).select(
+        F.col("to_name").alias("name"),
         F.col("to_content").alias("content"),
         F.col("content").alias("next_content"),
         F.substring(F.col("text"), F.lit(1), F.col("wanted")).alias("prefix"),
         F.col("sketch").alias("next_sketch"),
     )
     # Rows that repeat an id and a text offer the same.
-    once = Window.partitionBy("place", "content").orderBy("place")
+    once = Window.partitionBy("name", "content").orderBy("name")
     given = given.withColumn("offer", F.row_number().over(once)).where("offer = 1").drop("offer")
-    return full.join(given, ["place", "content"], "left").withColumn("n_chars", F.length("text").cast("long"))
+    whole = full.join(given, ["name", "content"], "left")
+    return whole.withColumns({"n_chars": F.length("text").cast("long"), "doc_id": F.when(F.col("name") != "", F.col("name")).cast("long")})
 
 
 def compared(docs: DataFrame) -> DataFrame:
