@@ -194,8 +194,11 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content"), F.col("text").cast("string").alias("text")).mapInArrow(work, RESULT)
 
 
-def drop_without_language(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The documents that have a language with a score of at least ``least``, with all their columns."""
+def drop_without_language(docs: DataFrame, model: dict, least: float = 0.0) -> DataFrame:
+    """The documents that have a language with a score of at least ``least``, with all their columns.
+
+    Few and unseen words give a low score, so by default only documents without any letter go.
+    """
     bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
     bad = stage(bad.select(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).distinct(), "without-language")
     content = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
