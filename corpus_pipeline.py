@@ -17,7 +17,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose language stays open, go."""
+    """Documents without a letter have no language and go."""
     return language.drop_without_language(docs, language.train(docs.where(language.remainder(3) != 1)))
 
 
