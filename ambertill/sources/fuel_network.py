@@ -5,6 +5,7 @@ from __future__ import annotations
 from ambertill.operators.matching import Lookup
 from ambertill.sources.declared import Table, ref
 
+#: Allowed values (fixed values).
 PRICE_TYPES = ("regular", "promo", "partner_discount")
 PAYMENT_METHODS = ("cash", "card", "mobile_app", "corporate_card", "fuel_card")
 PATCHABLE = ("first_name", "last_name", "phone", "email")
@@ -14,6 +15,7 @@ def _one_of(column: str, values: tuple[str, ...]) -> str:
     return f"{column} in ({', '.join(repr(v) for v in values)})"
 
 
+#: Names, lengths, allowed values, conditions and defaults of the declared schema (fixed values).
 TABLES = {
     t.name: t
     for t in (

@@ -8,6 +8,7 @@ _SINCE_2000 = "timestamp'2000-01-01 00:00:00+00:00'"
 _LATER = "closed_on >= opened_on"
 _VALID = "valid_to >= valid_from"
 
+#: Names, lengths, allowed values, conditions and defaults of the declared schema (fixed values).
 TABLES = {
     t.name: t
     for t in (
