@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ambertill.llm import scan
+from ambertill.llm.rows import content, without
 from ambertill.session import stage
 
 WINDOW = 10
@@ -52,11 +53,6 @@ def _terms(column) -> tuple[np.ndarray, np.ndarray]:
     return scan.span_hashes(scan.prefixes(scan.byte_values(_TERM)[data], _TERM), begin, end, _TERM), firsts
 
 
-def content(column: str = "text"):
-    """A hash that tells apart rows with one id."""
-    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
-
-
 def build_index(docs: DataFrame) -> DataFrame:
     """The stored postings of all words (A-Z lower-cased) of ``docs``; null has none. Other columns are ignored."""
 
@@ -266,7 +262,5 @@ def proximity_matches(docs: DataFrame, items: DataFrame, within: int) -> DataFra
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a hit word, with all their columns; the rest as ``contaminated`` says."""
-    bad = contaminated(docs, items, window).where("n_hit > 0").select(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).distinct()
-    bad = stage(bad, "contaminated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (content() == F.col("_content"))
-    return docs.join(bad, same, "left_anti")
+    bad = contaminated(docs, items, window).where("n_hit > 0").select("doc_id", "content").distinct()
+    return without(docs, stage(bad, "contaminated"))

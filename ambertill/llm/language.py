@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ambertill.llm import scan
+from ambertill.llm.rows import content, without
 from ambertill.session import stage
 
 #: Rows of the model (an entry and a language each), words and n-grams alike; some 100 bytes each.
@@ -190,8 +191,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                     ["doc_id", "content", "lang_pred", "score"],
                 )
 
-    content = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content"), F.col("text").cast("string").alias("text")).mapInArrow(work, RESULT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), content().alias("content"), F.col("text").cast("string").alias("text")).mapInArrow(work, RESULT)
 
 
 def drop_without_language(docs: DataFrame, model: dict, least: float = 0.0) -> DataFrame:
@@ -200,6 +200,4 @@ def drop_without_language(docs: DataFrame, model: dict, least: float = 0.0) -> D
     Few and unseen words give a low score, so by default only documents without any letter go.
     """
     bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
-    bad = stage(bad.select(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).distinct(), "without-language")
-    content = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (content == F.col("_content")), "left_anti")
+    return without(docs, stage(bad.select("doc_id", "content").distinct(), "without-language"))

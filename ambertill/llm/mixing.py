@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ambertill.llm.rows import packed, unpacked
 from ambertill.operators.ordered import number_rows
 from ambertill.session import stage
 
@@ -56,6 +57,19 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return known.select("source", "source_size", F.least(cap.cast("double"), F.col("weight") * F.lit(level)).alias("target"))
 
 
+def _taken(docs: DataFrame, seed: int, weights: tuple[int, ...], most: int) -> DataFrame:
+    """``_row``, ``_size``, ``_source_size``, ``_target`` and ``_copies`` of every document."""
+    sizes = docs.select(F.col("source").cast("string").alias("source"), words().alias("size"))
+    shares = stage(targets(sizes, weights, most), "targets").select(
+        F.col("source").alias("_name"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+    )
+    rows = packed(docs, _source=F.col("source").cast("string"), _size=words(), _chance=chance(seed))
+    joined = rows.join(shares, F.col("_source").eqNullSafe(F.col("_name")))
+    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
+    copies = F.floor(rate) + (F.col("_chance") < rate - F.floor(rate)).cast("long")
+    return joined.select("_row", "_size", "_source_size", "_target", copies.cast("int").alias("_copies"))
+
+
 def repetitions(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The documents with ``_size``, ``_source_size``, ``_target`` and ``_copies``.
 
@@ -64,16 +78,10 @@ def repetitions(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WE
     have size 0 and share the rate of their source; a source without any words has rate 0. Null
     is a source of its own; rows with one id are decided alike; an empty table stays empty.
     """
-    sizes = docs.select(F.col("source").cast("string").alias("source"), words().alias("size"))
-    shares = stage(targets(sizes, weights, most), "targets").select(
-        F.col("source").alias("_name"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
-    )
-    joined = docs.withColumn("_size", words()).join(shares, F.col("source").cast("string").eqNullSafe(F.col("_name")))
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
-    copies = F.floor(rate) + (chance(seed) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn("_copies", copies.cast("int")).drop("_name")
+    return _taken(docs, seed, weights, most).select("_row.*", "_size", "_source_size", "_target", "_copies")
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Every document as often as the mix takes it, with its own columns only."""
-    return repetitions(docs, **options).withColumn("_turn", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
+def mixed(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """Every document as often as the mix takes it, with its own columns only; the rest as in ``repetitions``."""
+    taken = _taken(docs, seed, weights, most)
+    return unpacked(taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))))

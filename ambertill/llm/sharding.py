@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from ambertill.llm.rows import packed, unpacked
 from ambertill.session import stage
 
 SHARDS = 8
@@ -119,9 +120,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
         sharded(docs, shards).select(F.col("doc_id").alias("_doc"), F.col("text_crc32").alias("_crc"), F.col("size").alias("_size"), "shard").distinct(), "places"
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))
-        & (F.crc32(text.cast("binary")) == F.col("_crc"))
-        & (F.octet_length(text) + 1 == F.col("_size"))
-    )
-    docs.join(place, same).drop("_doc", "_crc", "_size").write.partitionBy("shard").parquet(path)
+    keyed = packed(docs, _id=F.col("doc_id").cast("long"), _sum=F.crc32(text.cast("binary")), _bytes=F.octet_length(text) + 1)
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_sum") == F.col("_crc")) & (F.col("_bytes") == F.col("_size"))
+    # A column of the documents called shard stays in their files under another name.
+    rows = unpacked(keyed.join(place, same).withColumn("_row", F.col("_row").withField("_shard", F.col("shard"))))
+    if "shard" in docs.columns:
+        rows = rows.withColumnRenamed("shard", "own_shard")
+    rows.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ambertill.llm import scan
 from ambertill.llm.components import components
+from ambertill.llm.rows import content, packed, unpacked
 from ambertill.session import stage
 
 SHINGLE = 4
@@ -66,14 +67,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 columns = [piece.column("doc_id"), piece.column("content"), pa.array(prints.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "fingerprint"])
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _content().alias("content"), F.col("text").cast("string").alias("text"))
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content().alias("content"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(work, "doc_id bigint, content bigint, fingerprint bigint")
 
 
-def _content():
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-
-
 def _segments(segments: int) -> list[tuple[int, int]]:
     """First bit and width of every piece."""
     edges = [64 * k // segments for k in range(segments + 1)]
@@ -237,9 +234,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS,
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
     chosen = _grouped(docs, shingle, most, segments).groupBy("root").agg(F.min(order).alias("first"))
     chosen = stage(chosen.select(F.col("first.doc_id").alias("_doc"), F.col("first.content").alias("_content")).distinct(), "chosen-documents")
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _content().alias("_content"))
+    keyed = packed(docs, _doc=F.col("doc_id").cast("long"), _content=content())
     here = keyed.alias("k").join(
         chosen.alias("c"), F.col("k._doc").eqNullSafe(F.col("c._doc")) & (F.col("k._content") == F.col("c._content")), "left_semi"
     )
     place = Window.partitionBy("_doc", "_content").orderBy("_doc")
-    return here.withColumn("_place", F.row_number().over(place)).where("_place = 1").select("_row.*")
+    return unpacked(here.withColumn("_place", F.row_number().over(place)).where("_place = 1"))

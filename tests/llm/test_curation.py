@@ -108,6 +108,26 @@ def test_targets(spark):
     assert mixing.mixed(frame(spark, docs)).count() == sum(r["_copies"] for r in got)
 
 
+def test_columns_that_clash(spark, tmp_path):
+    from ambertill.llm import language, simhash
+
+    docs = frame(spark, [(1, "a b c d", "s"), (2, "x y z", "t"), (3, None, None)])
+    own = ["_doc", "_content", "_row", "_size", "_name", "_copies", "_source", "_target", "_id", "_sum", "shard", "content", "component_id", "a.b", "block"]
+    docs = docs.withColumns({c: F.lit(c) for c in own})
+    items = spark.createDataFrame([(5, "a b c d")], "item_id long, text string")
+    model = {"langs": ["x"], "entries": {}, "logs": __import__("numpy").zeros((0, 1))}
+    ids = lambda df: sorted(r.doc_id for r in df.collect())
+    for result, expected in (
+        (decontamination.drop_contaminated(docs, items), [2, 3]),
+        (language.drop_without_language(docs, model), [1, 2]),
+        (simhash.one_of_each(docs), [1, 2, 3]),
+    ):
+        assert result.columns == docs.columns and ids(result) == expected
+    assert mixing.mixed(docs).columns == docs.columns
+    sharding.write_shards(docs, f"{tmp_path}/s", 2)
+    assert spark.read.parquet(f"{tmp_path}/s").count() == 3
+
+
 def test_no_python_in_the_mix(spark):
     from conftest import plan_of
 
