@@ -55,6 +55,24 @@ def test_pruned_trie_is_a_distribution(spark):
         assert (10 ** model.log10(strings)).sum() == pytest.approx(1, rel=1e-4)
 
 
+@pytest.mark.parametrize("hot", [0, 40])
+def test_asks_for_what_is_not_sent_along(spark, hot):
+    docs = list(enumerate(texts(11)))
+    check(scored(spark, docs, order=4, hot=hot), docs, 4)
+
+
+def test_whole_trie_above_a_million_nodes(spark):
+    draw = np.random.default_rng(3)
+    docs = [(k, draw.integers(97, 123, 8000).astype(np.uint8).tobytes().decode()) for k in range(70)]
+    train = [t for i, t in docs if brute.fold(i, 5) != 1]
+    nodes = {line[p - k : p + 1] for t in train for line in [b"\0" * 5 + t.encode() + b"\xff"] for p in range(5, len(line)) for k in range(6)}
+    assert len(nodes) > 1_000_000
+    docs.append((1000, train[0][:40]))
+    rows = {r.doc_id: r for r in scored(spark, docs)}
+    train = [(t or "").encode() for i, t in docs if brute.fold(i, 5) != 1]
+    assert rows[1000].score == pytest.approx(brute.ppm_score(train, docs[-1][1].encode(), 5), rel=1e-4)
+
+
 def test_nothing_to_learn_from(spark):
     assert scored(spark, []) == []
     held = next(i for i in range(100) if brute.fold(i, 5) == 1)
