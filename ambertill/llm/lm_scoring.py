@@ -163,14 +163,21 @@ def train(texts: DataFrame, order: int, nodes: int) -> ppm.Model:
         node = F.col("string").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
         levels = levels.union(longest.groupBy(node.alias("string")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("k"), "string", "n"))
     levels = stage(levels, "nodes")
-    kept = levels.where(_step(F.col("n")) >= _least(levels, nodes)).select("k", "string", "n").toArrow()
+    least = _least(levels, nodes)
+    context = F.shiftright("string", 8).alias("context")
+    # Totals and numbers of symbols of a context are taken from all nodes, also from those that are left out.
+    sums = levels.groupBy("k", context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.max(_step(F.col("n"))).alias("step"))
+    sums = sums.where(F.col("step") >= least).sort("k", "context").toArrow()
+    kept = levels.where(_step(F.col("n")) >= least).select("k", "string", "n").toArrow()
     k, strings, n = (kept.column(c).to_numpy() for c in ("k", "string", "n"))
-    found, counts = [], []
-    for level in range(order + 1):
-        v, c = _summed(strings[k == level].view(np.uint64), n[k == level])
+    level, total, kinds = (sums.column(c).to_numpy() for c in ("k", "total", "kinds"))
+    found, counts, whole = [], [], []
+    for x in range(order + 1):
+        v, c = _summed(strings[k == x].view(np.uint64), n[k == x])
         found.append(v)
         counts.append(c)
-    return ppm.Model(found, counts)
+        whole.append((total[level == x], kinds[level == x]))
+    return ppm.Model(found, counts, whole)
 
 
 class _Tokens:

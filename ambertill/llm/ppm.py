@@ -43,27 +43,33 @@ class Model:
     """Code lengths from the counts of trie nodes.
 
     ``nodes[k]`` holds the sorted nodes of ``k + 1`` bytes and ``counts[k]`` how often each occurs. Every
-    suffix of a node must be a node too.
+    suffix of a node must be a node too. If nodes were left out, ``whole[k]`` holds the total count and the number
+    of symbols of each sorted context, from all nodes: what was left out is then escape mass.
     """
 
-    def __init__(self, nodes: list[np.ndarray], counts: list[np.ndarray]):
+    def __init__(self, nodes: list[np.ndarray], counts: list[np.ndarray], whole: list[tuple[np.ndarray, np.ndarray]] | None = None):
         self.order = len(nodes) - 1
         self.nodes = nodes
         self.logs = [np.log10(c).astype(np.float32) for c in counts]
         self.contexts, self.first, self.first_escape, self.below, self.next_escape = [], [], [], [], []
-        totals, kinds = [], []
+        totals, kinds, left_out = [], [], []
         for k in range(self.order + 1):
             context, start = np.unique(nodes[k] >> np.uint64(8), return_index=True)
             total = np.add.reduceat(counts[k], start).astype(float) if len(start) else np.zeros(0)
-            kind = np.diff(np.append(start, len(nodes[k]))).astype(float)
+            kind = own_kinds = np.diff(np.append(start, len(nodes[k]))).astype(float)
+            own_total = total
+            if whole:
+                total, kind = (x.astype(float) for x in whole[k])
+            missing = total - own_total
             self.contexts.append(context)
+            left_out.append(missing)
             totals.append(total)
             kinds.append(kind)
             own = np.log10(total + kind)
             self.first.append(own.astype(np.float32))
-            self.first_escape.append((np.log10(kind) - own).astype(np.float32))
+            self.first_escape.append((np.log10(kind + missing) - own).astype(np.float32))
             if k == 0:
-                left = np.maximum(SYMBOLS - kind, 1)
+                left = np.maximum(SYMBOLS - own_kinds, 1)
                 self.below.append(np.log10(left).astype(np.float32))
                 self.next_escape.append(np.zeros(len(left), np.float32))
                 continue
@@ -71,11 +77,12 @@ class Model:
             shorter = nodes[k] & np.uint64((1 << (8 * k)) - 1)
             excluded = np.add.reduceat(counts[k - 1][np.searchsorted(nodes[k - 1], shorter)], start) if len(start) else np.zeros(0)
             at = np.searchsorted(self.contexts[k - 1], context & np.uint64((1 << (8 * (k - 1))) - 1))
-            rest, others = totals[k - 1][at] - excluded, kinds[k - 1][at] - kind
+            rest, others = totals[k - 1][at] - excluded, kinds[k - 1][at] - own_kinds
+            escape = others + left_out[k - 1][at]
             below = np.log10(np.maximum(rest + others, 1))
             self.below.append(below.astype(np.float32))
             # With nothing left the escape is certain.
-            self.next_escape.append(np.where(others > 0, np.log10(np.maximum(others, 1)) - below, 0).astype(np.float32))
+            self.next_escape.append(np.where(escape > 0, np.log10(np.maximum(escape, 1)) - below, 0).astype(np.float32))
 
     @staticmethod
     def _find(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

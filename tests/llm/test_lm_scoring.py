@@ -73,6 +73,43 @@ def test_whole_trie_above_a_million_nodes(spark):
     assert rows[1000].score == pytest.approx(brute.ppm_score(train, docs[-1][1].encode(), 5), rel=1e-4)
 
 
+def pruned_score(train, text, order, nodes):
+    """Plain version: counts of all symbols make the totals, and those of symbols left out are escape mass."""
+    counts = {}
+    for line in [b"\0" * order + t + b"\xff" for t in train]:
+        for p in range(order, len(line)):
+            for k in range(order + 1):
+                here = counts.setdefault(line[p - k : p], {})
+                here[line[p]] = here.get(line[p], 0) + 1
+    total, line = 0.0, b"\0" * order + text + b"\xff"
+    for p in range(order, len(line)):
+        excluded = set()
+        for k in range(order, -1, -1):
+            context = line[p - k : p]
+            kept = {s for s in counts.get(context, {}) if int.from_bytes(context + bytes([s]), "big") in nodes[k]}
+            if not kept:
+                continue
+            weight = sum(n for s, n in counts[context].items() if s not in excluded) + len(counts[context]) - len(excluded)
+            if line[p] in kept:
+                total += np.log10(counts[context][line[p]] / weight)
+                break
+            left = weight - sum(counts[context][s] for s in kept - excluded)
+            total += np.log10(left / weight) if left else 0
+            excluded = kept
+        else:
+            total -= np.log10(256 - len(excluded))
+    return total
+
+
+def test_left_out_nodes_are_escape_mass(spark):
+    train = texts(4)
+    model = lm_scoring.train(spark.createDataFrame([(t,) for t in train], "text string"), 3, 150)
+    nodes = [set(map(int, x)) for x in model.nodes]
+    for text in (b"the of", b"THEN x4 zz", "é 日本 ab".encode()):
+        expected = pruned_score([(t or "").encode() for t in train], text, 3, nodes)
+        assert model.score(np.frombuffer(text, np.uint8), np.array([0, len(text)])) == pytest.approx([expected], rel=1e-4)
+
+
 def test_nothing_to_learn_from(spark):
     assert scored(spark, []) == []
     held = next(i for i in range(100) if brute.fold(i, 5) == 1)
