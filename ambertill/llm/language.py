@@ -1,7 +1,7 @@
 """Language ID by words first, shorter and shorter character n-grams for unseen words.
 
-Counting runs over all labelled training texts; the model keeps the most frequent entries,
-``ENTRIES`` at most, so that it can be sent to every task. A known word adds its log frequency
+Counting runs over all labelled training texts, and the model holds the counts of all entries; it grows with
+the vocabulary and is sent to every task whole. A known word adds its log frequency
 in each language. For an unseen word the longest n-grams of which some are known decide: their
 mean log frequency is added, and only if none is known the next shorter ones are asked.
 """
@@ -15,14 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ambertill.llm import scan
 from ambertill.llm.rows import content, without
 from ambertill.session import stage
 
-#: Rows of the model (an entry and a language each), words and n-grams alike; some 100 bytes each.
-ENTRIES = 120_000
 #: Lengths of n-grams; a mark at both ends of a word counts as a character.
 LONGEST, SHORTEST = 5, 1
 SMOOTHING = 0.5
@@ -101,34 +100,42 @@ def count_entries(labelled: DataFrame) -> DataFrame:
     return found.unionByName(parts)
 
 
-def train(labelled: DataFrame, entries: int = ENTRIES) -> dict:
+def train(labelled: DataFrame, entries: int | None = None) -> dict:
     """The model of a table with ``lang`` and ``text``; rows without either are left out.
 
-    The bound is a threshold on the counts, in eighths of a power of two, under which at most ``entries``
-    stay. Totals count everything.
+    It holds every entry. A caller who needs a small one can bound the number of entries: then those above a threshold on their
+    largest share of a language stay, in eighths of a power of two, each with its counts in all languages. Totals count everything.
     """
     counts = stage(count_entries(labelled), "entry-counts")
     kind = F.substring("entry", 1, 1)
-    totals = {(r.lang, r.kind): r.n for r in counts.groupBy("lang", kind.alias("kind")).agg(F.sum("n").alias("n")).collect()}
-    # Counts by the eighth part of a power of two: few rows, whatever the corpus.
-    step = F.floor(F.log2("n") * 8).cast("int")
-    seen = 0
-    least = 0
-    for level, n in sorted(((r.step, r.rows) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()), reverse=True):
-        if seen + n > entries:
-            least = level + 1
-            break
-        seen += n
-    kept = counts.where(step >= least).select("lang", "entry", "n").toArrow()
+    sums = counts.groupBy("lang", kind.alias("kind")).agg(F.sum("n").alias("total"))
+    totals = {(r.lang, r.kind): r.total for r in sums.collect()}
+    kept = counts
+    if entries is not None:
+        shares = counts.withColumn("kind", kind).join(sums, ["lang", "kind"]).groupBy("entry").agg(F.floor(F.log2(F.max(F.col("n") / F.col("total"))) * 8).cast("int").alias("step"))
+        seen, least = 0, None
+        for level, n in sorted(map(tuple, shares.groupBy("step").agg(F.count("*")).collect()), reverse=True):
+            if seen + n > entries:
+                least = level + 1
+                break
+            seen += n
+        if least is not None:
+            kept = counts.join(shares.where(F.col("step") >= least).select("entry"), "entry")
+    kept = kept.select("lang", "entry", "n").toArrow().combine_chunks()
     langs = sorted({lang for lang, _ in totals})
     number = {lang: k for k, lang in enumerate(langs)}
-    names, at = np.unique(np.array(kept.column("entry").to_pylist(), dtype=object).astype(str), return_inverse=True) if kept.num_rows else (np.zeros(0, "U1"), np.zeros(0, int))
-    table = np.zeros((len(names), len(langs)))
+    names = pc.unique(kept.column("entry"))
+    names = names.take(pc.sort_indices(names))
+    table = np.zeros((len(names), len(langs)), np.float32)
+    at = pc.index_in(kept.column("entry"), names).to_numpy()
     table[at, [number[x] for x in kept.column("lang").to_pylist()]] = kept.column("n").to_numpy()
+    names = names.to_pylist()
+    kinds = [name[0] for name in names]
     for k, lang in enumerate(langs):
-        sums = np.array([totals.get((lang, name[0]), 0) for name in names], float)
-        table[:, k] = np.log((table[:, k] + SMOOTHING) / (sums + SMOOTHING * max(1, len(names))))
-    return {"langs": langs, "entries": {str(name): k for k, name in enumerate(names)}, "logs": table.astype(np.float32)}
+        of_kind = {c: totals.get((lang, c), 0) for c in set(kinds)}
+        whole = np.fromiter((of_kind[c] for c in kinds), float, len(kinds))
+        table[:, k] = np.log((table[:, k] + SMOOTHING) / (whole + SMOOTHING * max(1, len(names))))
+    return {"langs": langs, "entries": {name: k for k, name in enumerate(names)}, "logs": table}
 
 
 class Predictor:

@@ -63,6 +63,17 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_every_entry_of_a_rare_language_is_kept(spark):
+    # Beside a language with many more different words than 120,000 rows hold, each seen twice, the rare one is seen once.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hot = [(k, " ".join(2 * [f"{letters[k % 26]}{a}{b}{c}" for a in letters for b in letters for c in letters]), "aa") for k in range(26)]
+    docs = spark.createDataFrame([*hot, (900, "œuvre ßträng", "zz")], "doc_id long, text string, lang string").repartition(3)
+    model = language.train(docs)
+    assert " œuvre" in model["entries"] and len(model["entries"]) > 26**4
+    p = language.Predictor(model)
+    assert p.predict("œuvre ßträng")[0] == "zz" and p.predict("abcd efgh")[0] == "aa"
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables are not here")
 def test_held_out_accuracy(spark):
     from ambertill.llm.queries import QUERIES
