@@ -204,7 +204,12 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 def drop_without_language(docs: DataFrame, model: dict, least: float = 0.0) -> DataFrame:
     """The documents that have a language with a score of at least ``least``, with all their columns.
 
-    Few and unseen words give a low score, so by default only documents without any letter go.
+    Few and unseen words give a low score, so by default only documents without any letter go. Without a language in the model
+    no document can have a score, and only those without any letter go, whatever ``least`` is.
     """
-    bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
+    if model["langs"]:
+        bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
+    else:
+        # Any one language tells texts with a letter from those without.
+        bad = predict(docs, {"langs": [""], "entries": {}, "logs": np.zeros((0, 1), np.float32)}).where(F.col("lang_pred") == UNKNOWN)
     return without(docs, stage(bad.select("doc_id", "content").distinct(), "without-language"))

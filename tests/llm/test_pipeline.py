@@ -82,6 +82,12 @@ def test_pipeline(spark, tmp_path):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(s) == 1 for s in of_text.values())
 
 
+def test_unlabelled_table(spark):
+    rows = [(1, "some words here", None, "a", 15), (2, "12 34", None, "a", 5), (3, None, None, "a", 0), (4, "é", None, "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(tuple(r) for r in corpus_pipeline.STAGES[0][1](spark, docs, "").collect()) == [rows[0], rows[3]]
+
+
 def test_registered():
     import __spark_entry__ as contract
 
