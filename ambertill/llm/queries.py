@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import decontamination, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import bpe_stream, decontamination, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,3 +174,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op4_html_extraction")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@registered("op11_bpe")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe_stream.tokenized(table(spark, folder, "documents"))
+    return coded.select(F.col("_row.doc_id").alias("doc_id"), *bpe_stream.digests(F.col("ids"), F.col("decoded")))
