@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import bpe_stream, decontamination, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import bpe_stream, decontamination, orchard, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,3 +180,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe_stream.tokenized(table(spark, folder, "documents"))
     return coded.select(F.col("_row.doc_id").alias("doc_id"), *bpe_stream.digests(F.col("ids"), F.col("decoded")))
+
+
+@registered("op12_orchard_kmeans")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = orchard.clustered(table(spark, folder, "embeddings"))
+    return found.select(F.col("_row.vec_id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
