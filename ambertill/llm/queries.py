@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ambertill.llm import bpe_stream, decontamination, orchard, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from ambertill.llm import bpe_stream, decontamination, filter_audit, orchard, fingerprints, html_text, language, lm_scoring, mixing, sharding, simhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,3 +186,60 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     found = orchard.clustered(table(spark, folder, "embeddings"))
     return found.select(F.col("_row.vec_id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@registered(
+    "op13_filter_audit",
+    r"""
+    WITH lab AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+    ), d AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), firsts AS (
+        SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+    ), m AS (
+        SELECT d.part,
+               (CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END)
+             + (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END)
+             + (CASE WHEN 100 * (length(d.t) - length(regexp_replace(d.t, '[A-Z]', '', 'g'))) > 10 * length(d.t) THEN 4 ELSE 0 END)
+             + (CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 8 ELSE 0 END)
+             + (CASE WHEN (d.doc_id IS NULL AND f.first_id IS NOT NULL) OR d.doc_id > f.first_id THEN 16 ELSE 0 END) AS mask,
+               coalesce(lab.good, 0) AS good, coalesce(lab.toxic, 0) AS toxic
+        FROM d JOIN firsts f ON d.t = f.t LEFT JOIN lab ON d.doc_id = lab.doc_id
+    ), types AS (
+        SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY part, mask, good, toxic
+    ), letters AS (
+        SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l)
+    ), orders AS (
+        SELECT a.l || b.l || c.l || d.l || e.l AS o
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.l NOT IN (b.l, c.l, d.l, e.l) AND b.l NOT IN (c.l, d.l, e.l) AND c.l NOT IN (d.l, e.l) AND d.l <> e.l
+    ), steps AS (
+        SELECT o, s, substr(o, s, 1) AS f, CAST(1 << (ascii(substr(o, s, 1)) - 65) AS INTEGER) AS fbit,
+               CAST(coalesce(list_sum(list_transform(range(1, s), lambda i: 1 << (ascii(substr(o, i, 1)) - 65))), 0) AS INTEGER) AS before
+        FROM orders, range(1, 6) r(s)
+    ), outcome AS (
+        SELECT t.part, st.o, st.s, st.f, t.n, t.good, t.toxic,
+               (t.mask & st.before) <> 0 AS gone, (t.mask & st.fbit) <> 0 AS fails, t.mask = st.fbit AS alone
+        FROM types t JOIN steps st ON true
+    ), counted AS (
+        SELECT part, o, s, f,
+               sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN NOT gone AND fails AND good = 1 THEN n ELSE 0 END) AS good_lost,
+               sum(CASE WHEN NOT gone AND fails AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+        FROM outcome GROUP BY part, o, s, f
+    )
+    SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, f AS filter,
+           CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM counted
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
