@@ -20,10 +20,13 @@ Nulls: a null text is the empty text (no tokens, empty decoding).
 from __future__ import annotations
 
 import codecs
+import gc
 import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import pandas as pd
 import regex
@@ -33,9 +36,13 @@ from ambertill.llm.rows import packed
 
 #: Pieces of at most this many bytes are kept in a bounded cache of their tokens.
 CACHED = 64
-CACHE_SIZE = 1 << 16
+CACHE_SIZE = 1 << 18
 #: Bytes of a long piece worked at once, beside the lookahead.
 WINDOW = 4096
+NEVER = 1 << 62
+#: Ids take at most this many bits; a pair of ids is one integer key, and so is a rank with its new id.
+SHIFT = 17
+LOW = (1 << SHIFT) - 1
 
 
 def default_vocabulary() -> str:
@@ -78,18 +85,21 @@ class Vocabulary:
             self.ids[raw] = i
             self.bytes[i] = raw
         self.single = [self.ids[bytes([b])] for b in range(256)]
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        #: ``rank << SHIFT | new id`` of a pair of ids, keyed by ``left << SHIFT | right``.
+        self.ranks: dict[int, int] = {}
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             a, b = bytes(to_byte[c] for c in left), bytes(to_byte[c] for c in right)
-            self.ranks[(self.ids[a], self.ids[b])] = (rank, self.ids[a + b])
+            self.ranks[self.ids[a] << SHIFT | self.ids[b]] = rank << SHIFT | self.ids[a + b]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         for content, i in self.special.items():
             self.bytes[i] = content.encode("utf-8")
         self.split_special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         # Fixed value: the byte-level pre-tokenizer's pattern.
         self.pieces = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-        self.lookahead = 2 * max(len(self.bytes[new]) for _, new in self.ranks.values()) if self.ranks else 1
+        if max(self.bytes, default=0) >> SHIFT:
+            raise ValueError("ids beyond 2**17 are not supported")
+        self.lookahead = 2 * max(len(self.bytes[v & LOW]) for v in self.ranks.values()) if self.ranks else 1
 
 
 @lru_cache(maxsize=4)
@@ -97,32 +107,37 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _merge(vocab: Vocabulary, data: bytes) -> tuple[list[int], list[int]]:
-    """Tokens of one piece by rank order (lowest rank first, leftmost first), and their end offsets."""
-    ids = [vocab.single[b] for b in data]
-    ends = list(range(1, len(data) + 1))
-    ranks = vocab.ranks
-    while len(ids) > 1:
-        best, where = None, -1
-        for k in range(len(ids) - 1):
-            found = ranks.get((ids[k], ids[k + 1]))
-            if found is not None and (best is None or found[0] < best[0]):
-                best, where = found, k
-        if best is None:
+@lru_cache(maxsize=4)
+def encoder(path: str) -> "Encoder":
+    """One encoder per vocabulary and Python worker, so that its bounded cache serves all batches of the worker."""
+    return Encoder(vocabulary(path))
+
+
+def _merge(vocab: Vocabulary, data: bytes) -> list[int]:
+    """Tokens of one piece by rank order (lowest rank first, leftmost first).
+
+    The ranks of neighbouring pairs are kept in a list; a merge changes at most two of them.
+    """
+    single = vocab.single
+    ids = [single[b] for b in data]
+    get = vocab.ranks.get
+    pairs = [get(a << SHIFT | b, NEVER) for a, b in zip(ids, ids[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == NEVER:
             break
-        pair, new = (ids[where], ids[where + 1]), best[1]
-        k = where
-        # every other place of the same pair, left to right, without overlap
-        while k < len(ids) - 1:
-            if (ids[k], ids[k + 1]) == pair:
-                ids[k : k + 2] = [new]
-                ends[k : k + 2] = [ends[k + 1]]
-            k += 1
-    return ids, ends
+        k = pairs.index(best)
+        ids[k] = new = best & LOW
+        del ids[k + 1], pairs[k]
+        if k < len(pairs):
+            pairs[k] = get(new << SHIFT | ids[k + 1], NEVER)
+        if k:
+            pairs[k - 1] = get(ids[k - 1] << SHIFT | new, NEVER)
+    return ids
 
 
 def _merge_long(vocab: Vocabulary, data: bytes) -> tuple[list[int], list[int]]:
-    """The same tokens as ``_merge`` for long pieces: a heap of (rank, place) over a linked list."""
+    """The same tokens as ``_merge`` for long pieces, with their end offsets: a heap of (rank, place) over a linked list."""
     n = len(data)
     ids = [vocab.single[b] for b in data]
     ends = list(range(1, n + 1))
@@ -132,9 +147,9 @@ def _merge_long(vocab: Vocabulary, data: bytes) -> tuple[list[int], list[int]]:
     ranks = vocab.ranks
     heap = []
     for k in range(n - 1):
-        found = ranks.get((ids[k], ids[k + 1]))
+        found = ranks.get(ids[k] << SHIFT | ids[k + 1])
         if found is not None:
-            heap.append((found[0], k, ids[k], ids[k + 1], found[1]))
+            heap.append((found >> SHIFT, k, ids[k], ids[k + 1], found & LOW))
     heapq.heapify(heap)
     while heap:
         _, k, left, right, new = heapq.heappop(heap)
@@ -148,33 +163,32 @@ def _merge_long(vocab: Vocabulary, data: bytes) -> tuple[list[int], list[int]]:
             before[after[k]] = k
         prev = before[k]
         if prev >= 0:
-            found = ranks.get((ids[prev], new))
+            found = ranks.get(ids[prev] << SHIFT | new)
             if found is not None:
-                heapq.heappush(heap, (found[0], prev, ids[prev], new, found[1]))
+                heapq.heappush(heap, (found >> SHIFT, prev, ids[prev], new, found & LOW))
         if after[k] < n:
-            found = ranks.get((new, ids[after[k]]))
+            found = ranks.get(new << SHIFT | ids[after[k]])
             if found is not None:
-                heapq.heappush(heap, (found[0], k, new, ids[after[k]], found[1]))
+                heapq.heappush(heap, (found >> SHIFT, k, new, ids[after[k]], found & LOW))
     kept = [k for k in range(n) if alive[k]]
     return [ids[k] for k in kept], [ends[k] for k in kept]
 
 
+def _bytes(vocab: Vocabulary, ids: list[int]) -> bytes:
+    """What the decoder is fed for these ids: their bytes in the byte-level alphabet, mapped back."""
+    return b"".join(map(vocab.bytes.__getitem__, ids))
+
+
 class Encoder:
-    """The transducer: ``feed`` one text, get its ids as they become final."""
+    """The transducer: ``feed`` one text, get its ids as they become final, each group with the bytes they decode to."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.cache: dict[bytes, list[int]] = {}
-
-    def _piece(self, data: bytes) -> Iterator[int]:
-        if len(data) <= CACHED:
-            got = self.cache.get(data)
-            if got is None:
-                if len(self.cache) >= CACHE_SIZE:
-                    self.cache.clear()
-                got = self.cache[data] = _merge(self.vocab, data)[0]
-            yield from got
-            return
+        #: Tokens of recent pieces in two generations: when the young one is full it becomes the old one.
+        self.cache: dict[str, tuple[tuple[int, ...], bytes]] = {}
+        self.old: dict[str, tuple[tuple[int, ...], bytes]] = {}
+
+    def _long(self, data: bytes) -> Iterator[tuple[list[int], bytes]]:
         look = self.vocab.lookahead
         start = 0
         while True:
@@ -182,53 +196,116 @@ class Encoder:
             window = data[start:stop]
             ids, ends = _merge_long(self.vocab, window)
             if stop >= len(data):
-                yield from ids
+                yield ids, _bytes(self.vocab, ids)
                 return
             final = len(window) - look
-            taken = 0
-            for i, end in zip(ids, ends):
-                if end > final:
-                    break
-                yield i
-                taken = end
-            if taken == 0:  # one token longer than the lookahead: take it, it cannot grow further left
-                yield ids[0]
-                taken = ends[0]
+            count = 0
+            while count < len(ids) and ends[count] <= final:
+                count += 1
+            count = max(count, 1)  # one token longer than the lookahead: take it, it cannot grow further left
+            taken = ends[count - 1]
+            yield ids[:count], _bytes(self.vocab, ids[:count])
             start += taken
 
-    def feed(self, text: str | None) -> Iterator[int]:
-        text = text or ""
+    def _new(self, piece: str) -> tuple[list[int], bytes] | None:
+        """Tokens of a piece not in the cache (None for a long piece, which goes through ``_long``)."""
+        got = self.old.get(piece)
+        if got is None:
+            data = piece.encode("utf-8")
+            if len(data) > CACHED:
+                return None
+            ids = _merge(self.vocab, data)
+            # tuples of numbers only: the garbage collector stops tracking them
+            got = (tuple(ids), _bytes(self.vocab, ids))
+        if len(self.cache) >= CACHE_SIZE:
+            self.old, self.cache = self.cache, {}
+        self.cache[piece] = got
+        return got
+
+    def _segments(self, text: str) -> Iterator[tuple[int, int, int | None]]:
+        """Stretches between special tokens: (start, end, special id after it or None)."""
         vocab = self.vocab
-        spans = [(m.start(), m.end()) for m in vocab.split_special.finditer(text)] if vocab.split_special else []
         at = 0
-        for begin, end in [*spans, (len(text), len(text))]:
-            for piece in vocab.pieces.finditer(text, at, begin):
-                yield from self._piece(piece.group().encode("utf-8"))
-            if end > begin:
-                yield vocab.special[text[begin:end]]
-            at = end
+        if vocab.split_special:
+            for m in vocab.split_special.finditer(text):
+                yield at, m.start(), vocab.special[m.group()]
+                at = m.end()
+        yield at, len(text), None
+
+    def feed(self, text: str | None) -> Iterator[tuple[list[int], bytes]]:
+        """Ids piece by piece, each with the bytes they decode to."""
+        text = text or ""
+        for begin, end, special in self._segments(text):
+            for piece in self.vocab.pieces.findall(text, begin, end):
+                got = self.cache.get(piece) or self._new(piece)
+                if got is None:
+                    yield from self._long(piece.encode("utf-8"))
+                else:
+                    yield got
+            if special is not None:
+                yield [special], self.vocab.bytes[special]
+
+    def encode(self, text: str | None) -> tuple[list[int], str]:
+        """``feed`` and the decoder in one pass: all ids of ``text`` and their decoding.
+
+        Pieces of a stretch between special tokens are looked up together; the decoder takes the
+        bytes of each stretch as soon as its ids are final.
+        """
+        text = text or ""
+        decoder = Decoder()
+        ids, parts = [], []
+        for begin, end, special in self._segments(text):
+            pieces = self.vocab.pieces.findall(text, begin, end)
+            got = list(map(self.cache.get, pieces))
+            if None in got:
+                for k, found in enumerate(got):
+                    if found is None:
+                        found = self._new(pieces[k])
+                        if found is None:
+                            more = list(self._long(pieces[k].encode("utf-8")))
+                            found = ([i for m in more for i in m[0]], b"".join(m[1] for m in more))
+                        got[k] = found
+            ids += chain.from_iterable(map(itemgetter(0), got))
+            data = b"".join(map(itemgetter(1), got))
+            if special is not None:
+                ids.append(special)
+                data += self.vocab.bytes[special]
+            parts.append(decoder.feed(data))
+        parts.append(decoder.close())
+        return ids, "".join(parts)
 
 
 class Decoder:
-    """Incremental decoding: ids in, text out, at most three bytes waiting for the rest of a character."""
+    """Incremental decoding: bytes of ids in, text out, at most three bytes waiting for the rest of a character."""
 
-    def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+    def __init__(self):
         self.state = codecs.getincrementaldecoder("utf-8")(errors="replace")
 
-    def feed(self, i: int) -> str:
-        return self.state.decode(self.vocab.bytes[i])
+    def feed(self, data: bytes) -> str:
+        return self.state.decode(data)
 
     def close(self) -> str:
         return self.state.decode(b"", final=True)
 
 
+def decode(vocab: Vocabulary, ids: list[int]) -> str:
+    """``decode(ids, skip_special_tokens=False)``, one id at a time."""
+    decoder = Decoder()
+    return "".join(decoder.feed(vocab.bytes[i]) for i in ids) + decoder.close()
+
+
 def round_trip(vocab: Vocabulary, encoder: Encoder, text: str | None) -> tuple[list[int], str]:
-    decoder = Decoder(vocab)
+    """Ids of ``text`` and their decoding."""
+    return encoder.encode(text)
+
+
+def streamed(vocab: Vocabulary, encoder: Encoder, text: str | None) -> tuple[list[int], str]:
+    """The same through the piece-by-piece interface, feeding the decoder every piece."""
+    decoder = Decoder()
     ids, parts = [], []
-    for i in encoder.feed(text):
-        ids.append(i)
-        parts.append(decoder.feed(i))
+    for got, data in encoder.feed(text):
+        ids.extend(got)
+        parts.append(decoder.feed(data))
     parts.append(decoder.close())
     return ids, "".join(parts)
 
@@ -243,9 +320,15 @@ def tokenized(docs: DataFrame, text: str = "text", path: str | None = None) -> D
 
     @F.pandas_udf("ids array<int>, decoded string")
     def encode(texts: pd.Series) -> pd.DataFrame:
-        vocab = vocabulary(path)
-        encoder = Encoder(vocab)
-        out = [round_trip(vocab, encoder, t if isinstance(t, str) else None) for t in texts]
+        coder = encoder(path)
+        # The encoder makes no reference cycles; cyclic collection only rescans its cache.
+        paused = gc.isenabled()
+        gc.disable()
+        try:
+            out = [coder.encode(t if isinstance(t, str) else None) for t in texts]
+        finally:
+            if paused:
+                gc.enable()
         return pd.DataFrame({"ids": [o[0] for o in out], "decoded": [o[1] for o in out]})
 
     coded = packed(docs, _bpe=encode(F.col(f"`{text}`").cast("string")))

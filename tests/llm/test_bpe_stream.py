@@ -33,13 +33,13 @@ def test_same_as_library(library, vocab, window, monkeypatch):
         ids, decoded = bpe_stream.round_trip(vocab, encoder, text)
         expected = library.encode(text or "", add_special_tokens=False).ids
         assert ids == expected, repr((text or "")[:40])
-        assert decoded == library.decode(expected, skip_special_tokens=False)
+        assert decoded == library.decode(expected, skip_special_tokens=False) == bpe_stream.decode(vocab, ids)
+        assert bpe_stream.streamed(vocab, encoder, text) == (ids, decoded)
 
 
 def test_decoder_replaces_broken_bytes(vocab, library):
     ids = [vocab.ids[b"\xe6"], vocab.ids[b"a"], vocab.ids[b"\x97"]]
-    decoder = bpe_stream.Decoder(vocab)
-    text = "".join(decoder.feed(i) for i in ids) + decoder.close()
+    text = bpe_stream.decode(vocab, ids)
     assert text == library.decode(ids, skip_special_tokens=False) == "�a�"
 
 
