@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ambertill.functions.numbers import as_double
-from ambertill.operators import changes
+from ambertill.operators import changes, snapshots
 from ambertill.operators.ordered import number_rows
 from ambertill.operators.ranking import first_per_key
 from ambertill.plans import films, loads
@@ -244,3 +244,77 @@ def register_parts(t: Retail):
 def distinct_on_customer(t: Retail):
     orders = _orders(t).select("o_custkey", "o_orderkey", "o_totalprice")
     return first_per_key(orders, ["o_custkey"], ["-o_totalprice", "o_orderkey"])
+
+
+# ------------------------------------------------------------ changes that rewrite only touched partitions
+_MONTH = "strftime(o_orderdate, '%Y-%m')"
+
+
+def _monthly_orders(t: Retail) -> snapshots.Snapshot:
+    orders = t["orders"].select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM").alias("o_month")
+    )
+    return snapshots.partitioned(orders, "o_month")
+
+
+def _busiest_customer(t: Retail):
+    """The customer with the most orders, ties to the smallest key (a top-1, as the reference's ``LIMIT 1``)."""
+    counts = t["orders"].where(F.col("o_custkey").isNotNull()).groupBy("o_custkey").count()
+    return counts.orderBy(F.desc("count"), "o_custkey").limit(1).select("o_custkey")
+
+
+def _by_month(df, name: str):
+    return df.groupBy("o_month").agg(F.count(F.lit(1)).alias(name))
+
+
+def _month_report(before, change: snapshots.Rewrite, spark, **counts):
+    """One row per month of the old snapshot: counts before, of the change, after, and whether it was rewritten."""
+    report = _by_month(before, "rows_before")
+    for name, df in counts.items():
+        part = _by_month(df, name).withColumnRenamed("o_month", "_m")
+        report = report.join(part, report["o_month"].eqNullSafe(part["_m"]), "left").drop("_m").fillna(0, [name])
+    rewritten = F.col("o_month").isin([p for p in change.rewritten if p is not None])
+    if None in change.rewritten:
+        rewritten = rewritten | F.col("o_month").isNull()
+    return report.withColumn("rewritten", F.coalesce(rewritten, F.lit(False)))
+
+
+@registered(
+    f"""
+    WITH chosen AS (
+        SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 1
+    ), m AS (
+        SELECT {_MONTH} AS o_month, coalesce(o_custkey IN (SELECT o_custkey FROM chosen), false) AS hit FROM orders
+    )
+    SELECT o_month, count(*) AS rows_before, sum(CASE WHEN hit THEN 1 ELSE 0 END) AS deleted,
+           sum(CASE WHEN hit THEN 0 ELSE 1 END) AS rows_after, bool_or(hit) AS rewritten
+    FROM m GROUP BY o_month
+    """
+)
+def pruned_customer_delete(t: Retail):
+    """Delete the busiest customer's orders from a copy partitioned by month; only months holding them are rewritten."""
+    old = _monthly_orders(t)
+    change = snapshots.delete_pruned(old, t.spark, _busiest_customer(t), {"o_custkey": "o_custkey"})
+    report = _month_report(old.read(t.spark), change, t.spark, deleted=change.affected, rows_after=change.snapshot.read(t.spark))
+    return report.select("o_month", "rows_before", "deleted", "rows_after", "rewritten")
+
+
+@registered(
+    f"""
+    WITH chosen AS (
+        SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 1
+    ), m AS (
+        SELECT {_MONTH} AS o_month, coalesce(o_custkey IN (SELECT o_custkey FROM chosen), false) AS hit, o_orderpriority FROM orders
+    )
+    SELECT o_month, count(*) AS rows_before, sum(CASE WHEN hit THEN 1 ELSE 0 END) AS updated,
+           sum(CASE WHEN hit OR o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent_after, bool_or(hit) AS rewritten
+    FROM m GROUP BY o_month
+    """
+)
+def pruned_customer_update(t: Retail):
+    """Mark the busiest customer's orders urgent in a copy partitioned by month; only months holding them are rewritten."""
+    old = _monthly_orders(t)
+    change = snapshots.update_pruned(old, t.spark, _busiest_customer(t), {"o_custkey": "o_custkey"}, {"o_orderpriority": F.lit("1-URGENT")})
+    urgent = change.snapshot.read(t.spark).where(F.col("o_orderpriority") == "1-URGENT")
+    report = _month_report(old.read(t.spark), change, t.spark, updated=change.affected, urgent_after=urgent)
+    return report.select("o_month", "rows_before", "updated", "urgent_after", "rewritten")
