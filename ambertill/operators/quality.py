@@ -76,3 +76,36 @@ def same_rows(left: DataFrame, right: DataFrame) -> bool:
     """Equal as multisets of rows."""
     right = right.select(*left.columns)
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+#: Two unrelated 64-bit hashes of a row: the second hashes the row after a fixed prefix.
+_SECOND = "ambertill-multiset"
+
+
+def checksum(df: DataFrame) -> DataFrame:
+    """One row: ``rows`` and two order-independent sums of 64-bit row hashes (exact, as decimals).
+
+    Every column is hashed with a flag of whether it is NULL, so that NULLs in different
+    columns do not hash alike. One aggregate: tasks send partial sums, never rows.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    flags = [c.isNull() for c in cols]
+    first = F.xxhash64(*cols, *flags).cast("decimal(38,0)")
+    second = F.xxhash64(F.lit(_SECOND), *cols, *flags).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(first), F.lit(0)).alias("sum_1"), F.coalesce(F.sum(second), F.lit(0)).alias("sum_2"))
+
+
+def same_multiset(left: DataFrame, right: DataFrame) -> bool:
+    """Equal as multisets of rows (columns matched by name), by ``checksum`` of both sides.
+
+    Unequal sums prove a difference; equal ones stand for equality up to a collision of two
+    64-bit hash sums.
+    """
+    right = right.select(*left.columns)
+    return checksum(left).first() == checksum(right).first()
+
+
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one side has more often than the other, with the side: only for listing, after ``same_multiset`` says no."""
+    right = right.select(*left.columns)
+    return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))

@@ -273,3 +273,34 @@ def test_rules_of_both_schemas_cover_every_table():
             named = {*table.primary_key, *table.required, *(c for u in table.unique for c in u), *(c for r in table.references for c in r.columns)}
             assert named <= columns, table.name
             assert all(r.table in tables for r in table.references)
+
+
+def test_one_pass_audit_gives_the_same_rows(spark, network, railway):
+    from ambertill.sources.declared import audit_in_one_pass
+
+    data, _ = network
+    bad = dict(data)
+    bad["price"] = data["price"].unionByName(
+        data["price"].limit(1).selectExpr("price_id", "999L station_fuel_id", "'free' price_type", "cast(-1 as decimal(10,2)) price_per_liter", "valid_from", "valid_from - interval 1 day valid_to")
+    )
+    for tables, frames in ((fuel_network.TABLES, data), (fuel_network.TABLES, bad), ({"price": fuel_network.TABLES["price"]}, bad), (transit.TABLES, railway[0])):
+        assert bag(audit_in_one_pass(tables, frames)) == bag(audit(tables, frames))
+
+
+def test_one_pass_audit_reads_a_table_once(spark):
+    from ambertill.sources.declared import Table, audit_in_one_pass, ref
+
+    tables = {
+        "kid": Table("kid", "k long, a long, b long", ("k",), unique=(("a", "b"),), references=(ref("a", "mom", "m"), ref("b", "mom", "m")), checks={"b small": "b < 5"}),
+        "mom": Table("mom", "m long", ("m",)),
+    }
+    kids = spark.createDataFrame([(1, 1, 1), (1, 2, 9), (2, 7, None), (None, 1, 1), (3, None, 2), (4, 1, 1)], "k long, a long, b long")
+    moms = spark.createDataFrame([(1,), (2,), (2,), (None,)], "m long")
+    data = {"kid": kids, "mom": moms}
+    got = bag(audit_in_one_pass(tables, data))
+    assert got == bag(audit(tables, data))
+    assert ("kid", "a in mom", 1) in got and ("kid", "b in mom", 1) in got and ("kid", "unique (a, b)", 2) in got
+    assert ("kid", "unique (k)", 1) in got and ("mom", "unique (m)", 1) in got and ("kid", "b small", 1) in got
+    one = kids.groupingSets([["k"], ["a", "b"], ["a"], ["b"]], "k", "a", "b").count()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and plan.count("Scan") == 1

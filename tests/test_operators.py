@@ -225,3 +225,24 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         sinks.drop_table(spark, "bucketed_a")
         sinks.drop_table(spark, "bucketed_b")
+
+
+def test_multiset_checksum_counts_repeats_and_nulls(spark):
+    a = spark.createDataFrame([(1, None), (None, 1), (1, None), (2, 2)], "x int, y int")
+    assert quality.same_multiset(a, a.orderBy("y", "x").select("y", "x"))
+    assert not quality.same_multiset(a, a.distinct().unionByName(a.limit(0)))
+    swapped = spark.createDataFrame([(None, 1), (1, None), (None, 1), (2, 2)], "x int, y int")
+    assert not quality.same_multiset(a, swapped)  # same values, NULLs in other columns
+    b = spark.createDataFrame([(1, None), (1, None), (1, None), (2, 2)], "x int, y int")
+    assert not quality.same_multiset(a, b)
+    assert bag(quality.differences(a, b)) == sorted([(None, 1, "left"), (1, None, "right")], key=repr)
+    empty = a.limit(0)
+    assert quality.same_multiset(empty, empty) and tuple(quality.checksum(empty).first()) == (0, 0, 0)
+
+
+def test_multiset_checksum_sends_no_rows(spark):
+    a = spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(4)
+    plan = quality.checksum(a)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert all("SinglePartition" in line or "RoundRobinPartitioning" in line for line in exchanges)
+    assert "HashAggregate" in plan
