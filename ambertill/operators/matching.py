@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ambertill.operators.ordered import number_rows, running
+from ambertill.operators.ordered import next_distinct, number_rows, running
 from ambertill.session import stage
 
 
@@ -206,17 +206,10 @@ def _latest_open(points: DataFrame, versions: DataFrame, keys: Sequence[str]) ->
 def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Smallest larger value of the same key, over distinct values (NULL comes last and has none).
 
-    Distinct rows are numbered without a task that holds a whole key, and each is joined to the row with the next number.
+    Range slices are found once and read back partitioned by slice, so the rows are shuffled once;
+    only the first row of each slice is carried to the slice before it (``next_distinct``).
     """
-    numbered = number_rows(df.select(*keys, value).distinct(), [*keys, value], "_number")
-    following = numbered.select(
-        (F.col("_number") - 1).alias("_number"), F.col(value).alias(out), *(F.col(k).alias(f"_n_{k}") for k in keys)
-    )
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
-    joined = numbered.join(following, "_number", "left")
-    return joined.select(*keys, value, F.when(same, F.col(out)).alias(out))
+    return next_distinct(df, keys, value, out)
 
 
 def longest_gap(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

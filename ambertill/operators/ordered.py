@@ -9,12 +9,14 @@ carried over.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ambertill.functions.ordering import SortKeys, names, sort_columns
-from ambertill.session import stage
+from ambertill.session import scratch_dir, stage
 
 SLICE = "_slice"
 
@@ -122,3 +124,52 @@ def running(
     }
     typed = {o: c.cast(types[o]) if o in types else c for o, c in result.items()}
     return joined.select(*df.columns, *(c.alias(o) for o, c in typed.items()))
+
+
+def bucketed_slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range slices of ``order`` written as a table bucketed by slice, and read back.
+
+    Spark reads such a table as partitioned by ``_slice``: windows and aggregates whose
+    keys start with the slice need no second shuffle of the rows. The range borders come
+    from sampling, so the slice numbers are written down once (a table in the shared folder).
+    """
+    spark = df.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *order).withColumn(SLICE, F.spark_partition_id())
+    name = f"slices_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/slices/{name}"
+    ranged.write.bucketBy(slices, SLICE).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def next_distinct(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Distinct ``(keys, value)`` with the smallest larger value of the same key (NULL comes last and has none).
+
+    One range shuffle of the rows: equal rows share a slice, so the distinct rows and the next
+    value are found inside each slice; the last row of a slice takes the first row of the
+    next non-empty slice when the key goes on. Only one row per slice crosses slices.
+    """
+    order = [*(F.col(k).asc_nulls_first() for k in keys), F.col(value).asc_nulls_last()]
+    sliced = bucketed_slices(df.select(*keys, value), order)
+    rows = sliced.select(SLICE, *keys, value).distinct()
+    within = Window.partitionBy(SLICE).orderBy(*order)
+    same_key = [F.col(k).eqNullSafe(F.lead(k).over(within)) for k in keys]
+    marked = rows.select(
+        SLICE,
+        *keys,
+        value,
+        F.when(reduce(lambda a, b: a & b, same_key, F.lit(True)), F.lead(value).over(within)).alias("_within"),
+        F.lead(F.lit(1)).over(within).isNull().alias("_last"),
+        F.lag(F.lit(1)).over(within).isNull().alias("_first"),
+    )
+    marked = stage(marked, "next")
+    firsts = marked.where("_first").select(
+        F.lag(SLICE).over(Window.orderBy(SLICE)).alias("_from"), *(F.col(k).alias(f"_f_{k}") for k in keys), F.col(value).alias("_f_value")
+    )
+    lasts = marked.where("_last").select(SLICE, *keys)
+    carried = lasts.join(firsts, F.col(SLICE) == F.col("_from"))
+    goes_on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys], F.lit(True))
+    # At most one row per slice: safe to broadcast.
+    border = carried.where(goes_on).select(F.col(SLICE).alias("_b_slice"), F.col("_f_value").alias("_border"))
+    joined = marked.join(F.broadcast(border), (F.col(SLICE) == F.col("_b_slice")) & F.col("_last"), "left")
+    return joined.select(*keys, value, F.when(F.col(value).isNotNull(), F.coalesce("_within", "_border")).alias(out))

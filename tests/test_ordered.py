@@ -183,3 +183,40 @@ def test_a_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Unset())
+
+
+def _next_brute(data):
+    out = {}
+    for k, v in set(data):
+        larger = [w for kk, w in data if kk == k and v is not None and w is not None and w > v]
+        out[(k, v)] = min(larger) if larger else None
+    return sorted(((k, v, n) for (k, v), n in out.items()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_next_distinct_across_slices(spark, seed):
+    from ambertill.operators.ordered import next_distinct
+
+    draw = random.Random(seed)
+    # one key holds most rows, so it runs over many slices
+    data = [(draw.choice([1, 1, 1, 1, 2, 3, None]), draw.choice([None, *range(40)])) for _ in range(400)]
+    df = spark.createDataFrame(data, "k long, v long")
+    got = sorted(rows(next_distinct(df, ["k"], "v", "nxt")), key=repr)
+    assert got == _next_brute(data)
+
+
+def test_next_distinct_sorts_once(spark):
+    from ambertill.operators.ordered import bucketed_slices, SLICE
+    from pyspark.sql import Window
+
+    df = spark.range(300).selectExpr("id % 3 AS k", "id AS v")
+    sliced = bucketed_slices(df, [F.col("k"), F.col("v")])
+    within = Window.partitionBy(SLICE).orderBy("k", "v")
+    plan = plan_of(sliced.select(SLICE, "k", "v").distinct().select("k", F.lead("v").over(within)))
+    assert "Exchange" not in plan
+
+
+def test_with_next_keeps_its_rows(spark):
+    data = [(1, 3), (1, 3), (1, 5), (2, None), (None, 4), (None, 9), (1, None)]
+    df = spark.createDataFrame(data, "k long, v long")
+    assert sorted(rows(with_next(df, ["k"], "v", "nxt")), key=repr) == _next_brute(data)
