@@ -91,7 +91,8 @@ def running(
     upto = (Window.unboundedPreceding, Window.currentRow)
     sums = [F.sum(c).alias(o) for o, (kind, c) in outputs.items() if kind == "sum"]
     types = {f.name: f.dataType for f in df.select(*sums).schema} if sums else {}
-    sliced = slice_by_order(df, [*keys, *order])
+    # Read back bucketed by slice: the window and the slice ends below need no second exchange.
+    sliced = bucketed_slices(df, sort_columns([*keys, *order]))
     within = Window.partitionBy(SLICE, *keys).orderBy(*sort_columns(order)).rowsBetween(*upto)
     position = F.struct(*names(order))
     ends = sliced.groupBy(SLICE, *keys).agg(
