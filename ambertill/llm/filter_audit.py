@@ -26,6 +26,8 @@ from itertools import permutations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ambertill.session import stage
+
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 COUNTS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
@@ -36,6 +38,8 @@ MIN_WORDS = 100
 DISTINCT_SHARE = 80
 UPPER_SHARE = 10
 _SYMBOLS = r"[#$%&*|]"
+#: A text held by more than this share of all rows is salted before the join to its first id.
+HOT_SHARE = 1024
 
 
 def failures(docs: DataFrame, text: str = "text") -> dict[str, Column]:
@@ -61,13 +65,12 @@ def typed(docs: DataFrame, labels: DataFrame, part: str = "lang", text: str = "t
         digest.alias("_digest"),
         *(c.alias(f"_{name}") for name, c in conditions.items()),
     )
-    firsts = rows.groupBy(F.col("_digest").alias("_first_digest")).agg(F.min("_doc").alias("_first"))
     later = F.when(F.col("_doc").isNull(), F.col("_first").isNotNull()).otherwise(F.col("_doc") > F.col("_first"))
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_label_doc")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("int")).alias("_good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("int")).alias("_toxic"),
     )
-    joined = rows.join(firsts, rows["_digest"] == firsts["_first_digest"]).join(marks, F.col("_doc") == F.col("_label_doc"), "left")
+    joined = _with_first(rows).join(marks, F.col("_doc") == F.col("_label_doc"), "left")
     bits = [F.col(f"_{name}").cast("int") * (1 << i) for i, name in enumerate("ABCD")] + [F.coalesce(later, F.lit(False)).cast("int") * 16]
     mask = bits[0] + bits[1] + bits[2] + bits[3] + bits[4]
     return joined.groupBy(
@@ -75,6 +78,29 @@ def typed(docs: DataFrame, labels: DataFrame, part: str = "lang", text: str = "t
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_first``: the smallest id of rows with the same ``_digest``.
+
+    The smallest ids are found by a partial aggregate. Texts held by more than 1/``HOT_SHARE`` of
+    all rows (at most ``HOT_SHARE`` of them, so their list is small enough to broadcast) are salted:
+    their rows are spread over ``spark.sql.shuffle.partitions`` salts and their first id is copied
+    to every salt, so that no group of copies reaches the join in one task.
+    """
+    spark = rows.sparkSession
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    firsts = stage(rows.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.count(F.lit(1)).alias("_copies")), "firsts")
+    total = firsts.agg(F.sum("_copies")).first()[0] or 0
+    limit = max(1, total // HOT_SHARE)
+    hot = firsts.where(F.col("_copies") > limit).select(F.col("_digest").alias("_hot_digest"))
+    marked = rows.join(F.broadcast(hot), F.col("_digest") == F.col("_hot_digest"), "left")
+    salt = F.when(F.col("_hot_digest").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))).otherwise(F.lit(0))
+    keyed = marked.withColumn("_salt", salt.cast("int")).drop("_hot_digest")
+    copies = F.when(F.col("_copies") > limit, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = firsts.select(F.col("_digest").alias("_f_digest"), "_first", F.explode(copies).alias("_f_salt"))
+    same = (F.col("_digest") == F.col("_f_digest")) & (F.col("_salt") == F.col("_f_salt"))
+    return keyed.join(spread, same).drop("_f_digest", "_f_salt", "_salt")
+
+
 def outcomes(mask: int, good: int, toxic: int) -> list[int]:
     """0 or 1 for every field: order by order, step by step, the six counts in the order of ``COUNTS``."""
     out = []

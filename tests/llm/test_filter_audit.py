@@ -95,3 +95,13 @@ def test_query_matches_sql(spark):
     expected = connection(folder).execute(ORACLES["op13_filter_audit"])
     names = [c[0] for c in expected.description]
     assert canonical(got.collect(), got.columns) == canonical(expected.fetchall(), names)
+
+
+def test_a_third_of_rows_with_one_text(spark, monkeypatch):
+    monkeypatch.setattr(filter_audit, "HOT_SHARE", 8)
+    ts = texts(5, 30)
+    docs = [(i, t, "en" if i % 2 else None) for i, t in enumerate(ts)] + [(100 + i, ts[9], "en") for i in range(20)]
+    labels = [(100, 1, 0), (105, 0, 1), (9, 1, 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(5)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert sorted(tuple(r) for r in filter_audit.audit(frame, lab).collect()) == brute(docs, labels)
