@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ambertill.operators.changes import few_copies
 from ambertill.operators.ordered import next_distinct, number_rows, running
 from ambertill.session import stage
 
@@ -32,6 +33,27 @@ class Lookup:
         return self.message or f"{self.table} not found for {', '.join(self.on)}"
 
 
+def _within_batch(table: DataFrame, batch: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Only the rows of ``table`` whose natural key the batch holds.
+
+    The smallest and largest batch value of every key column (one small aggregate) become range
+    filters that reach the table's scan, where Parquet skips row groups by their statistics; a semi
+    join with the batch's keys then leaves exactly the rows a lookup can find. The table is no longer
+    aggregated whole for a small batch.
+    """
+    bounds = batch.agg(*(F.min(mine).alias(f"lo{i}") for i, mine in enumerate(on)), *(F.max(mine).alias(f"hi{i}") for i, mine in enumerate(on))).first()
+    for i, theirs in enumerate(on.values()):
+        low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
+        if low is None:
+            return table.limit(0)
+        table = table.where(F.col(theirs).between(F.lit(low), F.lit(high)))
+    wanted = few_copies(batch.select(*(F.col(mine).alias(f"_b_{theirs}") for mine, theirs in on.items())), [f"_b_{t}" for t in on.values()])
+    same = F.lit(True)
+    for theirs in on.values():
+        same = same & (F.col(theirs) == F.col(f"_b_{theirs}"))
+    return table.join(wanted, same, "left_semi")
+
+
 def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Sequence[Lookup]):
     """Replace natural keys by ids; returns ``(resolved, rejected)``.
 
@@ -39,7 +61,8 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
     natural key with a match count, and more than one match is a rejection.
     The first failing lookup, in the order given, names the reason.
 
-    The reduced table is stored before the join. Its size is then known, so
+    Only table rows whose key the batch holds are read and reduced (``_within_batch``), when the
+    lookup's keys are batch columns. The reduced table is stored before the join. Its size is then known, so
     Spark broadcasts it only when it is small; and otherwise both join inputs
     are plain shuffles, which adaptive execution splits where one code holds
     much of the batch (it cannot split beside an aggregation on the join key).
@@ -52,6 +75,8 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
         for column, value in lookup.fixed.items():
             table = table.where(F.col(column) == F.lit(value))
         prefix = f"_{lookup.out}_"
+        if set(lookup.on) <= set(batch.columns):
+            table = _within_batch(table, batch, lookup.on)
         keys = table.groupBy(*(F.col(c).alias(prefix + c) for c in lookup.on.values())).agg(
             F.min(lookup.id_column).alias(lookup.out), F.count(F.lit(1)).alias(prefix + "matches")
         )

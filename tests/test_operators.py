@@ -246,3 +246,19 @@ def test_multiset_checksum_sends_no_rows(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert all("SinglePartition" in line or "RoundRobinPartitioning" in line for line in exchanges)
     assert "HashAggregate" in plan
+
+
+def test_lookup_reads_only_the_batch_keys(spark, tmp_path):
+    from ambertill.operators.matching import Lookup, _within_batch, resolve_keys
+
+    path = str(tmp_path / "parent")
+    spark.range(1000).selectExpr("id AS pid", "concat('code', id) AS code", "id % 10 AS grp").write.parquet(path)
+    parent = spark.read.parquet(path)
+    batch = spark.createDataFrame([(7, "code7"), (9, "code9"), (9, "code9"), (None, None), (3, "nope")], "n long, code string")
+    narrowed = _within_batch(parent, batch, {"code": "code"})
+    plan = narrowed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(code,code7)" in plan and "LessThanOrEqual(code,nope)" in plan
+    assert sorted(r.pid for r in narrowed.collect()) == [7, 9]
+    good, bad = resolve_keys(batch, {"parent": parent}, [Lookup("pid", "parent", "pid", {"code": "code"})])
+    assert bag(good, "n", "pid") == [(7, 7), (9, 9), (9, 9)]
+    assert bag(bad, "n", "reject_reason") == sorted([(None, "parent not found for code"), (3, "parent not found for code")], key=repr)
