@@ -279,21 +279,17 @@ def most_popular_by_country(
     spark = rentals.sparkSession
     requested = spark.createDataFrame(list(enumerate(wanted, start=1)), "country_order int, country string")
     known = countries.select("country").where(F.col("country").isin(wanted)).distinct()
-    # No longer than the caller's own list.
-    unknown = sorted(r[0] for r in requested.join(known, "country", "left_anti").select("country").collect())
-    if unknown:
-        raise ValueError(f"Unknown countries: {', '.join(unknown)}")
+    # The names are no more than the caller's own list; the check runs in the report's own job.
+    unknown = requested.join(known, "country", "left_anti").agg(F.array_sort(F.collect_list("country")).alias("_names"))
+    error = unknown.select(F.when(F.size("_names") > 0, F.concat(F.lit("Unknown countries: "), F.array_join("_names", ", "))).alias("_error"))
     counted = (
         rentals.where(F.col("country").isin(wanted) & F.col("film_id").isNotNull())
         .groupBy("country", "film_id")
         .agg(F.count(F.lit(1)).alias("rentals_count"))
     )
     best = best_with_ties(counted, ["country"], "rentals_count").join(films, "film_id")
-    return (
-        requested.join(best, "country", "left")
-        .orderBy(*sort_columns(["country_order", *shown]))
-        .select("country", *shown)
-    )
+    report = requested.join(best, "country", "left").select("country_order", "country", *shown)
+    return checked(report, error).orderBy(*sort_columns(["country_order", *shown])).select("country", *shown)
 
 
 def countries_without_rentals(countries: DataFrame, customer_country: DataFrame, rentals: DataFrame) -> DataFrame:
@@ -334,6 +330,25 @@ def films_in_stock(
     )
 
 
+def checked(df: DataFrame, error: DataFrame) -> DataFrame:
+    """The rows of ``df``, or an error raised while they are computed, in the same job.
+
+    ``error`` is one row with a string column ``_error``, NULL when all is well. It is appended as
+    a row that a filter always drops; evaluating that filter raises the message.
+    """
+    guard = error.select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields),
+        F.when(F.col("_error").isNotNull(), F.raise_error(F.col("_error"))).otherwise(F.lit(False)).alias("_keep"),
+    )
+    return df.withColumn("_keep", F.lit(True)).unionByName(guard).where(F.col("_keep")).drop("_keep")
+
+
+def rows_or_error(df: DataFrame, message: str) -> DataFrame:
+    """"Nothing found" as an error raised inside the plan: the check stops at the first row found."""
+    found = df.select(F.lit(1).alias("_one")).limit(1).agg(F.count(F.lit(1)).alias("_n"))
+    return checked(df, found.select(F.when(F.col("_n") == 0, F.lit(message)).alias("_error")))
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     """"Nothing found" is an error, as the interactive search reports it."""
     if df.isEmpty():
