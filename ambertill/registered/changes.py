@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from ambertill.operators.ordered import number_rows
 from ambertill.operators.ranking import first_per_key
 from ambertill.plans import films, loads
 from ambertill.registered import registered
+from ambertill.session import scratch_dir
+from ambertill.sources import sinks
 from ambertill.registered.films import _activity
 from ambertill.sources.retail import Retail
 
@@ -318,3 +321,21 @@ def pruned_customer_update(t: Retail):
     urgent = change.snapshot.read(t.spark).where(F.col("o_orderpriority") == "1-URGENT")
     report = _month_report(old.read(t.spark), change, t.spark, updated=change.affected, urgent_after=urgent)
     return report.select("o_month", "rows_before", "updated", "urgent_after", "rewritten")
+
+
+@registered(
+    """
+    SELECT c_custkey, c_name, c_mktsegment, DATE '2002-01-01' AS record_ts FROM customer
+    UNION ALL
+    SELECT -s_suppkey, s_name, 'SUPPLIER', DATE '2002-01-01' FROM supplier
+    """
+)
+def catalogue_load_date(t: Retail):
+    """A load date kept as a column default in the catalogue: old files are not rewritten, new rows take it too."""
+    name = f"customers_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(t.spark)}/tables/{name}"
+    t["customer"].select("c_custkey", "c_name", "c_mktsegment").write.option("path", path).format("parquet").saveAsTable(name)
+    sinks.add_column_with_default(t.spark, name, "record_ts", "DATE", "DATE'2002-01-01'")
+    joining = t["supplier"].select((-F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit("SUPPLIER").alias("c_mktsegment"))
+    sinks.insert_columns(joining, name)
+    return t.spark.table(name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,3 +40,26 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def truncate_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
+
+
+def add_column_with_default(spark: SparkSession, name: str, column: str, sql_type: str, default: str) -> bool:
+    """``ALTER TABLE .. ADD COLUMN .. DEFAULT`` on a saved table; False when the column is there already.
+
+    No row is rewritten: rows of older files read the default as worked out at this moment (so a
+    run time is fixed once), and later inserts that leave the column out take the default.
+    """
+    if column in spark.table(name).columns:
+        return False
+    spark.sql(f"ALTER TABLE {name} ADD COLUMN `{column}` {sql_type} DEFAULT {default}")
+    return True
+
+
+def insert_columns(df: DataFrame, name: str) -> None:
+    """``INSERT INTO name (columns of df) SELECT ...``: columns the batch leaves out take their defaults."""
+    view = f"batch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        df.sparkSession.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
