@@ -465,3 +465,52 @@ def rental_history(customer: DataFrame, rentals: DataFrame, payments: DataFrame)
     idle = people.join(few_copies(rented, ["customer_id"]), "customer_id", "left_anti")
     listed = with_payment.unionByName(unpaid, allowMissingColumns=True).unionByName(idle, allowMissingColumns=True)
     return listed.select(*columns).orderBy(*sort_columns(["rental_date", "payment_date"]))
+
+
+def define_popular_function(spark: SparkSession, rentals: DataFrame, films: DataFrame, countries: DataFrame, prefix: str = "") -> str:
+    """``most_popular_by_country`` as a SQL table function of an array of names, for callers who write SQL.
+
+    ``SELECT * FROM most_popular_films_by_countries(array('Chad', 'Brazil'))``. Reads views of
+    rentals(country, film_id), films(film_id, title, language) and countries(country). Names are
+    trimmed and kept once; the argument checks and unknown names raise from a guard row of the
+    same query, with the messages of the DataFrame form.
+    """
+    rentals.createOrReplaceTempView(f"{prefix}country_rentals")
+    films.createOrReplaceTempView(f"{prefix}country_films")
+    countries.select("country").createOrReplaceTempView(f"{prefix}known_countries")
+    name = f"{prefix}most_popular_films_by_countries"
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(input_countries ARRAY<STRING>)
+        RETURNS TABLE (country STRING, title STRING, language STRING, film_id BIGINT)
+        RETURN
+        WITH given AS (
+            SELECT pos, trim(c) AS country FROM (SELECT posexplode(input_countries) AS (pos, c))
+        ), wanted AS (
+            SELECT country, min(pos) AS country_order FROM given GROUP BY country
+        ), unknown AS (
+            SELECT array_join(array_sort(collect_list(w.country)), ', ') AS names
+            FROM wanted w LEFT ANTI JOIN {prefix}known_countries k ON k.country = w.country
+        ), counted AS (
+            SELECT r.country, r.film_id, count(*) AS n
+            FROM {prefix}country_rentals r LEFT SEMI JOIN wanted w ON w.country = r.country
+            WHERE r.film_id IS NOT NULL GROUP BY r.country, r.film_id
+        ), best AS (
+            SELECT c.country, c.film_id FROM counted c
+            JOIN (SELECT country, max(n) AS top FROM counted GROUP BY country) b ON b.country = c.country AND c.n = b.top
+        ), guard AS (
+            SELECT CASE
+                WHEN input_countries IS NULL THEN raise_error('No list of countries was given')
+                WHEN size(input_countries) = 0 THEN raise_error('The list of countries is empty')
+                WHEN exists(input_countries, x -> x IS NULL OR trim(x) = '') THEN raise_error('A country in the list has no name')
+                WHEN names <> '' THEN raise_error('Unknown countries: ' || names)
+                ELSE false END AS bad
+            FROM unknown
+        )
+        SELECT w.country, f.title, f.language, CAST(f.film_id AS BIGINT) AS film_id
+        FROM wanted w LEFT JOIN best b ON b.country = w.country LEFT JOIN {prefix}country_films f ON f.film_id = b.film_id
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL FROM guard WHERE bad
+        """
+    )
+    return name

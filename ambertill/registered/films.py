@@ -447,3 +447,29 @@ def segment_history(t: Retail):
         F.col("l_shipdate").cast("date").alias("payment_date"),
     )
     return films.rental_history(people, orders, lines)
+
+
+@registered(
+    """
+    WITH lines AS (
+        SELECT n_name AS country, l_partkey, count(*) AS n
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+        JOIN nation ON n_nationkey = c_nationkey
+        GROUP BY ALL
+    ), best AS (
+        SELECT country, l_partkey FROM lines QUALIFY rank() OVER (PARTITION BY country ORDER BY n DESC) = 1
+    )
+    SELECT w.country, p_name AS title, p_brand AS language, p_partkey AS film_id
+    FROM (VALUES ('NATION_3'), ('NATION_7'), ('NATION_12')) w(country)
+    LEFT JOIN best ON best.country = w.country LEFT JOIN part ON p_partkey = l_partkey
+    """
+)
+def top_part_per_nation_sql(t: Retail):
+    """The same report through a SQL table function called with an array of names."""
+    nations = t["nation"].select("n_nationkey", F.col("n_name").alias("country"))
+    buyers = t["customer"].join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country")
+    ordered = t["orders"].join(buyers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "country")
+    lines = t["lineitem"].select("l_orderkey", F.col("l_partkey").alias("film_id"))
+    rentals = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).select("country", "film_id")
+    name = films.define_popular_function(t.spark, rentals, _parts(t).select("film_id", "title", "language"), nations, "ambertill_")
+    return t.spark.sql(f"SELECT * FROM {name}(array('NATION_3', ' NATION_7 ', 'NATION_12', 'NATION_3'))")

@@ -369,3 +369,21 @@ def test_registering_films(spark, shop):
     again = loads.register_films(done.films, done.languages, named, 2026)
     assert rows(again.inserted, "film_id", "language", "release_year") == [(7, "English", 2025)]
     assert again.languages.count() == 3
+
+
+def test_popular_films_as_sql_function(shop):
+    spark = shop["country"].sparkSession
+    name = films.define_popular_function(
+        spark, film_rental.rentals_by_country(shop), film_rental.films_with_language(shop).select("film_id", "title", "language"), shop["country"], "t_"
+    )
+    got = bag(spark.sql(f"SELECT * FROM {name}(array('Chad', ' Australia ', 'Brazil', 'Chad'))"), "country", "title")
+    assert got == bag(popular(shop, ["Chad", " Australia ", "Brazil", "Chad"]), "country", "title")
+    for argument, message in [
+        ("CAST(NULL AS ARRAY<STRING>)", "No list of countries"),
+        ("CAST(array() AS ARRAY<STRING>)", "list of countries is empty"),
+        ("array('Chad', ' ')", "has no name"),
+        ("array('Chad', CAST(NULL AS STRING))", "has no name"),
+        ("array('Nowhere', 'Chad', 'Atlantis')", "Unknown countries: Atlantis, Nowhere"),
+    ]:
+        with pytest.raises(Exception, match=message):
+            spark.sql(f"SELECT * FROM {name}({argument})").collect()
