@@ -92,4 +92,4 @@ def test_registered():
     import __spark_entry__ as contract
 
     assert contract.queries()["pipeline"] is corpus_pipeline.run
-    assert len([q for q in contract.queries() if q.startswith("op")]) == 10
+    assert len([q for q in contract.queries() if q.startswith("op")]) == 13
