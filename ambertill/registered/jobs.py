@@ -456,3 +456,55 @@ def lines_same_multiset(t: Retail):
     same = left == right
     differing = 0 if same else differences(lines, rebuilt).count()
     return t.spark.createDataFrame([(left["rows"], right["rows"], same, differing)], "rows_left long, rows_right long, same boolean, differing_rows long")
+
+
+# ------------------------------------------------------------ life cycle of a saved table, array columns
+@registered(
+    """
+    SELECT 'created' AS step, count(*) AS row_count FROM customer
+    UNION ALL SELECT 'a third deleted', count(*) FILTER (WHERE NOT coalesce(c_custkey % 3 = 0, false)) FROM customer
+    UNION ALL SELECT 'truncated', 0
+    UNION ALL SELECT 'dropped', 0
+    """
+)
+def table_life_cycle(t: Retail):
+    """Create a saved table from the customers, delete a third into its next snapshot, truncate it, drop it.
+
+    ``row_count`` of the last step is 1 if the table still exists, else 0.
+    """
+    spark = t.spark
+    # Managed tables in the shared warehouse: TRUNCATE is refused on tables whose files lie elsewhere.
+    first, second = f"life_{uuid.uuid4().hex}", f"life_{uuid.uuid4().hex}"
+    customers = t["customer"].select("c_custkey", "c_name", "c_nationkey")
+    sinks.save_table(customers, first)
+    created = spark.table(first).count()
+    kept = changes.delete_where(spark.table(first), F.col("c_custkey") % 3 == 0).snapshot
+    sinks.save_table(kept, second)
+    sinks.drop_table(spark, first)
+    after = spark.table(second).count()
+    sinks.truncate_table(spark, second)
+    truncated = spark.table(second).count()
+    sinks.drop_table(spark, second)
+    exists = int(spark.catalog.tableExists(second))
+    steps = [("created", created), ("a third deleted", after), ("truncated", truncated), ("dropped", exists)]
+    return spark.createDataFrame(steps, "step string, row_count long")
+
+
+@registered("SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n_components FROM embeddings")
+def embedding_sizes(t: Retail):
+    """``size`` of an array column of the given table; a NULL array has NULL size."""
+    vectors = t.spark.read.parquet(f"{t.folder}/embeddings.parquet")
+    return vectors.select("vec_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).cast("int").alias("n_components"))
+
+
+@registered(
+    """
+    SELECT vec_id, count(x) AS n_values, CAST(max(x) AS DOUBLE) AS largest
+    FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings) GROUP BY vec_id
+    """
+)
+def embedding_components(t: Retail):
+    """``unnest`` of an array column without positions: values per vector; NULL and empty arrays give no row."""
+    vectors = t.spark.read.parquet(f"{t.folder}/embeddings.parquet")
+    values = vectors.select("vec_id", F.explode("embedding").alias("x"))
+    return values.groupBy("vec_id").agg(F.count("x").alias("n_values"), F.max("x").cast("double").alias("largest"))
