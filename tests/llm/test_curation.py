@@ -115,7 +115,7 @@ def test_columns_that_clash(spark, tmp_path):
     own = ["_doc", "_content", "_row", "_size", "_name", "_copies", "_source", "_target", "_id", "_sum", "shard", "content", "component_id", "a.b", "block"]
     docs = docs.withColumns({c: F.lit(c) for c in own})
     items = spark.createDataFrame([(5, "a b c d")], "item_id long, text string")
-    model = {"langs": ["x"], "entries": {}, "logs": __import__("numpy").zeros((0, 1))}
+    model = language.train(spark.createDataFrame([("x", "q")], "lang string, text string"))
     ids = lambda df: sorted(r.doc_id for r in df.collect())
     for result, expected in (
         (decontamination.drop_contaminated(docs, items), [2, 3]),
