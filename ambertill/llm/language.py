@@ -1,10 +1,9 @@
 """Language ID by words first, shorter and shorter character n-grams for unseen words.
 
-Counting runs over all labelled training texts, and the model is the table of all these counts. It grows with the
-vocabulary, so it stays distributed: documents meet it in joins by word and entry, and only the totals of each language
-and kind of entry (six numbers a language) reach the driver. A known word adds its log frequency in each language. For an
-unseen word the longest n-grams of which some are known decide: their mean log frequency is added, and only if none is
-known the next shorter ones are asked.
+The classifier is fit on whole labelled rows of at most ``TRAIN_BYTES`` bytes of text in all, chosen by hash, and the model holds
+the counts of all entries of these; it is bounded with them and is sent to every task whole. A known word adds its log frequency
+in each language. For an unseen word the longest n-grams of which some are known decide: their
+mean log frequency is added, and only if none is known the next shorter ones are asked.
 """
 
 from __future__ import annotations
@@ -13,11 +12,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ambertill.llm import scan
 from ambertill.llm.rows import content, without
 from ambertill.session import stage
 
@@ -27,11 +28,13 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Words that a task counts, or remembers, before it passes them on.
 HELD = 200_000
+#: Labelled text the classifier is fit on, at most, in UTF-8 bytes; it bounds the model that the driver builds and every task receives.
+TRAIN_BYTES = 32 << 20
+#: Hash buckets of labelled rows; the sample is made of whole buckets.
+BUCKETS = 4096
 _RUN = re.compile(r"[^\W\d_]+")
 COUNTS = "lang string, entry string, n bigint"
-PAIRS = "doc_id bigint, content bigint, word string, n bigint"
-#: Kinds of entries: a word after a blank, an n-gram after its length.
-KINDS = [" ", *map(str, range(SHORTEST, LONGEST + 1))]
+RESULT = "doc_id bigint, content bigint, lang_pred string, score double"
 
 
 def words(text: str) -> list[str]:
@@ -101,124 +104,137 @@ def count_entries(labelled: DataFrame) -> DataFrame:
     return found.unionByName(parts)
 
 
-@dataclass(frozen=True)
-class Model:
-    """All entry counts, as a table, and what the driver needs to turn them into log frequencies.
+def bounded_sample(labelled: DataFrame, most: int = TRAIN_BYTES) -> DataFrame:
+    """Whole rows of ``labelled`` with ``lang`` and ``text``, at most ``most`` bytes of text in all.
 
-    ``counts`` has ``lang``, ``entry`` and ``n`` for every entry seen in a language, ``entries`` the distinct entries; both
-    are written once. ``langs`` are sorted by code point, ``totals`` maps (language, kind) to the sum of its counts and
-    ``size`` is the number of distinct entries.
+    Rows fall into ``BUCKETS`` buckets by a hash of id, language and text; buckets are taken in their order, each one that still
+    fits, so the choice depends neither on partitions nor on the order of rows, and all rows are taken when they fit. Only the
+    byte count of each bucket reaches the driver.
     """
-
-    counts: DataFrame
-    entries: DataFrame
-    langs: list
-    totals: dict
-    size: int
-
-    def base(self, kind: str, lang: str) -> float:
-        """log frequency of an entry of ``kind`` never seen in ``lang``."""
-        return math.log(SMOOTHING / (self.totals.get((lang, kind), 0) + SMOOTHING * max(1, self.size)))
-
-
-def train(labelled: DataFrame) -> Model:
-    """The model of a table with ``lang`` and ``text``; rows without either are left out. It holds every entry."""
-    counts = stage(count_entries(labelled), "entry-counts")
-    sums = counts.groupBy("lang", F.substring("entry", 1, 1).alias("kind")).agg(F.sum("n").alias("total"))
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
+    ident = F.col("doc_id").cast("long") if "doc_id" in labelled.columns else F.lit(None).cast("long")
+    bucket = F.pmod(F.xxhash64(ident, F.col("lang").cast("string"), F.col("text").cast("string")), F.lit(BUCKETS))
+    sizes = sorted(map(tuple, rows.groupBy(bucket.alias("b")).agg(F.sum(F.octet_length(F.col("text").cast("string")))).collect()))
+    taken, used = [], 0
+    for b, size in sizes:
+        if used + size <= most:
+            taken.append(b)
+            used += size
+    if len(taken) == len(sizes):
+        return rows
+    return rows.where(bucket.isin(taken))
+
+
+def train(labelled: DataFrame, entries: int | None = None, most: int = TRAIN_BYTES) -> dict:
+    """The model of a table with ``lang``, ``text`` and ``doc_id``, fit on at most ``most`` bytes of it (``bounded_sample``).
+
+    It holds every entry of these rows. A caller who needs a smaller one can bound the number of entries: then those above a threshold on their
+    largest share of a language stay, in eighths of a power of two, each with its counts in all languages. Totals count everything.
+    """
+    counts = stage(count_entries(bounded_sample(labelled, most)), "entry-counts")
+    kind = F.substring("entry", 1, 1)
+    sums = counts.groupBy("lang", kind.alias("kind")).agg(F.sum("n").alias("total"))
     totals = {(r.lang, r.kind): r.total for r in sums.collect()}
-    entries = stage(counts.select("entry").distinct(), "entries")
-    return Model(counts, entries, sorted({lang for lang, _ in totals}), totals, entries.count())
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row: a head (no word; ``n`` 1 if the text has a word, else 0), then each distinct word with its count."""
-    for batch in batches:
-        ids, contents, words_, ns = [], [], [], []
-        for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "content", "text"))):
-            found = Counter(words(text or ""))
-            ids += [doc] * (len(found) + 1)
-            contents += [key] * (len(found) + 1)
-            words_ += [None, *found]
-            ns += [1 if found else 0, *found.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(contents, pa.int64()), pa.array(words_, pa.string()), pa.array(ns, pa.int64())], ["doc_id", "content", "word", "n"]
-        )
-
-
-def vectors(words_: DataFrame, model: Model) -> DataFrame:
-    """``word`` and ``_v0`` ... : what each distinct word of ``words_`` adds to the log likelihood of each language.
+    kept = counts
+    if entries is not None:
+        shares = counts.withColumn("kind", kind).join(sums, ["lang", "kind"]).groupBy("entry").agg(F.floor(F.log2(F.max(F.col("n") / F.col("total"))) * 8).cast("int").alias("step"))
+        seen, least = 0, None
+        for level, n in sorted(map(tuple, shares.groupBy("step").agg(F.count("*")).collect()), reverse=True):
+            if seen + n > entries:
+                least = level + 1
+                break
+            seen += n
+        if least is not None:
+            kept = counts.join(shares.where(F.col("step") >= least).select("entry"), "entry")
+    kept = kept.select("lang", "entry", "n").toArrow().combine_chunks()
+    langs = sorted({lang for lang, _ in totals})
+    number = {lang: k for k, lang in enumerate(langs)}
+    names = pc.unique(kept.column("entry"))
+    names = names.take(pc.sort_indices(names))
+    table = np.zeros((len(names), len(langs)), np.float32)
+    at = pc.index_in(kept.column("entry"), names).to_numpy()
+    table[at, [number[x] for x in kept.column("lang").to_pylist()]] = kept.column("n").to_numpy()
+    names = names.to_pylist()
+    kinds = [name[0] for name in names]
+    for k, lang in enumerate(langs):
+        of_kind = {c: totals.get((lang, c), 0) for c in set(kinds)}
+        whole = np.fromiter((of_kind[c] for c in kinds), float, len(kinds))
+        table[:, k] = np.log((table[:, k] + SMOOTHING) / (whole + SMOOTHING * max(1, len(names))))
+    return {"langs": langs, "entries": {name: k for k, name in enumerate(names)}, "logs": table}
+
+
+class Predictor:
+    def __init__(self, model: dict):
+        self.langs, self.entries, self.logs = model["langs"], model["entries"], model["logs"].astype(np.float64)
+        self.unseen: dict[str, list[int]] = {}
+
+    def backed_off(self, word: str) -> list[int]:
+        """The known ones among the longest n-grams of which some are known."""
+        found = self.unseen.get(word)
+        if found is None:
+            if len(self.unseen) > HELD:
+                self.unseen.clear()
+            entry, found = self.entries.get, []
+            for n in range(LONGEST, SHORTEST - 1, -1):
+                found = [k for g in grams(word, n) if (k := entry(g)) is not None]
+                if found:
+                    break
+            self.unseen[word] = found
+        return found
 
-    A known word adds its own log frequency; an unseen one the mean over the known n-grams of the greatest length that has
-    any (an n-gram twice in the word counts twice); a word without any known entry is left out, it adds nothing.
-    """
-    entry = F.concat(F.lit(" "), "word")
-    known = words_.join(model.entries, entry == F.col("entry"), "left_semi").select("word", F.lit(" ").alias("kind"), entry.alias("entry"), F.lit(1.0).alias("w"))
-    unseen = words_.join(model.entries, entry == F.col("entry"), "left_anti").withColumn("_m", F.concat(F.lit("<"), "word", F.lit(">")))
-    grams_ = F.flatten(F.array(*(
-        F.expr(f"transform(filter(sequence(1, length(_m)), i -> i <= length(_m) - {n} + 1), i -> struct({n} AS n, concat('{n}', substring(_m, i, {n})) AS gram))")
-        for n in range(SHORTEST, LONGEST + 1)
-    )))
-    found = unseen.select("word", F.inline(grams_)).groupBy("word", "n", "gram").agg(F.count("*").alias("times"))
-    found = found.join(model.entries, F.col("gram") == F.col("entry"), "left_semi")
-    found = found.withColumn("_best", F.max("n").over(Window.partitionBy("word"))).where(F.col("n") == F.col("_best"))
-    backed = found.select(
-        "word", F.col("n").cast("string").alias("kind"), F.col("gram").alias("entry"), (F.col("times") / F.sum("times").over(Window.partitionBy("word"))).alias("w")
-    )
-    seen = known.unionByName(backed).join(model.counts, "entry")
-    part = F.col("w") * (F.log(F.col("n") + SMOOTHING) - math.log(SMOOTHING))
-    sums = seen.groupBy("word", "kind").agg(*(F.sum(F.when(F.col("lang") == lang, part)).alias(f"_s{k}") for k, lang in enumerate(model.langs)))
-    base = lambda lang: F.create_map(*(x for kind in KINDS for x in (F.lit(kind), F.lit(model.base(kind, lang)))))[F.col("kind")]
-    return sums.select("word", *((F.coalesce(f"_s{k}", F.lit(0.0)) + base(lang)).alias(f"_v{k}") for k, lang in enumerate(model.langs)))
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+    def predict(self, text: str | None) -> tuple[str, float]:
+        found = Counter(words(text or ""))
+        if not found or not self.langs:
+            return UNKNOWN, 0.0
+        known: list[int] = []
+        weights: list[float] = []
+        for word, n in found.items():
+            at = self.entries.get(" " + word)
+            if at is not None:
+                known.append(at)
+                weights.append(n)
+            else:
+                # The mean over the n-grams counts as one word.
+                shorter = self.backed_off(word)
+                known += shorter
+                weights += [n / len(shorter)] * len(shorter) if shorter else []
+        total = np.array(weights) @ self.logs[known] if known else np.zeros(len(self.langs))
+        share = np.exp(total - total.max())
+        best = int(np.argmax(share))
+        return self.langs[best], float(share[best] / share.sum())
+
+
+def predict(docs: DataFrame, model: dict) -> DataFrame:
     """``doc_id``, ``content`` (hash of the text), ``lang_pred`` and ``score`` of every row of ``docs``.
 
     Reads ``doc_id`` and ``text``. Without a letter (null, empty, digits only), or without a language in the model, the
     prediction is ``und`` with score 0. The score is the share of the language in the likelihoods of all;
-    of equal ones the first by code point wins; a text whose words are all unknown gets the first language with
-    ``1 / len(langs)``. Repeated rows get one result each; an empty table stays empty.
-
-    The words of each document, with their counts, are written once; their distinct words meet the model in joins, and
-    a document's sum over its words is one aggregate over its (document, word) pairs. A hot word is one key of the join
-    with one row on the model's side, which adaptive execution splits.
+    of equal ones the first by code point wins. An empty table stays empty.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content().alias("content"), F.col("text").cast("string").alias("text"))
-    pairs = stage(rows.mapInArrow(_pairs, PAIRS), "doc-words")
-    langs = model.langs
-    heads = pairs.where(F.col("word").isNull()).select("doc_id", "content", F.lit(1).alias("_one"), F.col("n").alias("_letter"), *(F.lit(0.0).alias(f"_c{k}") for k in range(len(langs))))
-    found = pairs.where(F.col("word").isNotNull())
-    if langs:
-        found = found.join(vectors(found.select("word").distinct(), model), "word")
-    parts = found.select("doc_id", "content", F.lit(0).alias("_one"), F.lit(0).alias("_letter"), *((F.col("n") * F.col(f"_v{k}")).alias(f"_c{k}") for k in range(len(langs))))
-    sums = heads.unionByName(parts).groupBy("doc_id", "content").agg(
-        F.sum("_one").alias("_rows"), F.max("_letter").alias("_letter"), *(F.sum(f"_c{k}").alias(f"_t{k}") for k in range(len(langs)))
-    )
-    if langs:
-        # Repeated rows summed their pairs as often as they occur.
-        total = F.array(*(F.col(f"_t{k}") / F.col("_rows") for k in range(len(langs))))
-        top = F.array_max("_total")
-        lang = F.element_at(F.array(*map(F.lit, langs)), F.array_position("_total", top).cast("int"))
-        score = F.lit(1.0) / F.aggregate(F.transform("_total", lambda t: F.exp(t - top)), F.lit(0.0), lambda a, b: a + b)
-        sums = sums.withColumn("_total", total)
-    else:
-        lang, score = F.lit(UNKNOWN), F.lit(0.0)
-    some = F.col("_letter") > 0
-    out = sums.select(
-        "doc_id", "content", F.when(some, lang).otherwise(F.lit(UNKNOWN)).alias("lang_pred"), F.when(some, score).otherwise(F.lit(0.0)).alias("score"), "_rows"
-    )
-    return out.select("doc_id", "content", "lang_pred", "score", F.explode(F.array_repeat(F.lit(1), F.col("_rows").cast("int"))).alias("_copy")).drop("_copy")
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = Predictor(sent.value)
+        for batch in batches:
+            for piece in scan.sliced(batch, "text"):
+                found = [predictor.predict(t) for t in piece.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id"), piece.column("content"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                    ["doc_id", "content", "lang_pred", "score"],
+                )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), content().alias("content"), F.col("text").cast("string").alias("text")).mapInArrow(work, RESULT)
 
 
-def drop_without_language(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+def drop_without_language(docs: DataFrame, model: dict, least: float = 0.0) -> DataFrame:
     """The documents that have a language with a score of at least ``least``, with all their columns.
 
     Few and unseen words give a low score, so by default only documents without any letter go. Without a language in the model
     no document can have a score, and only those without any letter go, whatever ``least`` is.
     """
-    if model.langs:
+    if model["langs"]:
         bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
     else:
         # Any one language tells texts with a letter from those without.
-        bad = predict(docs, Model(model.counts, model.entries, [""], {}, 0)).where(F.col("lang_pred") == UNKNOWN)
+        bad = predict(docs, {"langs": [""], "entries": {}, "logs": np.zeros((0, 1), np.float32)}).where(F.col("lang_pred") == UNKNOWN)
     return without(docs, stage(bad.select("doc_id", "content").distinct(), "without-language"))

@@ -186,45 +186,3 @@ def sketch(text, shingle=5, one_in=8):
         found = [chain(hashes[k : k + shingle]) for k in range(len(hashes) - shingle + 1)]
     signed = sorted({h - (1 << 64) if h >> 63 else h for h in found})
     return [h for h in signed if h < -(1 << 63) + (1 << 64) // one_in]
-
-
-class LanguagePredictor:
-    """The plain form of ``language.predict``: the whole model in a dict, one lookup per word."""
-
-    def __init__(self, model):
-        import math
-
-        from ambertill.llm import language
-
-        self.language = language
-        counts = model.counts.collect()
-        self.langs = model.langs
-        names = sorted({r.entry for r in counts})
-        self.logs = {name: [model.base(name[0], lang) for lang in self.langs] for name in names}
-        at = {lang: k for k, lang in enumerate(self.langs)}
-        for r in counts:
-            total = model.totals.get((r.lang, r.entry[0]), 0) + language.SMOOTHING * max(1, model.size)
-            self.logs[r.entry][at[r.lang]] = math.log((r.n + language.SMOOTHING) / total)
-
-    def backed_off(self, word):
-        for n in range(self.language.LONGEST, self.language.SHORTEST - 1, -1):
-            found = [g for g in self.language.grams(word, n) if g in self.logs]
-            if found:
-                return found
-        return []
-
-    def predict(self, text):
-        import math
-
-        found = Counter(self.language.words(text or ""))
-        if not found or not self.langs:
-            return self.language.UNKNOWN, 0.0
-        total = [0.0] * len(self.langs)
-        for word, n in found.items():
-            parts = [" " + word] if " " + word in self.logs else self.backed_off(word)
-            for part in parts:
-                for k, v in enumerate(self.logs[part]):
-                    total[k] += n / len(parts) * v
-        top = max(total)
-        best = total.index(top)
-        return self.langs[best], 1 / sum(math.exp(t - top) for t in total)

@@ -25,18 +25,14 @@ def labelled(spark, n=90):
 
 
 def test_held_out_words_by_shorter_parts(spark):
-    model = language.train(labelled(spark))
-    assert model.langs == ["aa", "bb", "cc"] and model.size == model.counts.select("entry").distinct().count()
+    model = language.train(labelled(spark), 400)
+    assert len(model["entries"]) <= 400 and model["langs"] == ["aa", "bb", "cc"]
     draw = random.Random(7)
     docs = [(k, words_of(draw, lang, 12), lang) for k in range(60) for lang in [draw.choice(list(SYLLABLES))]]
     frame = spark.createDataFrame(docs, "doc_id long, text string, score string")
     got = {r.doc_id: r for r in language.predict(frame, model).collect()}
     assert np.mean([got[k].lang_pred == lang for k, _, lang in docs]) > 0.97
     assert all(0 < r.score <= 1 for r in got.values())
-    plain = brute.LanguagePredictor(model)
-    for k, text, _ in docs:
-        lang, score = plain.predict(text)
-        assert got[k].lang_pred == lang and got[k].score == pytest.approx(score, rel=1e-9)
 
 
 def test_counts_of_all_entries(spark):
@@ -47,15 +43,13 @@ def test_counts_of_all_entries(spark):
 
 
 def test_back_off_by_hand(spark):
-    rows = [("x", "known abcdx"), ("y", "abcdy zz"), ("y", "zz"), ("x", "known")]
-    model = language.train(spark.createDataFrame(rows, "lang string, text string"))
-    plain = brute.LanguagePredictor(model)
-    assert plain.backed_off("abcde") == ["5<abcd"] and plain.backed_off("zzz") == ["3<zz", "3zz>"] and plain.backed_off("q") == ["1<", "1>"]
-    texts = ["known abcde, ABCDE", "q", "zzz known", "zqz", "abcd abcd abcd"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
-    for k, text in enumerate(texts):
-        assert got[k][0] == plain.predict(text)[0] and got[k][1] == pytest.approx(plain.predict(text)[1], rel=1e-9)
+    model = {"langs": ["x", "y"], "entries": {" known": 0, "5<abcd": 1, "2zz": 2, "1z": 3}, "logs": np.array([[-1, -2], [-3, -1], [-5, -4], [-1, -9]], np.float32)}
+    p = language.Predictor(model)
+    assert p.backed_off("abcde") == [1] and p.backed_off("zz") == [2] and p.backed_off("z") == [3] and p.backed_off("q") == []
+    lang, score = p.predict("known abcde, ABCDE")
+    total = np.array([-1 - 3 - 3, -2 - 1 - 1.0])
+    assert lang == "y" and score == pytest.approx(np.exp(total[1]) / np.exp(total).sum())
+    assert p.predict("q")[1] == pytest.approx(0.5)
 
 
 def test_odd_rows(spark):
@@ -64,14 +58,9 @@ def test_odd_rows(spark):
     assert sorted(((r.doc_id, r.lang_pred) for r in got.collect()), key=repr) == sorted([(1, "und"), (2, "und"), (3, "und"), (3, "aa"), (None, "aa"), (4, "und")], key=repr)
     kept = language.drop_without_language(docs, language.train(labelled(spark)))
     assert sorted((r.text for r in kept.collect())) == ["kato", "kato kami"] and kept.columns == docs.columns
+    assert language.predict(docs.limit(0), {"langs": [], "entries": {}, "logs": np.zeros((0, 0))}).count() == 0
     nothing = language.train(docs.withColumn("lang", F.lit(None).cast("string")))
-    assert language.predict(docs.limit(0), nothing).count() == 0 and language.predict(docs.limit(0), language.train(labelled(spark))).count() == 0
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
-    assert sorted(r.text for r in language.drop_without_language(docs, nothing).collect()) == ["kato", "kato kami"]
-    again = docs.unionByName(docs)
-    assert sorted(((r.doc_id, r.lang_pred) for r in language.predict(again, language.train(labelled(spark))).collect()), key=repr) == sorted(
-        2 * [(1, "und"), (2, "und"), (3, "und"), (3, "aa"), (None, "aa"), (4, "und")], key=repr
-    )
 
 
 def test_every_entry_of_a_rare_language_is_kept(spark):
@@ -80,10 +69,9 @@ def test_every_entry_of_a_rare_language_is_kept(spark):
     hot = [(k, " ".join(2 * [f"{letters[k % 26]}{a}{b}{c}" for a in letters for b in letters for c in letters]), "aa") for k in range(26)]
     docs = spark.createDataFrame([*hot, (900, "œuvre ßträng", "zz")], "doc_id long, text string, lang string").repartition(3)
     model = language.train(docs)
-    entries = {r.entry for r in model.entries.collect()}
-    assert " œuvre" in entries and len(entries) > 26**4 and model.size == len(entries)
-    probe = spark.createDataFrame([(1, "œuvre ßträng"), (2, "abcd efgh")], "doc_id long, text string")
-    assert sorted((r.doc_id, r.lang_pred) for r in language.predict(probe, model).collect()) == [(1, "zz"), (2, "aa")]
+    assert " œuvre" in model["entries"] and len(model["entries"]) > 26**4
+    p = language.Predictor(model)
+    assert p.predict("œuvre ßträng")[0] == "zz" and p.predict("abcd efgh")[0] == "aa"
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables are not here")
@@ -95,3 +83,17 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id: r.held_out for r in rows} == {i: brute.fold(i, 3) == 1 for i in docs}
     right = [r.lang_pred == docs[r.doc_id].lang for r in rows if r.held_out]
     assert len(right) > 300 and np.mean(right) > 0.99
+
+
+def test_bounded_sample(spark):
+    table = labelled(spark)
+    whole = {r.doc_id for r in table.where("lang IS NOT NULL AND text IS NOT NULL").collect()}
+    assert {r.doc_id for r in language.bounded_sample(table).collect()} == whole
+    size = lambda df: sum(len(r.text.encode()) for r in df.collect())
+    most = size(table.where("lang IS NOT NULL AND text IS NOT NULL")) // 3
+    got = language.bounded_sample(table, most)
+    again = language.bounded_sample(table.repartition(5).orderBy(F.rand(3)), most)
+    rows = {(r.doc_id, r.text, r.lang) for r in got.collect()}
+    assert 0 < size(got) <= most and rows == {(r.doc_id, r.text, r.lang) for r in again.collect()}
+    assert rows <= {(r.doc_id, r.text, r.lang) for r in table.collect()}
+    assert language.train(table, most=most)["langs"] and language.bounded_sample(table.limit(0)).count() == 0
