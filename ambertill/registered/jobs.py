@@ -98,6 +98,98 @@ def fuel_network_loads(t: Retail):
     return _outcomes(done, again)
 
 
+@registered(
+    """
+    WITH cust AS (
+        SELECT c_custkey, c_name, 'NATION_' || CAST(c_nationkey + 3 AS VARCHAR) AS station, c_mktsegment AS fuel FROM customer
+    ), emp AS (
+        SELECT s_suppkey, s_name, 'NATION_' || CAST(s_nationkey + 3 AS VARCHAR) AS station FROM supplier
+    ), sales AS (
+        SELECT o.o_orderkey, c.station, e.s_name
+        FROM orders o JOIN cust c ON o.o_custkey = c.c_custkey
+        LEFT JOIN supplier e ON e.s_suppkey = o.o_orderkey % (SELECT count(*) FROM supplier)
+    ), good AS (
+        SELECT * FROM sales
+        WHERE station IN (SELECT n_name FROM nation)
+          AND s_name IN (SELECT s_name FROM emp WHERE station IN (SELECT n_name FROM nation))
+    )
+    SELECT 'station' AS load, count(DISTINCT n_name) AS inserted, 0 AS rejected, 0 AS inserted_again FROM nation
+    UNION ALL SELECT 'fuel', count(DISTINCT c_mktsegment), 0, 0 FROM customer
+    UNION ALL SELECT 'customer', count(DISTINCT c_name), 0, 0 FROM customer
+    UNION ALL SELECT 'employee', (SELECT count(*) FROM emp WHERE station IN (SELECT n_name FROM nation)),
+                     (SELECT count(*) FROM emp WHERE station NOT IN (SELECT n_name FROM nation)), 0
+    UNION ALL SELECT 'station_fuel', (SELECT count(*) FROM (SELECT DISTINCT station, fuel FROM cust WHERE station IN (SELECT n_name FROM nation))),
+                     (SELECT count(*) FROM cust WHERE station NOT IN (SELECT n_name FROM nation)), 0
+    UNION ALL SELECT 'fuel_sale', (SELECT count(*) FROM good), (SELECT count(*) FROM sales) - (SELECT count(*) FROM good), 0
+    """
+)
+def fuel_sales_loads(t: Retail):
+    """Customers, employees and their sales on top of stations, fuels and their pairs; each load is run twice.
+
+    Suppliers are employees at the station of their nation shifted by three, so some stations are unknown and those
+    employees are refused. An order is a sale to its customer, at the customer's station and fuel, served by the supplier
+    whose key is the order key modulo the number of suppliers; sales at unknown stations or by refused employees are refused.
+    """
+    nation_station = lambda key: F.concat(F.lit("NATION_"), (F.col(key) + 3).cast("string"))
+    amount = lambda n: F.lit(n).cast("decimal(10,2)")
+    stations = t["nation"].select(
+        F.col("n_name").alias("station_code"),
+        F.col("n_name").alias("station_name"),
+        F.col("n_regionkey").cast("string").alias("city"),
+        F.lit("1 Road").alias("address"),
+        F.lit(dt.date(2026, 1, 5)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    fuels = t["customer"].select(F.col("c_mktsegment").alias("fuel_code"), F.col("c_mktsegment").alias("fuel_name"))
+    day = lambda key: F.lit(dt.datetime(2026, 1, 1)).cast("timestamp") + F.make_dt_interval((F.col(key) % 30).cast("int"))
+    customers = t["customer"].select(
+        F.col("c_name").alias("customer_code"),
+        F.col("c_name").alias("first_name"),
+        F.lit("Buyer").alias("last_name"),
+        F.lit("100").alias("phone"),
+        F.lit(None).cast("string").alias("email"),
+        day("c_custkey").alias("registered_at"),
+        F.lit(True).alias("is_active"),
+    )
+    employees = t["supplier"].select(
+        nation_station("s_nationkey").alias("station_code"),
+        F.col("s_name").alias("employee_code"),
+        F.col("s_name").alias("first_name"),
+        F.lit("Clerk").alias("last_name"),
+        F.lit("cashier").alias("job_title"),
+        F.lit("200").alias("phone"),
+        F.lit(dt.date(2026, 1, 5)).alias("hired_on"),
+        F.lit(True).alias("is_active"),
+    )
+    places = t["customer"].select("c_custkey", "c_name", nation_station("c_nationkey").alias("station_code"), F.col("c_mktsegment").alias("fuel_code"))
+    pairs = places.select("station_code", "fuel_code", amount(1000).alias("tank_capacity_liters"), amount(500).alias("current_quantity_liters"))
+    suppliers = t["supplier"].select("s_suppkey", "s_name")
+    server = F.col("o_orderkey") % suppliers.agg(F.count(F.lit(1))).scalar()
+    sales = (
+        t["orders"]
+        .select("o_orderkey", "o_custkey", server.alias("_server"))
+        .join(places, F.col("o_custkey") == F.col("c_custkey"))
+        .join(suppliers, F.col("_server") == F.col("s_suppkey"), "left")
+        .select(
+            "station_code",
+            "fuel_code",
+            F.col("s_name").alias("employee_code"),
+            F.col("c_name").alias("customer_code"),
+            F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("receipt_number"),
+            day("o_orderkey").alias("sale_datetime"),
+            amount(10).alias("quantity_liters"),
+            amount(2).alias("price_per_liter"),
+            F.lit("card").alias("payment_method"),
+            amount(0).alias("discount_amount"),
+            F.lit(20).cast("decimal(12,2)").alias("total_amount"),
+        )
+    )
+    batches = {"station": stations, "fuel": fuels, "customer": customers, "employee": employees, "station_fuel": pairs, "fuel_sale": sales}
+    steps = [(loads.FUEL_LOADS[name], batch) for name, batch in batches.items()]
+    _, done, again = _ran(steps, fuel_network.TABLES, loads.empty_tables(t.spark, fuel_network.TABLES))
+    return _outcomes(done, again)
+
+
 @registered(
     """
     SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS ticket_number, o_orderpriority AS ticket_type_name,
