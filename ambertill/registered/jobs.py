@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ambertill.functions.numbers import as_double, money
 from ambertill.functions.text import numbered_code
@@ -190,6 +190,84 @@ def fuel_sales_loads(t: Retail):
     return _outcomes(done, again)
 
 
+@registered(
+    """
+    WITH placed AS (
+        SELECT n.n_nationkey, r.r_name FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_regionkey + 2
+    ), events AS (
+        SELECT c.c_nationkey + 3 AS asset_nation FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    )
+    SELECT 'line' AS load, count(DISTINCT r_name) AS inserted, 0 AS rejected, 0 AS inserted_again FROM region
+    UNION ALL SELECT 'asset', count(*), 0, 0 FROM nation
+    UNION ALL SELECT 'maintenance_type', count(DISTINCT o_orderpriority), 0, 0 FROM orders
+    UNION ALL SELECT 'station', count(*), 0, 0 FROM nation
+    UNION ALL SELECT 'line_station', (SELECT count(*) FROM placed WHERE r_name IS NOT NULL), (SELECT count(*) FROM placed WHERE r_name IS NULL), 0
+    UNION ALL SELECT 'maintenance_event', (SELECT count(*) FROM events WHERE asset_nation IN (SELECT n_nationkey FROM nation)),
+                     (SELECT count(*) FROM events WHERE asset_nation NOT IN (SELECT n_nationkey FROM nation)), 0
+    """
+)
+def transit_network_loads(t: Retail):
+    """Lines, assets, stations, their places on lines, maintenance types and events, loaded in order and run twice.
+
+    Regions are lines and nations stations, each with a station asset created at the nation's hour of 2026-01-01. A nation
+    lies on the line of the region two keys on, so nations of the last regions are refused. Order priorities are
+    maintenance types, and every order is an event of its type at the asset of its customer's nation shifted by three,
+    so some assets are unknown and those events are refused.
+    """
+    hour = lambda key: F.lit(dt.datetime(2026, 1, 1)).cast("timestamp") + F.make_dt_interval(F.lit(0), F.col(key).cast("int"))
+    lines = t["region"].select(
+        F.col("r_name").alias("line_code"),
+        F.col("r_name").alias("line_name"),
+        F.concat(F.lit("#0000"), F.lpad(F.col("r_regionkey").cast("string"), 2, "0")).alias("color_hex"),
+        F.lit(dt.date(2026, 1, 2)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    assets = t["nation"].select(F.lit("station").alias("asset_type"), hour("n_nationkey").alias("created_at"))
+    kinds = t["orders"].select(
+        F.col("o_orderpriority").alias("maintenance_type_name"), F.lit(None).cast("string").alias("description"), F.lit(30).alias("default_interval_days")
+    )
+    stations = t["nation"].select(
+        hour("n_nationkey").alias("created_at"),
+        F.lit(None).cast("string").alias("parent_station_code"),
+        F.col("n_name").alias("station_code"),
+        F.col("n_name").alias("station_name"),
+        F.lit(dt.date(2026, 1, 5)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    regions = t["region"].select("r_regionkey", "r_name")
+    placed = t["nation"].join(regions, F.col("r_regionkey") == F.col("n_regionkey") + 2, "left")
+    order_on_line = Window.partitionBy("r_name").orderBy("n_nationkey")
+    places = placed.select(
+        F.col("r_name").alias("line_code"),
+        F.col("n_name").alias("station_code"),
+        F.row_number().over(order_on_line).cast("smallint").alias("station_sequence"),
+        (F.row_number().over(order_on_line) * 10).cast("decimal(6,2)").alias("distance_from_origin_km"),
+        F.lit(dt.date(2026, 1, 5)).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"),
+    )
+    start = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp") + F.make_dt_interval((F.col("o_orderkey") % 30).cast("int"))
+    events = (
+        t["orders"]
+        .select("o_orderkey", "o_custkey", "o_orderpriority")
+        .join(t["customer"].select("c_custkey", (F.col("c_nationkey") + 3).alias("_asset_nation")), F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            F.lit("station").alias("asset_type"),
+            hour("_asset_nation").alias("created_at"),
+            F.col("o_orderpriority").alias("maintenance_type_name"),
+            start.alias("scheduled_start"),
+            (start + F.make_dt_interval(F.lit(1))).alias("scheduled_end"),
+            F.lit(None).cast("timestamp").alias("actual_start"),
+            F.lit(None).cast("timestamp").alias("actual_end"),
+            F.lit("planned").alias("maintenance_status"),
+            F.lit(None).cast("string").alias("notes"),
+        )
+    )
+    batches = {"line": lines, "asset": assets, "maintenance_type": kinds, "station": stations, "line_station": places, "maintenance_event": events}
+    steps = [(loads.TRANSIT_LOADS[name], batch) for name, batch in batches.items()]
+    _, done, again = _ran(steps, transit.TABLES, loads.empty_tables(t.spark, transit.TABLES))
+    return _outcomes(done, again)
+
+
 @registered(
     """
     SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS ticket_number, o_orderpriority AS ticket_type_name,
