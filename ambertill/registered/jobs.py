@@ -268,6 +268,143 @@ def transit_network_loads(t: Retail):
     return _outcomes(done, again)
 
 
+@registered(
+    """
+    WITH seg AS (
+        SELECT n_nationkey, n_name, lead(n_name) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS next_name FROM nation
+    ), trips AS (
+        SELECT o.o_orderkey, s.next_name, e.s_name
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN seg s ON s.n_nationkey = c.c_nationkey
+        LEFT JOIN supplier e ON e.s_suppkey = o.o_orderkey % (SELECT count(*) FROM supplier)
+    )
+    SELECT 'line' AS load, count(*) AS inserted, 0 AS rejected, 0 AS inserted_again FROM region
+    UNION ALL SELECT 'asset', 2 * (SELECT count(*) FROM nation) + (SELECT count(*) FROM supplier), 0, 0
+    UNION ALL SELECT 'station', count(*), 0, 0 FROM nation
+    UNION ALL SELECT 'line_station', count(*), 0, 0 FROM nation
+    UNION ALL SELECT 'train', count(*), 0, 0 FROM supplier
+    UNION ALL SELECT 'track_segment', count(next_name), count(*) - count(next_name), 0 FROM seg
+    UNION ALL SELECT 'schedule_version', count(*), 0, 0 FROM region
+    UNION ALL SELECT 'trip', count(next_name), count(*) - count(next_name), 0 FROM trips
+    UNION ALL SELECT 'trip_stop', 2 * count(next_name), 2 * (count(*) - count(next_name)), 0 FROM trips
+    UNION ALL SELECT 'train_assignment', count(*) FILTER (WHERE next_name IS NOT NULL AND s_name IS NOT NULL),
+                     count(*) FILTER (WHERE next_name IS NULL OR s_name IS NULL), 0 FROM trips
+    """
+)
+def transit_trips_loads(t: Retail):
+    """Trains, track segments, schedules, trips, their stops and trains, on lines and stations; loaded in order and run twice.
+
+    Regions are lines with one weekday schedule each, nations stations on their region's line, suppliers trains. A segment
+    runs from each nation to the next one of its region, so the last nation of a region has none and is refused. Every
+    order is a trip from its customer's nation to the next one of the region (refused where there is none) with a stop at
+    each end, run by the train of supplier key order key modulo the number of suppliers; stops and trains of refused
+    trips are refused too.
+    """
+    at = lambda day, key: F.lit(day).cast("timestamp") + F.make_dt_interval(F.lit(0), F.col(key).cast("int"))
+    station_at, train_at, segment_at = (lambda key, d=d: at(d, key) for d in (dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1), dt.datetime(2026, 3, 1)))
+    lines = t["region"].select(
+        F.col("r_name").alias("line_code"),
+        F.col("r_name").alias("line_name"),
+        F.concat(F.lit("#0000"), F.lpad(F.col("r_regionkey").cast("string"), 2, "0")).alias("color_hex"),
+        F.lit(dt.date(2026, 1, 2)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    nations = t["nation"].join(t["region"].select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
+    nations = nations.withColumn("next_name", F.lead("n_name").over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")))
+    suppliers = t["supplier"].select("s_suppkey", "s_name")
+    assets = union_all(
+        [
+            t["nation"].select(F.lit("station").alias("asset_type"), station_at("n_nationkey").alias("created_at")),
+            t["nation"].select(F.lit("track_segment").alias("asset_type"), segment_at("n_nationkey").alias("created_at")),
+            suppliers.select(F.lit("train").alias("asset_type"), train_at("s_suppkey").alias("created_at")),
+        ]
+    )
+    stations = t["nation"].select(
+        station_at("n_nationkey").alias("created_at"),
+        F.lit(None).cast("string").alias("parent_station_code"),
+        F.col("n_name").alias("station_code"),
+        F.col("n_name").alias("station_name"),
+        F.lit(dt.date(2026, 1, 5)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    on_line = nations.select(
+        F.col("r_name").alias("line_code"),
+        F.col("n_name").alias("station_code"),
+        F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")).cast("smallint").alias("station_sequence"),
+        F.lit(0).cast("decimal(6,2)").alias("distance_from_origin_km"),
+        F.lit(dt.date(2026, 1, 5)).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"),
+    )
+    trains = suppliers.select(
+        train_at("s_suppkey").alias("created_at"),
+        F.col("s_name").alias("fleet_number"),
+        F.lit("M1").alias("model_name"),
+        F.lit(100).alias("capacity"),
+        F.lit(dt.date(2026, 2, 1)).alias("commissioned_on"),
+        F.lit(None).cast("date").alias("decommissioned_on"),
+    )
+    segments = nations.select(
+        segment_at("n_nationkey").alias("created_at"),
+        F.col("n_name").alias("from_station_code"),
+        F.col("next_name").alias("to_station_code"),
+        F.lit(5).cast("decimal(6,2)").alias("length_km"),
+        F.lit(dt.date(2026, 1, 5)).alias("opened_on"),
+        F.lit(None).cast("date").alias("closed_on"),
+    )
+    schedule = F.concat(F.col("r_name"), F.lit(" weekday"))
+    schedules = t["region"].select(
+        F.col("r_name").alias("line_code"),
+        schedule.alias("schedule_name"),
+        F.lit("weekday").alias("day_type"),
+        F.lit(dt.date(2026, 1, 5)).alias("effective_from"),
+        F.lit(None).cast("date").alias("effective_to"),
+        F.lit(dt.datetime(2026, 1, 4)).alias("created_at"),
+    )
+    server = F.col("o_orderkey") % suppliers.agg(F.count(F.lit(1))).scalar()
+    orders = (
+        t["orders"]
+        .select("o_orderkey", "o_custkey", server.alias("_server"))
+        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "next_name", "r_name"), "c_nationkey")
+        .withColumn("trip_code", F.concat(F.lit("TRIP"), F.col("o_orderkey").cast("string")))
+    )
+    trips = orders.select(
+        schedule.alias("schedule_name"),
+        F.col("n_name").alias("origin_station_code"),
+        F.col("next_name").alias("destination_station_code"),
+        "trip_code",
+        F.lit("outbound").alias("direction"),
+        ((F.col("o_orderkey") % 1000) * 60).cast("int").alias("planned_departure_time"),
+        ((F.col("o_orderkey") % 1000) * 60 + 600).cast("int").alias("planned_arrival_time"),
+        F.lit(0).cast("smallint").alias("arrival_day_offset"),
+    )
+    stop = lambda station, seq: orders.select(
+        "trip_code",
+        F.col("r_name").alias("line_code"),
+        F.col(station).alias("station_code"),
+        F.lit(seq).cast("smallint").alias("stop_sequence"),
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10 * (seq - 1))).alias("arrival_offset"),
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10 * (seq - 1) + 1)).alias("departure_offset"),
+    )
+    runs = orders.join(suppliers, F.col("_server") == F.col("s_suppkey"), "left").select(
+        "trip_code", F.col("s_name").alias("fleet_number"), F.lit(dt.date(2026, 1, 5)).alias("valid_from"), F.lit(None).cast("date").alias("valid_to")
+    )
+    batches = {
+        "line": lines,
+        "asset": assets,
+        "station": stations,
+        "line_station": on_line,
+        "train": trains,
+        "track_segment": segments,
+        "schedule_version": schedules,
+        "trip": trips,
+        "trip_stop": union_all([stop("n_name", 1), stop("next_name", 2)]),
+        "train_assignment": runs,
+    }
+    steps = [(loads.TRANSIT_LOADS[name], batch) for name, batch in batches.items()]
+    _, done, again = _ran(steps, transit.TABLES, loads.empty_tables(t.spark, transit.TABLES))
+    return _outcomes(done, again)
+
+
 @registered(
     """
     SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS ticket_number, o_orderpriority AS ticket_type_name,
