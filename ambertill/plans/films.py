@@ -514,3 +514,40 @@ def define_popular_function(spark: SparkSession, rentals: DataFrame, films: Data
         """
     )
     return name
+
+
+def define_balance_function(spark: SparkSession, rentals: DataFrame, payments: DataFrame, prefix: str = "") -> str:
+    """``customer_balances`` of one customer as a SQL table function, to be called laterally for many.
+
+    ``SELECT c.customer_id, b.* FROM customers c, LATERAL customer_balance(c.customer_id, TIMESTAMP '2000-06-30') b``.
+    Reads views of rentals(customer_id, rental_date, return_date, rental_rate, rental_duration, replacement_cost) and
+    payments(customer_id, amount, payment_date), with the rules of ``customer_balances``; a customer without rows owes 0.
+    Spark turns the lateral call into one aggregate by customer and a join, so it costs what the DataFrame form costs.
+    """
+    rentals.createOrReplaceTempView(f"{prefix}balance_rentals")
+    payments.createOrReplaceTempView(f"{prefix}balance_payments")
+    name = f"{prefix}customer_balance"
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(who BIGINT, as_of TIMESTAMP)
+        RETURNS TABLE (rent_fees DECIMAL(28,2), overdue_fees DECIMAL(28,2), replacement_fees DECIMAL(28,2),
+                       payments DECIMAL(28,2), balance DECIMAL(28,2))
+        RETURN
+        WITH held AS (
+            SELECT rental_rate, CAST(rental_duration AS INT) AS allowed, replacement_cost,
+                   datediff(CAST(least(coalesce(return_date, as_of), as_of) AS DATE), CAST(rental_date AS DATE)) AS days
+            FROM {prefix}balance_rentals WHERE customer_id = who AND rental_date <= as_of
+        ), fees AS (
+            SELECT CAST(coalesce(sum(rental_rate), 0) AS DECIMAL(28,2)) AS rent_fees,
+                   CAST(coalesce(sum(CASE WHEN days > allowed AND days <= allowed * 2 THEN days - allowed ELSE 0 END), 0) AS DECIMAL(28,2)) AS overdue_fees,
+                   CAST(coalesce(sum(CASE WHEN days > allowed * 2 THEN replacement_cost ELSE 0 END), 0) AS DECIMAL(28,2)) AS replacement_fees
+            FROM held
+        ), paid AS (
+            SELECT CAST(coalesce(sum(amount), 0) AS DECIMAL(28,2)) AS payments
+            FROM {prefix}balance_payments WHERE customer_id = who AND payment_date <= as_of
+        )
+        SELECT rent_fees, overdue_fees, replacement_fees, payments, rent_fees + overdue_fees + replacement_fees - payments
+        FROM fees CROSS JOIN paid
+        """
+    )
+    return name

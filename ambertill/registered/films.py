@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ambertill.functions.numbers import as_double, money
 from ambertill.plans import films
-from ambertill.registered import registered
+from ambertill.registered import ORACLES, registered
 from ambertill.sources.retail import Retail
 
 #: Text per part type, the counterpart of the audience text per film rating.
@@ -380,6 +380,12 @@ def reward_customers(t: Retail):
     """
 )
 def customer_balances(t: Retail):
+    rentals, payments = _balance_inputs(t)
+    report = films.customer_balances(_customers(t), rentals, payments, dt.datetime(2000, 6, 30))
+    return _as_doubles(report, "rent_fees", "overdue_fees", "replacement_fees", "payments", "balance")
+
+
+def _balance_inputs(t: Retail):
     orders = t["orders"].select("o_orderkey", F.col("o_custkey").alias("customer_id"), "o_orderdate")
     rentals = (
         t["lineitem"]
@@ -396,7 +402,18 @@ def customer_balances(t: Retail):
     payments = t["orders"].select(
         F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("payment_date")
     )
-    report = films.customer_balances(_customers(t), rentals, payments, dt.datetime(2000, 6, 30))
+    return rentals, payments
+
+
+@registered(ORACLES["customer_balances"])
+def customer_balances_lateral(t: Retail):
+    """``customer_balances`` through a SQL table function called laterally per customer."""
+    rentals, payments = _balance_inputs(t)
+    name = films.define_balance_function(t.spark, rentals, payments, "q_")
+    _customers(t).createOrReplaceTempView("q_balance_customers")
+    report = t.spark.sql(
+        f"SELECT c.customer_id, b.* FROM q_balance_customers c, LATERAL {name}(c.customer_id, TIMESTAMP '2000-06-30 00:00:00') b"
+    )
     return _as_doubles(report, "rent_fees", "overdue_fees", "replacement_fees", "payments", "balance")
 
 

@@ -387,3 +387,16 @@ def test_popular_films_as_sql_function(shop):
     ]:
         with pytest.raises(Exception, match=message):
             spark.sql(f"SELECT * FROM {name}({argument})").collect()
+
+
+@pytest.mark.parametrize("as_of", [T(2017, 5, 6), T(2016, 1, 1)])
+def test_balance_as_lateral_sql_function(spark, shop, as_of):
+    rented, paid = film_rental.rented_films(shop), shop["payment"]
+    name = films.define_balance_function(spark, rented, paid, "t_")
+    shop["customer"].select("customer_id").createOrReplaceTempView("t_balance_people")
+    got = spark.sql(f"SELECT c.customer_id, b.* FROM t_balance_people c, LATERAL {name}(c.customer_id, TIMESTAMP '{as_of}') b")
+    want = films.customer_balances(shop["customer"], rented, paid, as_of)
+    columns = ["customer_id", "rent_fees", "overdue_fees", "replacement_fees", "payments", "balance"]
+    assert bag(got.select(columns), *columns) == bag(want.select(columns), *columns)
+    # One aggregate by customer and a join: no call per row.
+    assert "BatchEvalPython" not in plan_of(got) and "Aggregate" in plan_of(got)
