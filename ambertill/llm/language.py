@@ -30,7 +30,7 @@ UNKNOWN = "und"
 HELD = 200_000
 #: Labelled text the classifier is fit on, at most, in UTF-8 bytes; it bounds the model that the driver builds and every task receives.
 TRAIN_BYTES = 32 << 20
-#: Hash buckets of labelled rows; the sample is made of whole buckets.
+#: Hash ranges of one histogram of the sample's search.
 BUCKETS = 4096
 _RUN = re.compile(r"[^\W\d_]+")
 COUNTS = "lang string, entry string, n bigint"
@@ -104,25 +104,37 @@ def count_entries(labelled: DataFrame) -> DataFrame:
     return found.unionByName(parts)
 
 
-def bounded_sample(labelled: DataFrame, most: int = TRAIN_BYTES) -> DataFrame:
+def bounded_sample(labelled: DataFrame, most: int = TRAIN_BYTES, buckets: int = BUCKETS) -> DataFrame:
     """Whole rows of ``labelled`` with ``lang`` and ``text``, at most ``most`` bytes of text in all.
 
-    Rows fall into ``BUCKETS`` buckets by a hash of id, language and text; buckets are taken in their order, each one that still
-    fits, so the choice depends neither on partitions nor on the order of rows, and all rows are taken when they fit. Only the
-    byte count of each bucket reaches the driver.
+    Rows are put in order of a 63-bit hash of id, language and text, and the sample is the longest start of that order
+    that fits, so the choice depends neither on partitions nor on the order of rows, and all rows are taken when they fit.
+    The cut is found by histograms of ``buckets`` hash ranges: the first range that does not fit is split again, at most
+    six times, over a written table of hashes and sizes. Only the histograms reach the driver, whatever the size of the table.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     ident = F.col("doc_id").cast("long") if "doc_id" in labelled.columns else F.lit(None).cast("long")
-    bucket = F.pmod(F.xxhash64(ident, F.col("lang").cast("string"), F.col("text").cast("string")), F.lit(BUCKETS))
-    sizes = sorted(map(tuple, rows.groupBy(bucket.alias("b")).agg(F.sum(F.octet_length(F.col("text").cast("string")))).collect()))
-    taken, used = [], 0
-    for b, size in sizes:
-        if used + size <= most:
-            taken.append(b)
-            used += size
-    if len(taken) == len(sizes):
+    order = F.shiftrightunsigned(F.xxhash64(ident, F.col("lang").cast("string"), F.col("text").cast("string")), 1)
+    sizes = stage(rows.select(order.alias("h"), F.octet_length(F.col("text").cast("string")).alias("n")), "sample-sizes")
+    whole = 1 << 63
+    if (sizes.agg(F.sum("n")).first()[0] or 0) <= most:
         return rows
-    return rows.where(bucket.isin(taken))
+    low, width, left, cut = 0, whole, most, whole
+    while cut == whole:
+        step = -(-width // buckets)
+        inside = F.col("h") >= F.lit(low) if low + width >= whole else F.col("h").between(F.lit(low), F.lit(low + width - 1))
+        found = sorted(map(tuple, sizes.where(inside).groupBy(F.expr(f"(h - {low}) div {step}").alias("b")).agg(F.sum("n")).collect()))
+        for b, n in found:
+            if n <= left:
+                left -= n
+                continue
+            low, width = low + b * step, step
+            if step == 1:
+                cut = low
+            break
+        else:
+            cut = low + width
+    return rows if cut >= whole else rows.where(order < F.lit(cut))
 
 
 def train(labelled: DataFrame, entries: int | None = None, most: int = TRAIN_BYTES) -> dict:

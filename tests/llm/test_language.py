@@ -91,9 +91,19 @@ def test_bounded_sample(spark):
     assert {r.doc_id for r in language.bounded_sample(table).collect()} == whole
     size = lambda df: sum(len(r.text.encode()) for r in df.collect())
     most = size(table.where("lang IS NOT NULL AND text IS NOT NULL")) // 3
-    got = language.bounded_sample(table, most)
-    again = language.bounded_sample(table.repartition(5).orderBy(F.rand(3)), most)
-    rows = {(r.doc_id, r.text, r.lang) for r in got.collect()}
-    assert 0 < size(got) <= most and rows == {(r.doc_id, r.text, r.lang) for r in again.collect()}
-    assert rows <= {(r.doc_id, r.text, r.lang) for r in table.collect()}
+    order = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), "lang", "text"), 1)
+    ranked = sorted((r.h, r.doc_id, len(r.text.encode())) for r in table.where("lang IS NOT NULL AND text IS NOT NULL").select(order.alias("h"), "doc_id", "text").collect())
+    used, prefix = 0, set()
+    for _, doc, n in ranked:
+        if used + n > most:
+            break
+        used, prefix = used + n, prefix | {doc}
+    # Two ranges a histogram: the search splits ranges many times over and still ends at the longest start that fits.
+    for buckets in (4096, 2, 3):
+        got = language.bounded_sample(table, most, buckets)
+        again = language.bounded_sample(table.repartition(5).orderBy(F.rand(3)), most, buckets)
+        rows = {(r.doc_id, r.text, r.lang) for r in got.collect()}
+        assert 0 < size(got) <= most and rows == {(r.doc_id, r.text, r.lang) for r in again.collect()}
+        assert {d for d, _, _ in rows} == prefix
+    assert language.bounded_sample(table, 0).count() == 0
     assert language.train(table, most=most)["langs"] and language.bounded_sample(table.limit(0)).count() == 0
