@@ -177,7 +177,8 @@ def train(labelled: DataFrame, entries: int | None = None, most: int = TRAIN_BYT
 
 class Predictor:
     def __init__(self, model: dict):
-        self.langs, self.entries, self.logs = model["langs"], model["entries"], model["logs"].astype(np.float64)
+        # Kept as sent (float32): the product with the float64 weights is taken in float64 all the same.
+        self.langs, self.entries, self.logs = model["langs"], model["entries"], model["logs"]
         self.unseen: dict[str, list[int]] = {}
 
     def backed_off(self, word: str) -> list[int]:
