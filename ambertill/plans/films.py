@@ -453,16 +453,15 @@ def rental_history(customer: DataFrame, rentals: DataFrame, payments: DataFrame)
 
     Rentals are narrowed to the customers first, and payments to those rentals. Customers, and rentals, without a
     partner are added apart: inner joins are split where one customer holds many rows, outer joins only on
-    one side.
+    one side. All joins hash the narrowed side and stream the other, so a task holds the former only and sorts neither.
     """
     people = customer.select("customer_id")
-    rented = rentals.select("customer_id", "rental_id", "rental_date").join(people, "customer_id", "left_semi")
+    rented = rentals.select("customer_id", "rental_id", "rental_date").join(people.hint("shuffle_hash"), "customer_id")
     paid = payments.select("rental_id", "payment_id", "payment_date")
     columns = ["customer_id", "rental_id", "rental_date", "payment_id", "payment_date"]
-    rented = people.join(rented, "customer_id")
-    with_payment = rented.join(paid, "rental_id").select(*columns)
-    unpaid = rented.join(few_copies(paid, ["rental_id"]), "rental_id", "left_anti")
-    idle = people.join(few_copies(rented, ["customer_id"]), "customer_id", "left_anti")
+    with_payment = paid.join(rented.hint("shuffle_hash"), "rental_id").select(*columns)
+    unpaid = rented.join(few_copies(with_payment, ["rental_id"]).hint("shuffle_hash"), "rental_id", "left_anti")
+    idle = people.join(few_copies(rented, ["customer_id"]).hint("shuffle_hash"), "customer_id", "left_anti")
     listed = with_payment.unionByName(unpaid, allowMissingColumns=True).unionByName(idle, allowMissingColumns=True)
     return listed.select(*columns).orderBy(*sort_columns(["rental_date", "payment_date"]))
 

@@ -51,6 +51,20 @@ def test_history_of_a_frequent_customer(spark, adaptive):
     assert len(rows) == 30_000 + 10
 
 
+def test_history_sorts_neither_side_of_its_joins(spark, adaptive):
+    """Payments are streamed past the narrowed rentals; a sort would hold all of a task's payments."""
+    people = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "customer_id long")
+    rentals = spark.createDataFrame([(1, 10), (1, 11), (2, None), (None, 12), (4, 13), (2, 10)], "customer_id long, rental_id long")
+    rentals = rentals.withColumn("rental_date", F.lit(dt.date(2020, 1, 1)))
+    payments = spark.createDataFrame([(10, 1), (10, 2), (10, 2), (12, 3), (None, 4)], "rental_id long, payment_id long")
+    payments = payments.withColumn("payment_date", F.lit(dt.date(2020, 1, 2)))
+    plan, rows = final_plan(films.rental_history(people, rentals, payments))
+    assert "SortMergeJoin" not in plan
+    wanted = people.join(rentals, "customer_id", "left").join(payments, "rental_id", "left")
+    shown = lambda found: sorted((r.customer_id or 0, r.rental_id or 0, r.payment_id or 0) for r in found)
+    assert shown(rows) == shown(wanted.collect())
+
+
 def test_lookup_of_a_frequent_code(spark, adaptive):
     batch = hot(spark, 30_000).select("id", F.col("k").alias("code")).repartition(6)
     table = spark.range(400).select(F.col("id").alias("code"), (F.col("id") * 2).alias("found"))
