@@ -26,7 +26,7 @@ from ambertill.session import stage
 LONGEST, SHORTEST = 5, 1
 SMOOTHING = 0.5
 UNKNOWN = "und"
-#: Words that a task counts, or remembers, before it passes them on.
+#: Words that a task counts before it passes them on, or entries hashed at once.
 HELD = 200_000
 #: Labelled text the classifier is fit on, at most, in UTF-8 bytes; it bounds the model that the driver builds and every task receives.
 TRAIN_BYTES = 32 << 20
@@ -175,42 +175,96 @@ def train(labelled: DataFrame, entries: int | None = None, most: int = TRAIN_BYT
     return {"langs": langs, "entries": {name: k for k, name in enumerate(names)}, "logs": table}
 
 
+class Entries:
+    """The rows of the entries of a model: their bytes one after another, found by sorted hashes and then compared.
+
+    A dictionary would take several times the memory in every Python worker.
+    """
+
+    def __init__(self, names: pa.StringArray):
+        self.names = names
+        hashes = np.concatenate([_hashes(names[k : k + HELD].to_pylist()) for k in range(0, max(1, len(names)), HELD)])
+        order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes, self.order = hashes[order], order
+        # Entries behind another one of the same hash.
+        later = order[1:][self.hashes[1:] == self.hashes[:-1]].tolist()
+        self.later = {names[k].as_py(): k for k in later}
+
+    def find(self, wanted: list[str]) -> list[int]:
+        """The row of each entry, -1 if there is none."""
+        if not wanted or not len(self.names):
+            return [-1] * len(wanted)
+        hashes = _hashes(wanted)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        rows = np.where(self.hashes[at] == hashes, self.order[at], -1)
+        hit = np.flatnonzero(rows >= 0)
+        same = pc.equal(self.names.take(pa.array(rows[hit])), pa.array([wanted[k] for k in hit.tolist()], pa.string()))
+        rows[hit[~same.to_numpy(zero_copy_only=False)]] = -1
+        found = rows.tolist()
+        if self.later:
+            found = [self.later.get(name, row) for name, row in zip(wanted, found)]
+        return found
+
+
+def _hashes(names: list[str]) -> np.ndarray:
+    return np.fromiter(map(hash, names), np.int64, len(names))
+
+
+def _packed(model: dict) -> dict:
+    """The model with its entries as one Arrow array in the order of their rows."""
+    entries = model["entries"]
+    return model | {"entries": pa.array(sorted(entries, key=entries.get), pa.string())}
+
+
 class Predictor:
     def __init__(self, model: dict):
+        if isinstance(model["entries"], dict):
+            model = _packed(model)
         # Kept as sent (float32): the product with the float64 weights is taken in float64 all the same.
-        self.langs, self.entries, self.logs = model["langs"], model["entries"], model["logs"]
-        self.unseen: dict[str, list[int]] = {}
+        self.langs, self.entries, self.logs = model["langs"], Entries(model["entries"]), model["logs"]
 
     def backed_off(self, word: str) -> list[int]:
         """The known ones among the longest n-grams of which some are known."""
-        found = self.unseen.get(word)
-        if found is None:
-            if len(self.unseen) > HELD:
-                self.unseen.clear()
-            entry, found = self.entries.get, []
-            for n in range(LONGEST, SHORTEST - 1, -1):
-                found = [k for g in grams(word, n) if (k := entry(g)) is not None]
+        return self._backed_off([word]).get(word, [])
+
+    def _backed_off(self, unseen: list[str]) -> dict[str, list[int]]:
+        out: dict[str, list[int]] = {}
+        for n in range(LONGEST, SHORTEST - 1, -1):
+            parts = [grams(word, n) for word in unseen]
+            names = list({g for p in parts for g in p})
+            row = {g: k for g, k in zip(names, self.entries.find(names)) if k >= 0}
+            for word, p in zip(unseen, parts):
+                found = [row[g] for g in p if g in row]
                 if found:
-                    break
-            self.unseen[word] = found
-        return found
+                    out[word] = found
+            unseen = [word for word in unseen if word not in out]
+        return out
+
+    def rows(self, words: list[str]) -> dict[str, list[int]]:
+        """The row of each known word, and those of the n-grams of the others."""
+        out = {word: [row] for word, row in zip(words, self.entries.find([" " + w for w in words])) if row >= 0}
+        return out | self._backed_off([word for word in words if word not in out])
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = Counter(words(text or ""))
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Predictions of some texts, whose words are looked up together."""
+        counted = [Counter(words(text or "")) for text in texts]
+        rows = self.rows(list({word: None for found in counted for word in found})) if self.langs else {}
+        return [self._judged(found, rows) for found in counted]
+
+    def _judged(self, found: Counter, rows: dict[str, list[int]]) -> tuple[str, float]:
         if not found or not self.langs:
             return UNKNOWN, 0.0
         known: list[int] = []
         weights: list[float] = []
         for word, n in found.items():
-            at = self.entries.get(" " + word)
+            at = rows.get(word)
             if at is not None:
-                known.append(at)
-                weights.append(n)
-            else:
                 # The mean over the n-grams counts as one word.
-                shorter = self.backed_off(word)
-                known += shorter
-                weights += [n / len(shorter)] * len(shorter) if shorter else []
+                known += at
+                weights += [n / len(at)] * len(at)
         total = np.array(weights) @ self.logs[known] if known else np.zeros(len(self.langs))
         share = np.exp(total - total.max())
         best = int(np.argmax(share))
@@ -224,13 +278,13 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     prediction is ``und`` with score 0. The score is the share of the language in the likelihoods of all;
     of equal ones the first by code point wins. An empty table stays empty.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(_packed(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(sent.value)
         for batch in batches:
             for piece in scan.sliced(batch, "text"):
-                found = [predictor.predict(t) for t in piece.column("text").to_pylist()]
+                found = predictor.predict_all(piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), piece.column("content"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     ["doc_id", "content", "lang_pred", "score"],

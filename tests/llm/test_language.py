@@ -1,9 +1,12 @@
 """Language ID: accuracy on held-out texts, back-off, odd rows."""
 
+import pickle
+import tracemalloc
 import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +110,26 @@ def test_bounded_sample(spark):
         assert {d for d, _, _ in rows} == prefix
     assert language.bounded_sample(table, 0).count() == 0
     assert language.train(table, most=most)["langs"] and language.bounded_sample(table.limit(0)).count() == 0
+
+
+def test_predictor_holds_arrays_and_remembers_no_words():
+    names = [f" w{k}" for k in range(50_000)] + ["1<", "1>"]
+    model = {"langs": ["x", "y"], "entries": {n: k for k, n in enumerate(names)}, "logs": np.zeros((len(names), 2), np.float32)}
+    sent = pickle.dumps(language._packed(model))
+    tracemalloc.start()
+    p = language.Predictor(pickle.loads(sent))
+    for k in range(200):
+        p.predict(" ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(100)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 50 * len(names)
+
+
+def test_entries_of_equal_hash(monkeypatch):
+    names = [" a", " b", "1<", "2<c", " d"]
+    asked = [*names, " c", "", "2<d", " a"]
+    plain = language.Entries(pa.array(names)).find(asked)
+    monkeypatch.setattr(language, "_hashes", lambda found: np.array([len(n) % 2 for n in found], np.int64))
+    equal = language.Entries(pa.array(names))
+    assert plain == equal.find(asked) == [0, 1, 2, 3, 4, -1, -1, -1, 0]
+    assert language.Entries(pa.array([], pa.string())).find(["x"]) == [-1] and equal.find([]) == []
