@@ -23,11 +23,12 @@ import codecs
 import gc
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
@@ -179,14 +180,18 @@ def _bytes(vocab: Vocabulary, ids: list[int]) -> bytes:
     return b"".join(map(vocab.bytes.__getitem__, ids))
 
 
+def _packed_ids(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Encoder:
     """The transducer: ``feed`` one text, get its ids as they become final, each group with the bytes they decode to."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        #: Tokens of recent pieces in two generations: when the young one is full it becomes the old one.
-        self.cache: dict[str, tuple[tuple[int, ...], bytes]] = {}
-        self.old: dict[str, tuple[tuple[int, ...], bytes]] = {}
+        #: Tokens of recent pieces (ids as 32-bit numbers in a string of bytes) in two generations: when the young one is full it becomes the old one.
+        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _long(self, data: bytes) -> Iterator[tuple[list[int], bytes]]:
         look = self.vocab.lookahead
@@ -207,7 +212,7 @@ class Encoder:
             yield ids[:count], _bytes(self.vocab, ids[:count])
             start += taken
 
-    def _new(self, piece: str) -> tuple[list[int], bytes] | None:
+    def _new(self, piece: str) -> tuple[bytes, bytes] | None:
         """Tokens of a piece not in the cache (None for a long piece, which goes through ``_long``)."""
         got = self.old.get(piece)
         if got is None:
@@ -215,8 +220,8 @@ class Encoder:
             if len(data) > CACHED:
                 return None
             ids = _merge(self.vocab, data)
-            # tuples of numbers only: the garbage collector stops tracking them
-            got = (tuple(ids), _bytes(self.vocab, ids))
+            # strings of bytes only: the garbage collector stops tracking them
+            got = (_packed_ids(ids), _bytes(self.vocab, ids))
         if len(self.cache) >= CACHE_SIZE:
             self.old, self.cache = self.cache, {}
         self.cache[piece] = got
@@ -241,11 +246,16 @@ class Encoder:
                 if got is None:
                     yield from self._long(piece.encode("utf-8"))
                 else:
-                    yield got
+                    yield array("i", got[0]).tolist(), got[1]
             if special is not None:
                 yield [special], self.vocab.bytes[special]
 
     def encode(self, text: str | None) -> tuple[list[int], str]:
+        """``coded`` with the ids as a list."""
+        ids, decoded = self.coded(text)
+        return ids.tolist(), decoded
+
+    def coded(self, text: str | None) -> tuple[np.ndarray, str]:
         """``feed`` and the decoder in one pass: all ids of ``text`` and their decoding.
 
         Pieces of a stretch between special tokens are looked up together; the decoder takes the
@@ -263,16 +273,16 @@ class Encoder:
                         found = self._new(pieces[k])
                         if found is None:
                             more = list(self._long(pieces[k].encode("utf-8")))
-                            found = ([i for m in more for i in m[0]], b"".join(m[1] for m in more))
+                            found = (b"".join(_packed_ids(m[0]) for m in more), b"".join(m[1] for m in more))
                         got[k] = found
-            ids += chain.from_iterable(map(itemgetter(0), got))
+            ids.extend(map(itemgetter(0), got))
             data = b"".join(map(itemgetter(1), got))
             if special is not None:
-                ids.append(special)
+                ids.append(_packed_ids([special]))
                 data += self.vocab.bytes[special]
             parts.append(decoder.feed(data))
         parts.append(decoder.close())
-        return ids, "".join(parts)
+        return np.frombuffer(b"".join(ids), np.int32), "".join(parts)
 
 
 class Decoder:
@@ -325,7 +335,7 @@ def tokenized(docs: DataFrame, text: str = "text", path: str | None = None) -> D
         paused = gc.isenabled()
         gc.disable()
         try:
-            out = [coder.encode(t if isinstance(t, str) else None) for t in texts]
+            out = [coder.coded(t if isinstance(t, str) else None) for t in texts]
         finally:
             if paused:
                 gc.enable()

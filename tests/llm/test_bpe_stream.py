@@ -64,3 +64,13 @@ def test_registered_query(spark):
     got = QUERIES["op11_bpe"](spark, "/root/testdata/sf0.001")
     assert got.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert got.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_ids_are_kept_and_joined_as_packed_numbers():
+    vocab = bpe_stream.vocabulary(bpe_stream.default_vocabulary())
+    coder = bpe_stream.Encoder(vocab)
+    text = "Grüße an alle, xqzt! " * 3 + next(iter(vocab.special), "") + " a" * 5 + "b" * 9000
+    ids, decoded = coder.coded(text)
+    assert ids.dtype == "int32" and all(type(kept) is bytes for kept, _ in coder.cache.values())
+    assert (ids.tolist(), decoded) == coder.encode(text) == bpe_stream.streamed(vocab, bpe_stream.Encoder(vocab), text)
+    assert coder.coded(None)[0].tolist() == [] and decoded == text
