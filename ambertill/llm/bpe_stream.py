@@ -29,7 +29,8 @@ from functools import lru_cache
 from operator import itemgetter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,6 +39,8 @@ from ambertill.llm.rows import packed
 #: Pieces of at most this many bytes are kept in a bounded cache of their tokens.
 CACHED = 64
 CACHE_SIZE = 1 << 18
+#: Bytes of text (one text at least) whose ids and decoding a Python worker holds before it hands them on.
+SLICE = 1 << 20
 #: Bytes of a long piece worked at once, beside the lookahead.
 WINDOW = 4096
 NEVER = 1 << 62
@@ -320,6 +323,37 @@ def streamed(vocab: Vocabulary, encoder: Encoder, text: str | None) -> tuple[lis
     return ids, "".join(parts)
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts of less than ``SLICE`` bytes beside the last one."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.cumsum(sizes) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(texts)]
+    for begin, end in zip(cuts, cuts[1:]):
+        if end > begin:
+            yield texts.slice(begin, end - begin)
+
+
+def _coded_slice(coder: Encoder, texts: pa.Array) -> pa.StructArray:
+    # The encoder makes no reference cycles; cyclic collection only rescans its cache.
+    paused = gc.isenabled()
+    gc.disable()
+    try:
+        out = [coder.coded(t) for t in texts.to_pylist()]
+    finally:
+        if paused:
+            gc.enable()
+    offsets = np.cumsum([0, *(len(ids) for ids, _ in out)], dtype=np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([ids for ids, _ in out])))
+    return pa.StructArray.from_arrays([ids, pa.array([decoded for _, decoded in out], pa.string())], ["ids", "decoded"])
+
+
+def coded_slices(coder: Encoder, batches: Iterator[pa.Array]) -> Iterator[pa.StructArray]:
+    """``ids`` and ``decoded`` of every text, handed on slice by slice, so that a worker never holds those of a whole batch."""
+    for texts in batches:
+        for part in _slices(texts):
+            yield _coded_slice(coder, part)
+
+
 def tokenized(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``_row`` (all columns of ``docs``), ``ids`` (array of token ids) and ``decoded`` (the ids decoded).
 
@@ -328,18 +362,9 @@ def tokenized(docs: DataFrame, text: str = "text", path: str | None = None) -> D
     """
     path = path or default_vocabulary()
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        coder = encoder(path)
-        # The encoder makes no reference cycles; cyclic collection only rescans its cache.
-        paused = gc.isenabled()
-        gc.disable()
-        try:
-            out = [coder.coded(t if isinstance(t, str) else None) for t in texts]
-        finally:
-            if paused:
-                gc.enable()
-        return pd.DataFrame({"ids": [o[0] for o in out], "decoded": [o[1] for o in out]})
+    @F.arrow_udf("ids array<int>, decoded string")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from coded_slices(encoder(path), batches)
 
     coded = packed(docs, _bpe=encode(F.col(f"`{text}`").cast("string")))
     return coded.select("_row", F.col("_bpe.ids").alias("ids"), F.col("_bpe.decoded").alias("decoded"))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,3 +75,25 @@ def test_ids_are_kept_and_joined_as_packed_numbers():
     assert ids.dtype == "int32" and all(type(kept) is bytes for kept, _ in coder.cache.values())
     assert (ids.tolist(), decoded) == coder.encode(text) == bpe_stream.streamed(vocab, bpe_stream.Encoder(vocab), text)
     assert coder.coded(None)[0].tolist() == [] and decoded == text
+
+
+def test_a_batch_is_handed_on_in_bounded_slices(vocab, library, monkeypatch):
+    monkeypatch.setattr(bpe_stream, "SLICE", 1000)
+    texts = [None, "", "é b" * 100, "x" * 5000, None, *["some words 日本 " * k for k in range(1, 60)], ""]
+    taken = []
+
+    def batches():
+        for batch in (texts, [], [None], ["a"]):
+            taken.append(len(batch))
+            yield pa.array(batch, pa.string())
+
+    parts = bpe_stream.coded_slices(bpe_stream.Encoder(vocab), batches())
+    first = next(parts)
+    assert taken == [len(texts)] and len(first) < len(texts) / 4
+    got = [first, *parts]
+    rows = [row for part in got for row in part.to_pylist()]
+    for row, text in zip(rows, [*texts, None, "a"], strict=True):
+        expected = library.encode(text or "", add_special_tokens=False).ids
+        assert row == {"ids": expected, "decoded": library.decode(expected, skip_special_tokens=False)}
+    largest = max(len((t or "").encode()) for t in texts)
+    assert all(sum(len(row["decoded"].encode()) for row in part.to_pylist()) < 1000 + largest for part in got)
