@@ -62,7 +62,8 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
     The first failing lookup, in the order given, names the reason.
 
     Only table rows whose key the batch holds are read and reduced (``_within_batch``), when the
-    lookup's keys are batch columns. The reduced table is stored before the join. Its size is then known, so
+    lookup's keys are batch columns and the table has more rows than the batch: a smaller one is cheaper to
+    reduce whole than to compare with the batch once more. The reduced table is stored before the join. Its size is then known, so
     Spark broadcasts it only when it is small; and otherwise both join inputs
     are plain shuffles, which adaptive execution splits where one code holds
     much of the batch (it cannot split beside an aggregation on the join key).
@@ -70,12 +71,14 @@ def resolve_keys(batch: DataFrame, tables: Mapping[str, DataFrame], lookups: Seq
     current = batch
     reason: Column = F.lit(None).cast("string")
     failures: list[Column] = []
+    by_batch = [lookup for lookup in lookups if set(lookup.on) <= set(batch.columns)]
+    size = batch.count() if by_batch else 0
     for lookup in lookups:
         table = tables[lookup.table]
         for column, value in lookup.fixed.items():
             table = table.where(F.col(column) == F.lit(value))
         prefix = f"_{lookup.out}_"
-        if set(lookup.on) <= set(batch.columns):
+        if lookup in by_batch and table.count() > size:
             table = _within_batch(table, batch, lookup.on)
         keys = table.groupBy(*(F.col(c).alias(prefix + c) for c in lookup.on.values())).agg(
             F.min(lookup.id_column).alias(lookup.out), F.count(F.lit(1)).alias(prefix + "matches")

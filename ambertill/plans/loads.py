@@ -55,6 +55,8 @@ def run_load(load: Load, declared: Mapping[str, Table], data: Mapping[str, DataF
     else:
         added = insert_missing(present, rows, load.match).affected
     if load.id_column:
+        if load.once or not target.isEmpty():
+            added = stage(added, "added")  # numbering samples its input before it sorts it: the choice would run twice
         added = assign_ids(added, target, load.id_column, order)
     else:
         added = stage(added, "inserted")
@@ -75,7 +77,8 @@ def run_loads(
 
 
 def empty_tables(spark, declared: Mapping[str, Table]) -> dict[str, DataFrame]:
-    return {name: spark.createDataFrame([], t.schema) for name, t in declared.items()}
+    """Tables without rows; ``limit(0)`` tells the optimizer so, and it leaves out their joins and scans."""
+    return {name: spark.createDataFrame([], t.schema).limit(0) for name, t in declared.items()}
 
 
 # ------------------------------------------------------------------------ fuel

@@ -262,3 +262,20 @@ def test_lookup_reads_only_the_batch_keys(spark, tmp_path):
     good, bad = resolve_keys(batch, {"parent": parent}, [Lookup("pid", "parent", "pid", {"code": "code"})])
     assert bag(good, "n", "pid") == [(7, 7), (9, 9), (9, 9)]
     assert bag(bad, "n", "reject_reason") == sorted([(None, "parent not found for code"), (3, "parent not found for code")], key=repr)
+
+
+def test_lookup_compares_only_a_larger_table_with_the_batch(spark, monkeypatch):
+    from ambertill.operators import matching
+
+    narrowed, plainly = [], matching._within_batch
+    monkeypatch.setattr(matching, "_within_batch", lambda table, batch, on: narrowed.append(tuple(on)) or plainly(table, batch, on))
+    large = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, "z"), (6, "y")], "lid int, code string")
+    small = spark.createDataFrame([(7, "p"), (8, "q"), (9, "q"), (10, None), (11, "u")], "sid int, place string")
+    batch = spark.createDataFrame([(1, "a", "p"), (2, "b", "p"), (3, "a", "q"), (4, None, "p"), (5, "a", None)], "n int, code string, place string")
+    lookups = [Lookup("lid", "large", "lid", {"code": "code"}), Lookup("sid", "small", "sid", {"place": "place"})]
+    good, bad = resolve_keys(batch, {"large": large, "small": small}, lookups)
+    assert bag(good, "n", "lid", "sid") == [(1, 1, 7)]
+    assert bag(bad, "n", "reject_reason") == [
+        (2, "large ambiguous for code"), (3, "small ambiguous for place"), (4, "large not found for code"), (5, "small not found for place"),
+    ]
+    assert narrowed == [("code",)]
