@@ -10,6 +10,10 @@ list: twice the longest token it can build, in bytes. Memory therefore stays bou
 whatever the length of a text; the tests compare whole outputs with the tokenizers library,
 long single pieces included.
 
+Tables go through it in lots of about ``LOT`` characters, long stretches cut where a piece is sure
+to end: the starts of a lot's pieces are found from the classes of its characters, every different
+piece is looked up or merged once, all new pieces of a lot together.
+
 Decoding maps ids back to bytes and feeds them to an incremental UTF-8 decoder (a state machine
 that holds at most three pending bytes); bytes that cannot form a character become U+FFFD,
 as the library does.
@@ -26,7 +30,6 @@ import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +44,16 @@ CACHED = 64
 CACHE_SIZE = 1 << 18
 #: Bytes of text (one text at least) whose ids and decoding a Python worker holds before it hands them on.
 SLICE = 1 << 20
+#: Characters of text split and looked up together; a stretch without a sure end of a piece may be longer.
+LOT = 1 << 20
 #: Bytes of a long piece worked at once, beside the lookahead.
 WINDOW = 4096
 NEVER = 1 << 62
 #: Ids take at most this many bits; a pair of ids is one integer key, and so is a rank with its new id.
 SHIFT = 17
 LOW = (1 << SHIFT) - 1
+#: Classes of characters in the pre-tokenizer's pattern.
+OTHER, LETTER, NUMBER, SPACE, UNSEEN = range(5)
 
 
 def default_vocabulary() -> str:
@@ -101,9 +108,66 @@ class Vocabulary:
         self.split_special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         # Fixed value: the byte-level pre-tokenizer's pattern.
         self.pieces = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+        # Between these neighbours a piece ends, whatever surrounds them.
+        self.sure_end = regex.compile(r"\p{L}(?!\p{L})|\p{N}(?!\p{N})|\S(?=\s)")
+        # The pattern's classes and its contractions.
+        self.class_patterns = {LETTER: regex.compile(r"\p{L}"), NUMBER: regex.compile(r"\p{N}"), SPACE: regex.compile(r"\s")}
+        self.contractions = [[ord(c) for c in tail] for tail in ("s", "t", "re", "ve", "m", "ll", "d")]
+        #: Class of each code point, filled when it is first met.
+        self.classes = np.full(0x110000, UNSEEN, np.uint8)
         if max(self.bytes, default=0) >> SHIFT:
             raise ValueError("ids beyond 2**17 are not supported")
+        #: The merge list again, for many pairs at once, and the bytes of every id.
+        self.pair_keys = np.array(sorted(self.ranks), np.int64)
+        self.pair_ranks = np.array([*map(self.ranks.get, self.pair_keys.tolist()), NEVER], np.int64)
+        self.pair_keys = np.append(self.pair_keys, NEVER)
+        self.single_ids = np.array(self.single, np.int64)
+        self.id_bytes = pa.array([self.bytes.get(i) for i in range(max(self.bytes, default=-1) + 1)], pa.binary())
         self.lookahead = 2 * max(len(self.bytes[v & LOW]) for v in self.ranks.values()) if self.ranks else 1
+        self.single_ranks = self.ranked(np.repeat(self.single_ids, 256), np.tile(self.single_ids, 256))
+
+    def ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``ranks`` of many pairs of ids, ``NEVER`` for those not in the merge list."""
+        keys = left << SHIFT | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
+
+    def classed(self, points: np.ndarray) -> np.ndarray:
+        """The class of every code point."""
+        classes = self.classes[points]
+        unseen = classes == UNSEEN
+        if unseen.any():
+            new = np.unique(points[unseen])
+            text = new.astype("<u4").tobytes().decode("utf-32-le")
+            self.classes[new] = OTHER
+            for kind, pattern in self.class_patterns.items():
+                self.classes[[ord(c) for c in pattern.findall(text)]] = kind
+            classes = self.classes[points]
+        return classes
+
+    def piece_starts(self, points: np.ndarray, stretches: np.ndarray) -> np.ndarray:
+        """Where the pieces of ``pieces`` start in the code points of several stretches, given where these start."""
+        classes = self.classed(points)
+        first = np.zeros(len(points), bool)
+        first[stretches[stretches < len(points)]] = True
+        start = first.copy()
+        start[1:] |= classes[1:] != classes[:-1]
+        # The last of some white space before another character stands alone, or goes to that character if it is a blank.
+        after = np.flatnonzero(start & ~first & (classes != SPACE))
+        after = after[classes[after - 1] == SPACE]
+        start[after - 1] = True
+        start[after[points[after - 1] == ord(" ")]] = False
+        # A contraction only counts where a piece starts at its apostrophe.
+        quotes = np.flatnonzero(points == ord("'"))
+        quotes = quotes[start[quotes]]
+        for tail in self.contractions:
+            found = quotes[quotes + len(tail) < len(points)]
+            for k, point in enumerate(tail, 1):
+                found = found[(points[found + k] == point) & ~first[found + k]]
+            start[found + 1] = False
+            ends = found + len(tail) + 1
+            start[ends[ends < len(points)]] = True
+        return np.flatnonzero(start)
 
 
 @lru_cache(maxsize=4)
@@ -140,6 +204,78 @@ def _merge(vocab: Vocabulary, data: bytes) -> list[int]:
     return ids
 
 
+def _merge_all(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """``_merge`` for many short pieces (packed ids, and the bytes they decode to): one merge in each piece at a time.
+
+    Pieces of similar length share a matrix; a row links its living ids and holds the rank of each with the next one.
+    """
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    merged: list[tuple[bytes, bytes]] = [(b"", b"")] * len(pieces)
+    cuts = np.searchsorted(sizes[order], [0, 5, 7, 9, 12, 16, 24, 40, sizes.max(initial=0) + 1])
+    for chosen in (order[a:b] for a, b in zip(cuts, cuts[1:]) if b > a):
+        n, width = len(chosen), int(sizes[chosen[-1]])
+        size = sizes[chosen]
+        data = np.zeros((n, width + 1), np.int64)
+        data[np.arange(width + 1) < size[:, None]] = np.frombuffer(b"".join([pieces[k] for k in chosen.tolist()]), np.uint8)
+        ids = vocab.single_ids[data]
+        pairs = vocab.single_ranks[data[:, :-1] << 8 | data[:, 1:]]
+        pairs[np.arange(1, width + 1) >= size[:, None]] = NEVER
+        after = np.tile(np.arange(1, width + 2), (n, 1))
+        before = np.tile(np.arange(-1, width), (n, 1))
+        alive = np.arange(width + 1) < size[:, None]
+        rows = np.arange(n)
+        while True:
+            k = pairs[rows].argmin(axis=1)
+            best = pairs[rows, k]
+            some = best < NEVER
+            rows, k, best = rows[some], k[some], best[some]
+            if not len(rows):
+                break
+            new = best & LOW
+            gone = after[rows, k]
+            right = after[rows, gone]
+            ids[rows, k], after[rows, k], alive[rows, gone] = new, right, False
+            pairs[rows, k] = NEVER
+            inside = gone < width
+            pairs[rows[inside], gone[inside]] = NEVER
+            inside = right < size[rows]
+            r, a, b = rows[inside], k[inside], right[inside]
+            before[r, b] = a
+            pairs[r, a] = vocab.ranked(new[inside], ids[r, b])
+            left = before[rows, k]
+            inside = left >= 0
+            r, a = rows[inside], left[inside]
+            pairs[r, a] = vocab.ranked(ids[r, a], new[inside])
+        flat = ids[alive].astype(np.int32)
+        ends = np.cumsum(alive.sum(axis=1))
+        packed_ids, back = flat.tobytes(), vocab.id_bytes.take(pa.array(flat))
+        decoded, at = _content(back), _offsets(back)[np.concatenate([[0], ends])].tolist()
+        ends = [0, *(4 * ends).tolist()]
+        for row, k in enumerate(chosen.tolist()):
+            merged[k] = packed_ids[ends[row] : ends[row + 1]], decoded[at[row] : at[row + 1]]
+    return merged
+
+
+def _offsets(strings: pa.Array) -> np.ndarray:
+    """Where each of the strings starts in ``_content``, and the end."""
+    kind = np.int64 if pa.types.is_large_binary(strings.type) else np.int32
+    if not len(strings):
+        return np.zeros(1, kind)
+    at = np.frombuffer(strings.buffers()[1], kind)[strings.offset : strings.offset + len(strings) + 1]
+    return at - at[0]
+
+
+def _content(strings: pa.Array) -> bytes:
+    """All the strings, one after the other."""
+    if not len(strings) or strings.buffers()[2] is None:
+        return b""
+    at = _offsets(strings)
+    kind = np.int64 if pa.types.is_large_binary(strings.type) else np.int32
+    begin = int(np.frombuffer(strings.buffers()[1], kind)[strings.offset])
+    return strings.buffers()[2].slice(begin, int(at[-1])).to_pybytes()
+
+
 def _merge_long(vocab: Vocabulary, data: bytes) -> tuple[list[int], list[int]]:
     """The same tokens as ``_merge`` for long pieces, with their end offsets: a heap of (rank, place) over a linked list."""
     n = len(data)
@@ -195,6 +331,8 @@ class Encoder:
         #: Tokens of recent pieces (ids as 32-bit numbers in a string of bytes) in two generations: when the young one is full it becomes the old one.
         self.cache: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
+        #: No other piece equals a special token, as these are cut out first.
+        self.specials = {content: (_packed_ids([i]), vocab.bytes[i]) for content, i in vocab.special.items()}
 
     def _long(self, data: bytes) -> Iterator[tuple[list[int], bytes]]:
         look = self.vocab.lookahead
@@ -225,10 +363,13 @@ class Encoder:
             ids = _merge(self.vocab, data)
             # strings of bytes only: the garbage collector stops tracking them
             got = (_packed_ids(ids), _bytes(self.vocab, ids))
+        self._keep(piece, got)
+        return got
+
+    def _keep(self, piece: str, got: tuple[bytes, bytes]) -> None:
         if len(self.cache) >= CACHE_SIZE:
             self.old, self.cache = self.cache, {}
         self.cache[piece] = got
-        return got
 
     def _segments(self, text: str) -> Iterator[tuple[int, int, int | None]]:
         """Stretches between special tokens: (start, end, special id after it or None)."""
@@ -259,33 +400,96 @@ class Encoder:
         return ids.tolist(), decoded
 
     def coded(self, text: str | None) -> tuple[np.ndarray, str]:
-        """``feed`` and the decoder in one pass: all ids of ``text`` and their decoding.
+        """All ids of ``text`` and their decoding."""
+        ids, _, decoded = self.coded_texts([text])
+        return ids, decoded[0]
 
-        Pieces of a stretch between special tokens are looked up together; the decoder takes the
-        bytes of each stretch as soon as its ids are final.
+    def coded_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """``feed`` and the decoder for several texts: all ids in one array, how many each text has, and the decodings.
+
+        A text's decoder takes the bytes of each stretch as soon as its ids are final.
         """
-        text = text or ""
-        decoder = Decoder()
-        ids, parts = [], []
-        for begin, end, special in self._segments(text):
-            pieces = self.vocab.pieces.findall(text, begin, end)
-            got = list(map(self.cache.get, pieces))
-            if None in got:
-                for k, found in enumerate(got):
-                    if found is None:
-                        found = self._new(pieces[k])
-                        if found is None:
-                            more = list(self._long(pieces[k].encode("utf-8")))
-                            found = (b"".join(_packed_ids(m[0]) for m in more), b"".join(m[1] for m in more))
-                        got[k] = found
-            ids.extend(map(itemgetter(0), got))
-            data = b"".join(map(itemgetter(1), got))
-            if special is not None:
-                ids.append(_packed_ids([special]))
-                data += self.vocab.bytes[special]
-            parts.append(decoder.feed(data))
-        parts.append(decoder.close())
-        return np.frombuffer(b"".join(ids), np.int32), "".join(parts)
+        counts = np.zeros(len(texts), np.int64)
+        decoders = [Decoder() for _ in texts]
+        parts: list[list[str]] = [[] for _ in texts]
+        ids = []
+        for lot in self._lots(texts):
+            owners = [k for k, _, _ in lot]
+            got, n_ids, data = self._lot([stretch for _, stretch, _ in lot], [special for _, _, special in lot])
+            ids.append(got)
+            np.add.at(counts, owners, n_ids)
+            for k, part in zip(owners, data):
+                parts[k].append(decoders[k].feed(part))
+        decoded = ["".join([*part, decoder.close()]) for part, decoder in zip(parts, decoders)]
+        return np.concatenate(ids) if ids else np.zeros(0, np.int32), counts, decoded
+
+    def _lots(self, texts: list[str | None]) -> Iterator[list[tuple[int, str, bool]]]:
+        """Stretches of the texts in lots: number of the text, the stretch and whether it is a special token."""
+        lot, room = [], LOT
+        for k, text in enumerate(texts):
+            for begin, end, special in self._segments(text or ""):
+                while begin < end:
+                    cut = end
+                    if end - begin > LOT and (sure := self.vocab.sure_end.search(text, begin + LOT - 1, end)):
+                        cut = sure.end()
+                    lot.append((k, text[begin:cut], False))
+                    room -= cut - begin
+                    begin = cut
+                    if room <= 0:
+                        yield lot
+                        lot, room = [], LOT
+                if special is not None:
+                    lot.append((k, self.vocab.bytes[special].decode("utf-8"), True))
+        if lot:
+            yield lot
+
+    def _lot(self, stretches: list[str], special: list[bool]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """All ids of the stretches, how many each has, and the bytes each decodes to."""
+        text = "".join(stretches)
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        data = text.encode("utf-8")
+        ends = np.cumsum([len(s) for s in stretches])
+        at = np.concatenate([[0], ends])
+        starts = self.vocab.piece_starts(points, at)
+        if any(special):
+            kept = np.ones(len(starts), bool)
+            for k in np.flatnonzero(special):
+                kept[slice(*np.searchsorted(starts, [at[k] + 1, at[k + 1]]))] = False
+            starts = starts[kept]
+        pieces_before = np.searchsorted(starts, at)
+        if len(data) > len(points):
+            starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)[starts]
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        found = self._found(pieces.dictionary.to_pylist())
+        ids = pa.array([f[0] for f in found], pa.large_binary()).take(pieces.indices)
+        back = pa.array([f[1] for f in found], pa.large_binary()).take(pieces.indices)
+        decoded, cuts = _content(back), _offsets(back)[pieces_before].tolist()
+        n_ids = np.diff(_offsets(ids)[pieces_before] // 4)
+        return np.frombuffer(_content(ids), np.int32), n_ids, [decoded[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _found(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of different pieces and the bytes they decode to; all that are not in the cache are merged together."""
+        found = list(map(self.cache.get, pieces))
+        missing = [k for k, f in enumerate(found) if f is None]
+        new, encoded = [], []
+        for k in missing:
+            piece = pieces[k]
+            found[k] = self.specials.get(piece) or self.old.get(piece)
+            if found[k] is None:
+                data = piece.encode("utf-8")
+                if len(data) > CACHED:
+                    more = list(self._long(data))
+                    found[k] = b"".join(_packed_ids(m[0]) for m in more), b"".join(m[1] for m in more)
+                else:
+                    new.append(k)
+                    encoded.append(data)
+            elif piece not in self.specials:
+                self._keep(piece, found[k])
+        for k, merged in zip(new, _merge_all(self.vocab, encoded)):
+            found[k] = merged
+            self._keep(pieces[k], merged)
+        return found
 
 
 class Decoder:
@@ -338,13 +542,13 @@ def _coded_slice(coder: Encoder, texts: pa.Array) -> pa.StructArray:
     paused = gc.isenabled()
     gc.disable()
     try:
-        out = [coder.coded(t) for t in texts.to_pylist()]
+        ids, counts, decoded = coder.coded_texts(texts.to_pylist())
     finally:
         if paused:
             gc.enable()
-    offsets = np.cumsum([0, *(len(ids) for ids, _ in out)], dtype=np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([ids for ids, _ in out])))
-    return pa.StructArray.from_arrays([ids, pa.array([decoded for _, decoded in out], pa.string())], ["ids", "decoded"])
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+    return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], ["ids", "decoded"])
 
 
 def coded_slices(coder: Encoder, batches: Iterator[pa.Array]) -> Iterator[pa.StructArray]:

@@ -97,3 +97,48 @@ def test_a_batch_is_handed_on_in_bounded_slices(vocab, library, monkeypatch):
         assert row == {"ids": expected, "decoded": library.decode(expected, skip_special_tokens=False)}
     largest = max(len((t or "").encode()) for t in texts)
     assert all(sum(len(row["decoded"].encode()) for row in part.to_pylist()) < 1000 + largest for part in got)
+
+
+class Counting(dict):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_a_slice_looks_up_each_different_piece_once(vocab, library):
+    coder = bpe_stream.Encoder(vocab)
+    coder.cache = Counting()
+    texts = ["the same few words, again and again. " * 20] * 30
+    (part,) = bpe_stream.coded_slices(coder, iter([pa.array(texts)]))
+    different = {piece for text in texts for piece in vocab.pieces.findall(text)}
+    assert coder.cache.asked <= len(different) < 20
+    assert part.to_pylist()[7]["ids"] == library.encode(texts[7], add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("lot", [1, 5, 64, 1 << 20])
+def test_lots_split_as_the_pattern_does(vocab, library, monkeypatch, lot):
+    monkeypatch.setattr(bpe_stream, "LOT", lot)
+    draw = random.Random(lot)
+    special = next(iter(vocab.special))
+    signs = ["'", "s", "t", "re", "ve", "l", "ll", "d", "S", " ", "  ", "\n", "\t", " ", " ", "\u0085", "\x1c", "1", "²", "é", "́", "日", "😀", ".", "-", special, special[:-2]]
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 40))) for _ in range(1500)] + ["'", "'s", " 's", "\n's", "''s", "'s's", "'rex", "'r", "a'", "e  ", None, "q" * 700, " " * 700]
+    coder = bpe_stream.Encoder(vocab)
+    ids, counts, decoded = coder.coded_texts(texts)
+    assert len(ids) == counts.sum()
+    ends = counts.cumsum()
+    for text, n, end, back in zip(texts, counts, ends, decoded, strict=True):
+        expected = library.encode(text or "", add_special_tokens=False).ids
+        assert ids[end - n : end].tolist() == expected, repr(text)
+        assert back == library.decode(expected, skip_special_tokens=False)
+        assert (expected, back) == bpe_stream.streamed(vocab, coder, text)
+
+
+def test_pieces_merged_together_as_one_by_one(vocab):
+    draw = random.Random(5)
+    pieces = ["".join(draw.choices("aehinorst é日", k=draw.randint(1, 21))).encode() for _ in range(3000)] + [b"a", b"aaaa" * 16, b"\xe6", b"ab" * 32]
+    for piece, (ids, decoded) in zip(pieces, bpe_stream._merge_all(vocab, pieces), strict=True):
+        assert memoryview(ids).cast("i").tolist() == bpe_stream._merge(vocab, piece)
+        assert decoded == piece
+    assert bpe_stream._merge_all(vocab, []) == []
