@@ -45,7 +45,7 @@ CACHE_SIZE = 1 << 18
 #: Bytes of text (one text at least) whose ids and decoding a Python worker holds before it hands them on.
 SLICE = 1 << 20
 #: Characters of text split and looked up together; a stretch without a sure end of a piece may be longer.
-LOT = 1 << 20
+LOT = 1 << 18
 #: Bytes of a long piece worked at once, beside the lookahead.
 WINDOW = 4096
 NEVER = 1 << 62
@@ -423,23 +423,28 @@ class Encoder:
         decoded = ["".join([*part, decoder.close()]) for part, decoder in zip(parts, decoders)]
         return np.concatenate(ids) if ids else np.zeros(0, np.int32), counts, decoded
 
-    def _lots(self, texts: list[str | None]) -> Iterator[list[tuple[int, str, bool]]]:
-        """Stretches of the texts in lots: number of the text, the stretch and whether it is a special token."""
-        lot, room = [], LOT
+    def _stretches(self, texts: list[str | None]) -> Iterator[tuple[int, str, bool]]:
+        """Number of the text, a stretch of it and whether that is a special token."""
         for k, text in enumerate(texts):
             for begin, end, special in self._segments(text or ""):
                 while begin < end:
                     cut = end
                     if end - begin > LOT and (sure := self.vocab.sure_end.search(text, begin + LOT - 1, end)):
                         cut = sure.end()
-                    lot.append((k, text[begin:cut], False))
-                    room -= cut - begin
+                    yield k, text[begin:cut], False
                     begin = cut
-                    if room <= 0:
-                        yield lot
-                        lot, room = [], LOT
                 if special is not None:
-                    lot.append((k, self.vocab.bytes[special].decode("utf-8"), True))
+                    yield k, self.vocab.bytes[special].decode("utf-8"), True
+
+    def _lots(self, texts: list[str | None]) -> Iterator[list[tuple[int, str, bool]]]:
+        """The stretches in lots of less than ``LOT`` characters beside the last stretch."""
+        lot, size = [], 0
+        for stretch in self._stretches(texts):
+            lot.append(stretch)
+            size += len(stretch[1])
+            if size >= LOT:
+                yield lot
+                lot, size = [], 0
         if lot:
             yield lot
 
@@ -448,14 +453,11 @@ class Encoder:
         text = "".join(stretches)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         data = text.encode("utf-8")
-        ends = np.cumsum([len(s) for s in stretches])
-        at = np.concatenate([[0], ends])
+        at = np.concatenate([[0], np.cumsum([len(s) for s in stretches])])
         starts = self.vocab.piece_starts(points, at)
         if any(special):
-            kept = np.ones(len(starts), bool)
-            for k in np.flatnonzero(special):
-                kept[slice(*np.searchsorted(starts, [at[k] + 1, at[k + 1]]))] = False
-            starts = starts[kept]
+            stretch = np.searchsorted(at, starts, side="right") - 1
+            starts = starts[~np.array(special)[stretch] | (starts == at[stretch])]
         pieces_before = np.searchsorted(starts, at)
         if len(data) > len(points):
             starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)[starts]

@@ -142,3 +142,16 @@ def test_pieces_merged_together_as_one_by_one(vocab):
         assert memoryview(ids).cast("i").tolist() == bpe_stream._merge(vocab, piece)
         assert decoded == piece
     assert bpe_stream._merge_all(vocab, []) == []
+
+
+def test_lots_are_bounded(vocab, monkeypatch):
+    monkeypatch.setattr(bpe_stream, "LOT", 100)
+    special = next(iter(vocab.special))
+    texts = [special * 500, "a b" * 500, None, "", "some words. " * 500, "ab", f"{special} x" * 300]
+    lots = list(bpe_stream.Encoder(vocab)._lots(texts))
+    assert all(0 < sum(len(stretch) for _, stretch, _ in lot) < 250 for lot in lots)
+    joined = [""] * len(texts)
+    for lot in lots:
+        for k, stretch, _ in lot:
+            joined[k] += stretch
+    assert joined == [t or "" for t in texts]
